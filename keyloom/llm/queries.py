@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import bpe, packing, token_counts
+from keyloom.llm import bpe, jaccard, packing, token_counts
+from keyloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -16,8 +18,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    """Register a query under its name; the executors are given the package's code first."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +46,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), TOKENIZER, capacity=2048)
 
 
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 % of their 4-word shingles."""
+    return jaccard.jaccard_components(documents(spark, sf_dir), k=4, percent=85)
+
+
 @query
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
