@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.llm.common import string_list
-from keyloom.llm.pretokens import special_cutter, special_ids, splitter
+from keyloom.llm.pretokens import pretokens, special_cutter, special_ids
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -28,6 +30,18 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Tails(dict):
+    """The sizes that tokens ending in these (at most 3) bytes have, the longest first, shorter endings included."""
+
+    def __init__(self, exact: dict[bytes, tuple[int, ...]]):
+        self.exact = exact
+
+    def __missing__(self, tail: bytes) -> tuple[int, ...]:
+        sizes = {s for i in range(len(tail)) for s in self.exact.get(tail[i:], ())}
+        self[tail] = sizes = tuple(sorted(sizes, reverse=True))
+        return sizes
+
+
 class Vocabulary:
     """Token bytes, ids and merges of a tokenizer file."""
 
@@ -44,10 +58,18 @@ class Vocabulary:
         for s, i in self.specials.items():
             self.bytes_of[i] = s.encode()
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.made_of: dict[int, tuple[int, int, int]] = {}
         for r, pair in enumerate(data["model"]["merges"]):
-            a, b = map(raw, pair.split(" ") if isinstance(pair, str) else pair)
-            self.rank[self.id_of[a], self.id_of[b]] = r, self.id_of[a + b]
-        self.longest = max(map(len, self.id_of))
+            a, b = (self.id_of[raw(x)] for x in (pair.split(" ") if isinstance(pair, str) else pair))
+            whole = self.id_of[self.bytes_of[a] + self.bytes_of[b]]
+            self.rank[a, b] = r, whole
+            self.made_of[whole] = a, b, r
+        self.spines: tuple[dict, dict] = {}, {}
+        self.alone: dict[int, bool] = {}
+        sizes: dict[bytes, set[int]] = defaultdict(set)
+        for b in self.id_of:
+            sizes[b[-3:]].add(len(b))
+        self.tails = Tails({k: tuple(sorted(v, reverse=True)) for k, v in sizes.items()})
 
     def merge(self, data: bytes) -> list[int]:
         """Merges by rank, leftmost first; used only on the bytes of two tokens."""
@@ -60,60 +82,99 @@ class Vocabulary:
             ids[i : i + 2] = [new]
         return ids
 
+    def spine(self, token: int, side: int) -> list[tuple[int, float]]:
+        """The symbols at the token's left (0) or right (1) end while it is built, each with the rank that ends it."""
+        known = self.spines[side].get(token)
+        if known is None:
+            known, end, at = [], float("inf"), token
+            while True:
+                known.append((at, end))
+                if at not in self.made_of:
+                    break
+                end, at = self.made_of[at][2], self.made_of[at][side]
+            known.reverse()
+            self.spines[side][token] = known
+        return known
+
+    def seam_holds(self, before: int, token: int) -> bool:
+        """The two tokens stay apart: no merge over the seam comes before those that build the tokens.
+
+        Of equal ranks the leftmost merge comes first, so a merge over the seam wins against one on its
+        right and loses against one on its left.
+        """
+        if token not in self.alone:
+            self.alone[token] = self.merge(self.bytes_of[token]) == [token]
+        if not self.alone[token]:
+            return False
+        if before < 0:
+            return True
+        left, right = self.spine(before, 1), self.spine(token, 0)
+        i = j = 0
+        while True:
+            (x, x_ends), (y, y_ends) = left[i], right[j]
+            over = self.rank.get((x, y))
+            if over is not None and over[0] < x_ends and over[0] <= y_ends:
+                return False
+            if x_ends <= y_ends:
+                i += 1
+            else:
+                j += 1
+            if i == len(left) or j == len(right):
+                return True
+
 
 class PrefixTrie(dict):
     """word -> ids as little-endian uint32 bytes, by states of a trie of bytes.
 
-    A node is [children or None, last token, node where that token begins]. Both the trie and the
-    words' encodings are forgotten when the trie has more than ``most`` nodes, which bounds memory.
+    Node 0 is the root; ``kids`` maps (node, byte) to a node, ``last`` is a node's last token and
+    ``back`` the node where that token begins. The trie and the words' encodings are forgotten when
+    there are more than ``most`` nodes, which bounds memory.
     """
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = 1_500_000):
         self.v, self.most = vocabulary, most
-        self.seams: dict[tuple[int, int], bool] = {}
+        self.seams: dict[int, bool] = {}
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.root, self.nodes = [{}, -1, None], 0
+        self.kids: dict[int, int] = {}
+        self.last, self.back = array("i", [-1]), array("i", [0])
+
+    def full(self) -> bool:
+        return len(self.last) > self.most
 
     def holds(self, before: int, token: int) -> bool:
         """No merge crosses the seam between the two tokens (before -1: the token stands alone)."""
-        key = before, token
-        known = self.seams.get(key)
-        if known is None:
-            if len(self.seams) > 1_000_000:
-                self.seams.clear()
-            both = (self.v.bytes_of[before] if before >= 0 else b"") + self.v.bytes_of[token]
-            known = self.seams[key] = self.v.merge(both) == ([before, token] if before >= 0 else [token])
+        if len(self.seams) > 1_000_000:
+            self.seams.clear()
+        known = self.seams[before << 20 | token] = self.v.seam_holds(before, token)
         return known
 
     def insert(self, words) -> None:
-        """Insert words in depth-first (sorted) order and keep the encoding of each."""
-        if self.nodes > self.most:
-            self.forget()
-        id_of, longest = self.v.id_of, self.v.longest
+        """Insert words in sorted, that is depth-first order; states of shared prefixes are there already."""
+        id_of, tails, kids, last, back, seams = self.v.id_of, self.v.tails, self.kids, self.last, self.back, self.seams
         for word in sorted(words):
-            data, node, path = word.encode(), self.root, [self.root]
+            data, node, path = word.encode(), 0, [0]
             for depth, byte in enumerate(data, 1):
-                children = node[0]
-                if children is None:
-                    children = node[0] = {}
-                child = children.get(byte)
-                if child is None:
-                    for start in range(max(0, depth - longest), depth):
-                        token = id_of.get(data[start:depth])
-                        if token is not None and self.holds(path[start][1], token):
-                            child = children[byte] = [None, token, path[start]]
-                            break
-                    self.nodes += 1
-                node = child
+                edge = node << 8 | byte
+                node = kids.get(edge)
+                if node is None:
+                    for size in tails[data[depth - 3 : depth] if depth > 3 else data[:depth]]:  # longest first
+                        if size <= depth and (token := id_of.get(data[depth - size : depth])) is not None:
+                            start = path[depth - size]
+                            known = seams.get(last[start] << 20 | token)
+                            if known or known is None and self.holds(last[start], token):
+                                break
+                    node = kids[edge] = len(last)
+                    last.append(token)
+                    back.append(start)
                 path.append(node)
             ids = []
-            while node is not self.root:
-                ids.append(node[1])
-                node = node[2]
-            self[word] = np.array(ids[::-1], dtype="<u4").tobytes()
+            while node:
+                ids.append(last[node])
+                node = back[node]
+            self[word] = array("I", ids[::-1]).tobytes()
 
 
 _tries: dict[str, PrefixTrie] = {}
@@ -127,16 +188,15 @@ def trie(tokenizer_path: str) -> PrefixTrie:
 
 def encode_texts(texts: list[str], tokenizer_path: str) -> Iterator[bytes]:
     """ids of each text as uint32 bytes; the distinct words of the texts go into the trie first."""
-    words, find = trie(tokenizer_path), splitter().findall
+    words = trie(tokenizer_path)
     specials = special_ids(tokenizer_path)
     parts = special_cutter(specials)
-    cut = [[(p, None) if special else (None, find(p)) for p, special in parts(t)] for t in texts]
-    fresh = {w for c in cut for _, ws in c if ws for w in ws}
-    if words.nodes > words.most:
+    cut = [[(p, None) if special else (None, pretokens(p)) for p, special in parts(t)] for t in texts]
+    if words.full():
         words.forget()
-    words.insert(fresh.difference(words))
-    for c in cut:
-        yield b"".join(np.uint32(specials[p]).tobytes() if p else b"".join(map(words.__getitem__, ws)) for p, ws in c)
+    words.insert({w for t in cut for _, ws in t if ws for w in ws}.difference(words))
+    for t in cut:
+        yield b"".join(np.uint32(specials[p]).tobytes() if p else b"".join(map(words.__getitem__, ws)) for p, ws in t)
 
 
 def decode_ids(data: bytes, vocabulary: Vocabulary) -> str:

@@ -16,18 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.llm.common import row_ids, string_list, written
-from keyloom.llm.pretokens import special_cutter, special_ids, splitter
+from keyloom.llm.pretokens import pretokens, special_cutter, special_ids
 
 
 def frequencies(tokenizer_path: str):
     """text -> (number of special strings, Counter of its pre-tokens)."""
-    find, parts = splitter().findall, special_cutter(special_ids(tokenizer_path))
+    parts = special_cutter(special_ids(tokenizer_path))
 
     def of(text: str) -> tuple[int, Counter]:
         cut = parts(text)
         if len(cut) == 1 and not cut[0][1]:
-            return 0, Counter(find(text))
-        words = Counter(w for p, special in cut if not special for w in find(p))
+            return 0, Counter(pretokens(text))
+        words = Counter(w for p, special in cut if not special for w in pretokens(p))
         return sum(special for _, special in cut), words
 
     return of
