@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -36,3 +37,21 @@ def row_ids() -> Iterator[int]:
 def string_list(column: pd.Series) -> list[str]:
     """Texts of a batch; null counts as empty."""
     return [t if isinstance(t, str) else "" for t in column]
+
+
+def by_group(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of rows that follow each other with equal keys, in a task sorted by them."""
+    rest = None
+    for b in batches:
+        b = b if rest is None or not len(rest) else pd.concat([rest, b], ignore_index=True)
+        if not len(b):
+            continue
+        key = b[keys]
+        cuts = np.flatnonzero((key.ne(key.shift()) & ~(key.isna() & key.shift().isna())).any(axis=1).to_numpy()[1:]) + 1
+        lo = 0
+        for hi in cuts:
+            yield b.iloc[lo:hi]
+            lo = hi
+        rest = b.iloc[lo:]
+    if rest is not None and len(rest):
+        yield rest

@@ -77,28 +77,51 @@ def gram_counts(sample: DataFrame, sizes: tuple[int, int], held: int = 300_000)
     return counted.groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def logistic(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, l2: float, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """L2-regularised logistic regression on rows of present features, each worth its scale."""
+def logistic(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, l2: float, rounds: int = 150, memory: int = 8) -> tuple[np.ndarray, float]:
+    """L2-regularised logistic regression on rows of present features, each worth its scale, by L-BFGS."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    cols = np.concatenate(rows).astype(np.int64) if len(rows) else np.empty(0, np.int64)
+    cols = np.concatenate(rows).astype(np.int64)
     x = scale[cols]
-    size = np.bincount(at, x * x, len(rows)) + 1
-    w, bias, step = np.zeros(len(scale)), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), 4.0 / (size.max() + l2)
-    w0, b0 = w, bias
-    for t in range(rounds):  # accelerated gradient steps; the step is 1 / Lipschitz bound of the mean loss
-        m = t / (t + 3)
-        v, c = w + m * (w - w0), bias + m * (bias - b0)
-        w0, b0 = w, bias
-        z = np.bincount(at, x * v[cols], len(rows)) + c
-        d = 1 / (1 + np.exp(-z)) - y
-        grad = np.bincount(cols, x * d[at], len(scale)) / len(y) + l2 * v / len(y)
-        w, bias = v - step * grad, c - step * d.mean()
-    return w, bias
+
+    def loss(v: np.ndarray) -> tuple[float, np.ndarray]:
+        w, z = v[:-1], np.bincount(at, x * v[cols], len(rows)) + v[-1]
+        value = np.logaddexp(0, z).sum() - z @ y + l2 / 2 * (w @ w)
+        d = 1 / (1 + np.exp(-np.clip(z, -700, 700))) - y
+        return value, np.r_[np.bincount(cols, x * d[at], len(scale)) + l2 * w, d.sum()]
+
+    v = np.zeros(len(scale) + 1)
+    v[-1] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    f, g = loss(v)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        p, kept = g.copy(), []
+        for s, t, r in reversed(past):
+            kept.append(r * (s @ p))
+            p -= kept[-1] * t
+        p *= past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, np.abs(g).sum())
+        for (s, t, r), a in zip(past, reversed(kept), strict=True):
+            p += (a - r * (t @ p)) * s
+        step, slope = 1.0, g @ p
+        while step > 1e-10:  # backtracking
+            nv = v - step * p
+            nf, ng = loss(nv)
+            if nf <= f - 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        if (nv - v) @ (ng - g) > 1e-12:
+            past = [*past[1 - memory :], (nv - v, ng - g, 1 / ((nv - v) @ (ng - g)))]
+        done = f - nf < 1e-6 * abs(f)
+        v, f, g = nv, nf, ng
+        if done:
+            break
+    return v[:-1], float(v[-1])
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 20_000, features: int = 4096,
-    sizes: tuple[int, int] = (3, 5), least: int = 5, smoothing: float = 1.0, l2: float = 1.0,
+    sizes: tuple[int, int] = (3, 5), least: int = 5, smoothing: float = 1.0, l2: float = 10.0,
 ) -> Model:
     """Fit on the texts of docs (doc_id, text) that labels (doc_id, ``label`` 0 or 1) marks.
 
@@ -148,3 +171,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def held_out(doc_id: str = "doc_id"):
     """crc32 of the id as text, modulo 5, is 0."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns, whose text scores below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        of_word = WordFeatures(m.grams, m.sizes)
+        for b in batches:
+            z = np.array([m.bias + m.weights[text_features(t, of_word)].sum() for t in string_list(b["text"])])
+            yield b[1 / (1 + np.exp(-np.clip(z, -700, 700))) < threshold]
+
+    return docs.mapInPandas(run, docs.schema)
