@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import bpe, jaccard, language, packing, quality, token_counts, toxicity, url_filter
+from keyloom.llm import bpe, chat, jaccard, language, packing, quality, token_counts, topk, toxicity, url_filter
 from keyloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,7 +91,25 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir), k=4, percent=85)
 
 
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
 @query
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     return bpe.round_trip_digests(documents(spark, sf_dir), TOKENIZER)
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical turns of every conversation, as recovered from a transcript with a third of the markers missing.
+
+    The model is fitted on the conversations whose crc32 of the id, modulo 5, is not 0.
+    """
+    turns = chat.transcript(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    model = chat.fit(turns.filter(~toxicity.held_out("conv_id")))
+    return chat.parse(turns, model).withColumn("held_out", toxicity.held_out("conv_id"))
