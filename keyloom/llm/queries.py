@@ -9,11 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import bpe, chat, jaccard, language, packing, quality, token_counts, topk, toxicity, url_filter
+from keyloom.llm import bpe, chat, jaccard, language, oracles, packing, quality, token_counts, topk, toxicity, url_filter
 from keyloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracles.ORACLE_SQL
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
