@@ -38,11 +38,13 @@ def match_rules(commands: DataFrame, rules: DataFrame, containers: list[str] = (
     """
     base = F.substring_index("command", "|", 1)
     c = commands.withColumn("_base", F.when(F.col("command").contains("|") & ~base.isin(*containers), base)) if containers else commands.withColumn("_base", base)
-    exact = rules.filter("kind = 'exact'").select(F.col("pattern").alias("_p"), F.struct("title", "severity").alias("_r"))
-    on = lambda name, key: exact.select(F.col("_p").alias(f"_{name}p"), F.col("_r").alias(f"_{name}")), F.col(key) == F.col(f"_{name}p")
-    (e, e_on), (b, b_on) = on("e", "command"), on("b", "_base")
-    prefix = rules.filter("kind = 'prefix'").select(F.col("pattern").alias("_x"), F.struct("title", "severity").alias("_f"))
-    met = c.join(e, e_on, "left").join(b, b_on, "left").join(F.broadcast(prefix.limit(1000)), F.startswith("command", F.col("_x")), "left")  # prefix rules are few
+    exact = rules.filter("kind = 'exact'").select("pattern", F.struct("title", "severity").alias("rule"))
+    e = exact.select(F.col("pattern").alias("_ep"), F.col("rule").alias("_e"))
+    b = exact.select(F.col("pattern").alias("_bp"), F.col("rule").alias("_b"))
+    starts = c.select("command").distinct().withColumn("_x", F.explode(F.transform(F.sequence(F.lit(1), F.length("command")), lambda n: F.left("command", n))))
+    fits = starts.join(rules.filter("kind = 'prefix'").select(F.col("pattern").alias("_x"), F.struct("title", "severity").alias("_f")), "_x")
+    longest = fits.groupBy("command").agg(F.max_by("_f", F.length("_x")).alias("_f"))
+    met = c.join(e, F.col("command") == F.col("_ep"), "left").join(b, F.col("_base") == F.col("_bp"), "left").join(longest, "command", "left")
     hit = met.withColumn("_r", F.coalesce("_e", "_b", "_f")).filter("_r is not null").select("source", "command", "_r.title", "_r.severity")
     return hit.groupBy("source", "title", "severity").agg(F.min("command").alias("command"))
 
