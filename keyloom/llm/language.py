@@ -49,7 +49,7 @@ def fit_text(docs: DataFrame, languages: list[str], declared: str, most: int) ->
         total = np.zeros((len(languages), BUCKETS), np.int64)
         for b in batches:
             for text, x in zip(string_list(b["text"]), b["l"], strict=True):
-                total[number[x]] += np.bincount(trigrams(text), minlength=BUCKETS)
+                np.add.at(total[number[x]], trigrams(text), 1)
         at, gram = np.nonzero(total)
         yield pd.DataFrame({"l": at, "gram": gram, "n": total[at, gram]})
 
@@ -66,9 +66,11 @@ def text_evidence(docs: DataFrame, table: np.ndarray, declared: str, host: str)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = shared.value
         for b in batches:
-            found = [trigrams(x) for x in string_list(b["text"])]
-            out = b.drop(columns="text")
-            yield out.assign(grams=[len(g) for g in found], loglik=[t[g].sum(axis=0) for g in found])
+            grams, loglik = [], []
+            for x in string_list(b["text"]):  # one text's trigrams at a time
+                g = trigrams(x)
+                grams.append(len(g)), loglik.append(t[g].sum(axis=0))
+            yield b.drop(columns="text").assign(grams=grams, loglik=loglik)
 
     cols = docs.select(F.col("doc_id").cast("long"), F.col(declared).cast("string").alias("declared"), F.col(host).cast("string").alias("host"), "text")
     return cols.mapInPandas(run, "doc_id long, declared string, host string, grams long, loglik array<double>")

@@ -42,7 +42,7 @@ class WordFeatures(dict):
         self.grams, self.sizes = grams, sizes
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         kept = self.grams
         found = self[word] = tuple(kept[g] for g in grams_of(word, self.sizes) if g in kept)
@@ -54,7 +54,7 @@ def text_features(text: str, of_word: WordFeatures) -> list[int]:
     return sorted({f for w in set(text.lower().split()) for f in of_word[w]})
 
 
-def gram_counts(sample: DataFrame, sizes: tuple[int, int], held: int = 300_000) -> DataFrame:
+def gram_counts(sample: DataFrame, sizes: tuple[int, int], held: int = 150_000) -> DataFrame:
     """(gram, pos, neg): texts of either class with the n-gram. sample: text, label."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
