@@ -72,7 +72,10 @@ def fit(turns: DataFrame, smoothing: float = 0.5) -> Model:
     emit = [np.full((S, n), smoothing) for n in FEATURES]
     for r in seen.groupBy("state", "feature", "value").agg(F.sum("n").alias("n")).collect():  # states times values
         emit[r["feature"]][r["state"], r["value"]] += r["n"]
+    known_markers = 5.0  # as if so many first lines had been seen with the marker of their own role, and later ones without
     first = np.array([[emit[0][2 * r].sum(), emit[0][2 * r + 1].sum()] for r in range(len(ROLES))])  # first and later lines
+    emit[0][range(0, S, 2), range(1, 1 + len(ROLES))] += known_markers
+    emit[0][1::2, 0] += known_markers
 
     after = known.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"))
     change = np.full((len(ROLES), len(ROLES)), smoothing)

@@ -97,7 +97,7 @@ def block_top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray,
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, per_block: int = 4096, query_block: int = 256, levels: int = 12) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest integer inner products of every query with all other vectors.
 
-    vectors and queries: vec_id, embedding. Components count as floor(scale * x). Fewer than k others give
+    vectors and queries: vec_id, embedding. Components count as floor(scale * x); scores must fit a long. Fewer than k others give
     fewer rows; without vectors or queries the result is empty.
     """
     x = written(blocks(usable(vectors), per_block, scale))
