@@ -55,7 +55,7 @@ class ChunkWait(StatefulProcessor):
         self.handle = handle
         self.parts = handle.getMapState("parts", "chunk int", "items string, chunks int, type string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for b in rows:
             for r in b.itertuples(index=False):
                 if not self.parts.containsKey((int(r.chunk),)):
@@ -67,9 +67,9 @@ class ChunkWait(StatefulProcessor):
             items = [x for i in sorted(held) for x in json.loads(held[i][0])]
             yield pd.DataFrame({"key": [key[0]], "type": [kind], "items": [items], "reason": [None]})
         else:
-            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.wait_ms)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = {k[0]: v for k, v in self.parts.iterator()}
         if held:
             self.parts.clear()
@@ -97,8 +97,8 @@ class RetryHold(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getValueState("waiting", "seq long, value string, tries int")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        now, out = timers.getCurrentProcessingTimeInMs(), []
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now, out = timerValues.getCurrentProcessingTimeInMs(), []
         for b in rows:
             for r in b.sort_values("seq").itertuples(index=False):
                 held = self.waiting.get() if self.waiting.exists() else None
@@ -115,7 +115,7 @@ class RetryHold(StatefulProcessor):
                     self.waiting.update((int(r.seq), r.value, held[2]))
         yield pd.DataFrame(out, columns=["key", "seq", "value", "tries", "action"])
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.waiting.exists():
             seq, value, tries = self.waiting.get()
             self.waiting.clear()
