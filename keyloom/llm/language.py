@@ -4,6 +4,11 @@ log P(l | all) = c + temper * log P(text | l) + log P(declared | l) + log P(l |
 come from byte trigrams; how far declared languages can be trusted, and the priors of hosts, come from
 grouped counts over all rows. A host's prior is smoothed towards that of its address suffix, and
 that one towards the corpus.
+
+One more hypothesis, "none of these", has a log likelihood a trigram that depends on the language whose
+model explains the text best: half-way between what texts of that language have under its model and
+what texts of other languages have under it where it is their second best, which tells how a text of a
+language without a model would look. It is never less than that of the uniform trigram model.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from pyspark.sql import functions as F
 from keyloom.llm.common import string_list, written
 
 BUCKETS = 1 << 15
+UNIFORM = -float(np.log(BUCKETS))
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -60,7 +66,10 @@ def fit_text(docs: DataFrame, languages: list[str], declared: str, most: int) ->
 
 
 def text_evidence(docs: DataFrame, table: np.ndarray, declared: str, host: str) -> DataFrame:
-    """doc_id, declared, host, grams (number of trigrams) and loglik (one per language)."""
+    """doc_id, declared, host, grams (number of trigrams), loglik (one per language), best and second (best languages, from 1).
+
+    ``second`` is 0 where there is one language only. Equal likelihoods go to the first language.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(table.T))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,10 +79,37 @@ def text_evidence(docs: DataFrame, table: np.ndarray, declared: str, host: str)
             for x in string_list(b["text"]):  # one text's trigrams at a time
                 g = trigrams(x)
                 grams.append(len(g)), loglik.append(t[g].sum(axis=0))
-            yield b.drop(columns="text").assign(grams=grams, loglik=loglik)
+            order = np.argsort(-np.reshape(loglik, (len(b), t.shape[1])), axis=1, kind="stable") + 1
+            second = order[:, 1] if t.shape[1] > 1 else 0
+            yield b.drop(columns="text").assign(grams=grams, loglik=loglik, best=order[:, 0], second=second)
 
     cols = docs.select(F.col("doc_id").cast("long"), F.col(declared).cast("string").alias("declared"), F.col(host).cast("string").alias("host"), "text")
-    return cols.mapInPandas(run, "doc_id long, declared string, host string, grams long, loglik array<double>")
+    return cols.mapInPandas(run, "doc_id long, declared string, host string, grams long, loglik array<double>, best int, second int")
+
+
+def background_levels(seen: DataFrame, k: int) -> np.ndarray:
+    """Log likelihood a trigram of "none of these" for texts that each of the k languages explains best.
+
+    Learnt from all rows that declare the language which explains them best, and better than the uniform
+    model. Between a language's median text and its level are three spreads of its texts or more; the
+    spread is the distance from the median to the upper sixth, which junk below does not widen. A
+    language without such rows has no usable model: its level, 0, is above all texts.
+    """
+    own, other = F.get("loglik", F.col("best") - 1), F.get("loglik", F.col("second") - 1)
+    good = seen.filter((F.col("grams") > 0) & (F.col("said") == F.col("best"))).withColumns({"own": own, "other": other}).filter(F.col("own") > UNIFORM * F.col("grams"))
+    bins: list[list[tuple[int, int]]] = [[] for _ in range(k)]
+    for r in good.groupBy("best", F.floor(F.col("own") / F.col("grams") * 100).alias("bin")).count().collect():  # about a thousand bins a language
+        bins[r["best"] - 1].append((r["bin"], r["count"]))
+    away = np.full(k, UNIFORM)
+    for r in good.filter("second > 0").groupBy("second").agg((F.sum("other") / F.sum("grams")).alias("mean")).collect():  # at most k rows
+        away[r["second"] - 1] = max(UNIFORM, r["mean"])
+    level = np.zeros(k)
+    for i in range(k):
+        if bins[i]:
+            value, n = np.array(sorted(bins[i])).T
+            middle, upper = (value[np.searchsorted(n.cumsum(), share * n.sum())] / 100 for share in (1 / 2, 5 / 6))
+            level[i] = max(UNIFORM, min((middle + away[i]) / 2, middle - 3 * (upper - middle)))
+    return level
 
 
 def identify(
@@ -82,28 +118,31 @@ def identify(
 ) -> DataFrame:
     """doc_id, language, posterior, text_language, kept: a row for every row of docs.
 
-    ``languages`` defaults to the 64 most declared ones. The text model is fitted on at most ``most`` rows,
-    the first by a hash of doc_id. Kept are rows with a letter whose best language has a posterior of
-    ``least`` or more; a text without letters is "und" and not kept. Null declarations and hosts are no
-    evidence; unknown declarations count as one other value. Ties go to the first language by name.
+    ``languages`` defaults to the 64 most declared ones; texts in any other are "none of these". The text
+    model is fitted on at most ``most`` rows, the first by a hash of doc_id. Kept are rows with a letter
+    whose best language has a posterior of ``least`` or more; a text without letters, or whose best
+    hypothesis is "none of these", is "und" and not kept. Null declarations and hosts are no evidence;
+    unknown declarations count as one other value. Ties go to the first language by name.
     """
     if languages is None:
         named = docs.filter(f"trim({declared}) <> ''").groupBy(declared).count().orderBy(F.desc("count"), declared).limit(64)
         languages = sorted(r[0] for r in named.collect())
     if not languages:
         return docs.select(F.col("doc_id").cast("long"), F.lit("und").alias("language"), F.lit(0.0).alias("posterior"), F.lit("und").alias("text_language"), F.lit(False).alias("kept"))
-    names, k = F.array(*map(F.lit, languages)), len(languages)
+    names, k = F.array(*map(F.lit, languages), F.lit("und")), len(languages) + 1  # the last one is "none of these"
     seen = written(text_evidence(docs, fit_text(docs, languages, declared, most), declared, host))
-    at_best = F.array_position("loglik", F.array_max("loglik")).cast("int")
     seen = seen.withColumns({
-        "best": F.when(F.col("grams") > 0, at_best),
         "suffix": suffix_of(F.col("host")),
         "said": F.when(F.col("declared").isin(languages), F.array_position(names, F.col("declared")).cast("int")).when(F.col("declared").isNotNull(), 0),
     })
+    levels = F.array(*(F.lit(float(x)) for x in background_levels(seen, k - 1)))
+    seen = seen.withColumn("loglik", F.concat("loglik", F.array(F.col("grams") * F.get(levels, F.col("best") - 1))))
+    at_best = F.array_position("loglik", F.array_max("loglik")).cast("int")
+    seen = seen.withColumn("best", F.when(F.col("grams") > 0, at_best))
 
     counts = seen.filter("best is not null").groupBy("suffix", "host", "best", "said").agg(F.count("*").alias("n"))
     counts = written(counts)
-    trust = np.ones((k + 1, k))  # rows: declared (0 other), columns: language of the text
+    trust = np.ones((k, k))  # rows: declared (0 other), columns: language of the text
     root = np.ones(k)
     for r in counts.groupBy("best", "said").agg(F.sum("n").alias("n")).collect():  # at most languages squared
         root[r["best"] - 1] += r["n"]
@@ -134,5 +173,5 @@ def identify(
     some = F.col("grams") > 0
     return scored.select(
         "doc_id", F.when(some, F.col("language")).otherwise("und").alias("language"), F.when(some, F.col("posterior")).otherwise(0.0).alias("posterior"),
-        F.coalesce("text_language", F.lit("und")).alias("text_language"), (some & (F.col("posterior") >= least)).alias("kept"),
+        F.coalesce("text_language", F.lit("und")).alias("text_language"), (some & (F.col("language") != "und") & (F.col("posterior") >= least)).alias("kept"),
     )
