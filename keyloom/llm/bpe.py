@@ -17,9 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from keyloom.llm.common import string_list
+from keyloom.llm.common import exact, exact_longs, string_list
 from keyloom.llm.pretokens import pretokens, special_cutter, special_ids
 
 
@@ -225,9 +224,9 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             texts = string_list(b["text"])
             for lo, hi in slices(texts):
                 ids = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in encode_texts(texts[lo:hi], tokenizer_path)]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[lo:hi].astype("Int64").to_list(), "ids": ids}).astype({"doc_id": "Int64"})
+                yield pd.DataFrame({"doc_id": exact_longs(b.iloc[lo:hi]).array, "ids": ids})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, ids array<int>")
+    return docs.select(*exact(), "text").mapInPandas(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -237,9 +236,9 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
         v = trie(tokenizer_path).v
         for b in batches:
             out = ["" if x is None else decode_ids(np.asarray(x, dtype="<u4").tobytes(), v) for x in b["ids"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text": out})
+            yield pd.DataFrame({"doc_id": exact_longs(b), "text": out})
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
+    return encoded.select(*exact(), "ids").mapInPandas(run, "doc_id long, text string")
 
 
 def round_trip_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -254,9 +253,9 @@ def round_trip_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     decoded = decode_ids(data, v).encode()
                     rows.append((len(data) // 4, hashlib.sha256(data).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", b["doc_id"].astype("Int64").reset_index(drop=True))
+            out.insert(0, "doc_id", exact_longs(b).array)
             yield out
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
+    return docs.select(*exact(), "text").mapInPandas(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from keyloom.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["checkpointed", "row_ids", "written"]
+__all__ = ["checkpointed", "exact", "exact_longs", "row_ids", "written"]
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -34,6 +35,17 @@ def row_ids() -> Iterator[int]:
         n += 1
 
 
+def exact(name: str = "doc_id") -> tuple[Column, Column]:
+    """A nullable long as two columns without nulls, ``name`` and ``no_name``: pandas makes doubles of longs with nulls."""
+    value = F.col(name).cast("long")
+    return F.coalesce(value, F.lit(0).cast("long")).alias(name), value.isNull().alias(f"no_{name}")
+
+
+def exact_longs(b: pd.DataFrame, name: str = "doc_id") -> pd.Series:
+    """The nullable longs that the columns of ``exact`` stand for."""
+    return pd.Series(pd.arrays.IntegerArray(b[name].to_numpy(np.int64), b[f"no_{name}"].to_numpy(bool), copy=True), index=b.index)
+
+
 def string_list(column: pd.Series) -> list[str]:
     """Texts of a batch; null counts as empty."""
     return [t if isinstance(t, str) else "" for t in column]

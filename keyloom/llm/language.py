@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import string_list, written
+from keyloom.llm.common import exact, exact_longs, string_list, written
 
 BUCKETS = 1 << 15
 UNIFORM = -float(np.log(BUCKETS))
@@ -81,9 +81,9 @@ def text_evidence(docs: DataFrame, table: np.ndarray, declared: str, host: str)
                 grams.append(len(g)), loglik.append(t[g].sum(axis=0))
             order = np.argsort(-np.reshape(loglik, (len(b), t.shape[1])), axis=1, kind="stable") + 1
             second = order[:, 1] if t.shape[1] > 1 else 0
-            yield b.drop(columns="text").assign(grams=grams, loglik=loglik, best=order[:, 0], second=second)
+            yield b[["declared", "host"]].assign(doc_id=exact_longs(b), grams=grams, loglik=loglik, best=order[:, 0], second=second)
 
-    cols = docs.select(F.col("doc_id").cast("long"), F.col(declared).cast("string").alias("declared"), F.col(host).cast("string").alias("host"), "text")
+    cols = docs.select(*exact(), F.col(declared).cast("string").alias("declared"), F.col(host).cast("string").alias("host"), "text")
     return cols.mapInPandas(run, "doc_id long, declared string, host string, grams long, loglik array<double>, best int, second int")
 
 

@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyloom.llm.bpe import Vocabulary
-from keyloom.llm.common import row_ids, string_list, written
+from keyloom.llm.common import exact, exact_longs, row_ids, string_list, written
 from keyloom.llm.pretokens import PATTERN
 
 PIECES = "row_id long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -63,7 +64,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
         end = np.array([end_id], dtype="<u4").tobytes()
         for b in batches:
             rows = []
-            for doc, text in zip(b["doc_id"], string_list(b["text"]), strict=True):
+            for doc, text in zip(exact_longs(b).to_list(), string_list(b["text"]), strict=True):
                 data = encode(text) + end
                 total = len(data) // 4
                 first = total % capacity or capacity
@@ -72,9 +73,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
                 while start < total:
                     rows.append((next(ids), doc, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)])))
                     start, length, piece = start + length, capacity, piece + 1
-            yield pd.DataFrame(rows, columns=["row_id", "doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            out = pd.DataFrame(rows, columns=["row_id", "doc_id", "piece", "start", "length", "ids_crc32"], dtype=object)
+            yield out.astype({"doc_id": "Int64"} | dict.fromkeys(out.columns.drop("doc_id"), "int64"))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, PIECES)
+    return docs.select(*exact(), "text").mapInPandas(run, PIECES)
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[pd.DataFrame, int]:
@@ -137,23 +139,24 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     ranked = ranked.withColumn("_rank", F.col("_local") + F.col("_start")).drop("_part", "_local", "_start", "row_id")
     keep = [f for f in ranked.schema.fields if f.name != "_rank"]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_length = shared.value
         for b in batches:
-            rank, length = b["_rank"].to_numpy(), b["length"].to_numpy()
-            sequence, offset = np.empty(len(b), np.int64), np.empty(len(b), np.int64)
+            rank, length = b.column("_rank").to_numpy(zero_copy_only=False), b.column("length").to_numpy(zero_copy_only=False)
+            sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
             for one in np.unique(length):
                 at = np.flatnonzero(length == one)
                 lo, first, per, base = by_length[int(one)]
                 k = np.searchsorted(lo, rank[at], side="right") - 1
                 r = rank[at] - lo[k]
                 sequence[at], offset[at] = first[k] + r // per[k], base[k] + r % per[k] * one
-            yield b.drop(columns="_rank").assign(sequence_id=sequence, offset=offset)
+            own = [b.column(n) for n in b.schema.names if n != "_rank"]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(sequence), pa.array(offset)], [*(n for n in b.schema.names if n != "_rank"), "sequence_id", "offset"])
 
     from pyspark.sql.types import LongType, StructField, StructType
 
     schema = StructType([*keep, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return ranked.mapInPandas(place, schema)
+    return ranked.mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:

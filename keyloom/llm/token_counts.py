@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import row_ids, string_list, written
+from keyloom.llm.common import exact, exact_longs, row_ids, string_list, written
 from keyloom.llm.pretokens import pretokens, special_cutter, special_ids
 
 
@@ -76,7 +76,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, head: int = 262_144) -> D
         of, get, ids = frequencies(tokenizer_path), lookup.value.get, row_ids()
         for b in batches:
             row, doc, size, word, n = [], [], [], [], []
-            for d, text in zip(b["doc_id"], string_list(b["text"]), strict=True):
+            for d, text in zip(exact_longs(b).to_list(), string_list(b["text"]), strict=True):
                 total, words = of(text)
                 r = next(ids)
                 for w, k in words.items():
@@ -89,7 +89,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, head: int = 262_144) -> D
                 row.append(r), doc.append(d), size.append(len(text.encode())), word.append(f"\0{r}"), n.append(total)
             yield pd.DataFrame({"row": row, "doc_id": pd.array(doc, "Int64"), "n_bytes": pd.array(size, "Int64"), "pretoken": word, "n": n})
 
-    parts = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(known, "row long, doc_id long, n_bytes long, pretoken string, n long")
+    parts = docs.select(*exact(), "text").mapInPandas(known, "row long, doc_id long, n_bytes long, pretoken string, n long")
     joined = parts.join(table.select("pretoken", "pieces"), "pretoken", "left")
     return (
         joined.groupBy("row")

@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import string_list
+from keyloom.llm.common import exact, exact_longs, string_list
 
 
 @dataclass(frozen=True)
@@ -163,9 +164,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         of_word = WordFeatures(m.grams, m.sizes)
         for b in batches:
             z = np.array([m.bias + m.weights[text_features(t, of_word)].sum() for t in string_list(b["text"])])
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "score": 1 / (1 + np.exp(-np.clip(z, -700, 700)))})
+            yield pd.DataFrame({"doc_id": exact_longs(b), "score": 1 / (1 + np.exp(-np.clip(z, -700, 700)))})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, score double")
+    return docs.select(*exact(), "text").mapInPandas(run, "doc_id long, score double")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -174,14 +175,14 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns, whose text scores below the threshold."""
+    """The rows of docs, all columns, whose text scores below the threshold. Rows pass through Arrow, which keeps every value."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         of_word = WordFeatures(m.grams, m.sizes)
         for b in batches:
-            z = np.array([m.bias + m.weights[text_features(t, of_word)].sum() for t in string_list(b["text"])])
-            yield b[1 / (1 + np.exp(-np.clip(z, -700, 700))) < threshold]
+            z = np.array([m.bias + m.weights[text_features(t, of_word)].sum() for t in string_list(b.column("text").to_pylist())], float)
+            yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))) < threshold))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -2,11 +2,12 @@
 
 import random
 
+import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 
-from keyloom.llm import language
+from keyloom.llm import bpe, jaccard, language, packing, token_counts, toxicity
 
+PATH = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -30,3 +31,31 @@ def test_none_of_the_languages(spark, known):
     got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, DOCS)).collect()}
     assert all(got[i].kept and got[i].language == texts[i][1] for i in range(n))
     assert not any(got[i].kept or got[i].language != "und" for i in range(n, n + 30))
+
+
+WIDE = (1 << 60) + 1  # no double
+
+
+def test_wide_ids_beside_a_null_one(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = prose(1, "abcdefghijklmnopqrstuvwxyz", 30)
+    texts[2] = texts[1]
+    ids = [None, *(WIDE + 2 * i for i in range(1, 30))]
+    rows = [(d, t, "l0", "s", None if d is None else d + 1) for d, t in zip(ids, texts, strict=True)]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)  # one batch
+    labels = spark.createDataFrame([(d, 0) for d in ids[1:]], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    encoded = bpe.encode(docs, PATH)
+    linked = jaccard.jaccard_components(docs)
+    for name, out in {
+        "op2": toxicity.score(docs, model), "op3": language.identify(docs), "op5": token_counts.token_counts(docs, PATH), "op6": packing.pack_documents(docs, PATH),
+        "op7": linked, "op9": bpe.round_trip_digests(docs, PATH), "encode": encoded, "decode": bpe.decode(encoded, PATH),
+    }.items():
+        assert {r.doc_id for r in out.collect()} == set(ids), name
+    assert {r.doc_id: r.component_id for r in linked.collect()} == {d: d for d in ids} | {ids[2]: ids[1]}
+    kept = toxicity.keep_clean(docs, model)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(ids) - {ids[2]}
