@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from keyloom.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["checkpointed", "exact", "exact_longs", "row_ids", "written"]
+__all__ = ["checkpointed", "exact", "exact_longs", "row_ids", "row_key", "written"]
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -35,6 +35,11 @@ def row_ids() -> Iterator[int]:
         n += 1
 
 
+def row_key(*names: str) -> Column:
+    """64-bit hash of a row's values in these columns, nulls told apart; n distinct rows have about n^2 / 2^65 false matches."""
+    return F.xxhash64(*(F.col(n).isNull() for n in names), *names)
+
+
 def exact(name: str = "doc_id") -> tuple[Column, Column]:
     """A nullable long as two columns without nulls, ``name`` and ``no_name``: pandas makes doubles of longs with nulls."""
     value = F.col(name).cast("long")

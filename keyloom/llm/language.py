@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import exact, exact_longs, string_list, written
+from keyloom.llm.common import exact, exact_longs, row_key, string_list, written
 
 BUCKETS = 1 << 15
 UNIFORM = -float(np.log(BUCKETS))
@@ -66,7 +66,7 @@ def fit_text(docs: DataFrame, languages: list[str], declared: str, most: int) ->
 
 
 def text_evidence(docs: DataFrame, table: np.ndarray, declared: str, host: str) -> DataFrame:
-    """doc_id, declared, host, grams (number of trigrams), loglik (one per language), best and second (best languages, from 1).
+    """row (key of the row's evidence and doc_id), doc_id, declared, host, grams (number of trigrams), loglik (one per language), best and second (best languages, from 1).
 
     ``second`` is 0 where there is one language only. Equal likelihoods go to the first language.
     """
@@ -81,10 +81,10 @@ def text_evidence(docs: DataFrame, table: np.ndarray, declared: str, host: str)
                 grams.append(len(g)), loglik.append(t[g].sum(axis=0))
             order = np.argsort(-np.reshape(loglik, (len(b), t.shape[1])), axis=1, kind="stable") + 1
             second = order[:, 1] if t.shape[1] > 1 else 0
-            yield b[["declared", "host"]].assign(doc_id=exact_longs(b), grams=grams, loglik=loglik, best=order[:, 0], second=second)
+            yield b[["row", "declared", "host"]].assign(doc_id=exact_longs(b), grams=grams, loglik=loglik, best=order[:, 0], second=second)
 
-    cols = docs.select(*exact(), F.col(declared).cast("string").alias("declared"), F.col(host).cast("string").alias("host"), "text")
-    return cols.mapInPandas(run, "doc_id long, declared string, host string, grams long, loglik array<double>, best int, second int")
+    cols = docs.select(row_key("doc_id", "text", declared, host).alias("row"), *exact(), F.col(declared).cast("string").alias("declared"), F.col(host).cast("string").alias("host"), "text")
+    return cols.mapInPandas(run, "row long, doc_id long, declared string, host string, grams long, loglik array<double>, best int, second int")
 
 
 def background_levels(seen: DataFrame, k: int) -> np.ndarray:
@@ -112,11 +112,22 @@ def background_levels(seen: DataFrame, k: int) -> np.ndarray:
     return level
 
 
-def identify(
+def identify(docs: DataFrame, languages: list[str] | None = None, declared: str = "lang", host: str = "source", **how) -> DataFrame:
+    """What ``judged`` finds, without the key."""
+    return judged(docs, languages, declared, host, **how).drop("row")
+
+
+def keep_identified(docs: DataFrame, languages: list[str] | None = None, declared: str = "lang", host: str = "source", **how) -> DataFrame:
+    """The rows of docs, all columns, that are kept. Rows with equal ids, null ones too, are judged one by one."""
+    kept = judged(docs, languages, declared, host, **how).filter("kept").select(F.col("row").alias("_kept")).distinct()
+    return docs.join(kept, row_key("doc_id", "text", declared, host) == F.col("_kept"), "left_semi")
+
+
+def judged(
     docs: DataFrame, languages: list[str] | None = None, declared: str = "lang", host: str = "source",
     temper: float = 0.3, strength: float = 20.0, least: float = 0.5, most: int = 8_000,
 ) -> DataFrame:
-    """doc_id, language, posterior, text_language, kept: a row for every row of docs.
+    """row, doc_id, language, posterior, text_language, kept: a row for every row of docs.
 
     ``languages`` defaults to the 64 most declared ones; texts in any other are "none of these". The text
     model is fitted on at most ``most`` rows, the first by a hash of doc_id. Kept are rows with a letter
@@ -128,7 +139,7 @@ def identify(
         named = docs.filter(f"trim({declared}) <> ''").groupBy(declared).count().orderBy(F.desc("count"), declared).limit(64)
         languages = sorted(r[0] for r in named.collect())
     if not languages:
-        return docs.select(F.col("doc_id").cast("long"), F.lit("und").alias("language"), F.lit(0.0).alias("posterior"), F.lit("und").alias("text_language"), F.lit(False).alias("kept"))
+        return docs.select(row_key("doc_id", "text", declared, host).alias("row"), F.col("doc_id").cast("long"), F.lit("und").alias("language"), F.lit(0.0).alias("posterior"), F.lit("und").alias("text_language"), F.lit(False).alias("kept"))
     names, k = F.array(*map(F.lit, languages), F.lit("und")), len(languages) + 1  # the last one is "none of these"
     seen = written(text_evidence(docs, fit_text(docs, languages, declared, most), declared, host))
     seen = seen.withColumns({
@@ -166,12 +177,12 @@ def identify(
     )
     top = F.array_max("total")
     scored = joined.withColumn("total", total).select(
-        "doc_id", "grams", F.element_at(names, F.array_position("total", top).cast("int")).alias("language"),
+        "row", "doc_id", "grams", F.element_at(names, F.array_position("total", top).cast("int")).alias("language"),
         (1 / F.aggregate(F.transform("total", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)).alias("posterior"),
         F.element_at(names, F.col("best")).alias("text_language"),
     )
     some = F.col("grams") > 0
     return scored.select(
-        "doc_id", F.when(some, F.col("language")).otherwise("und").alias("language"), F.when(some, F.col("posterior")).otherwise(0.0).alias("posterior"),
+        "row", "doc_id", F.when(some, F.col("language")).otherwise("und").alias("language"), F.when(some, F.col("posterior")).otherwise(0.0).alias("posterior"),
         F.coalesce("text_language", F.lit("und")).alias("text_language"), (some & (F.col("language") != "und") & (F.col("posterior") >= least)).alias("kept"),
     )

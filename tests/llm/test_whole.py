@@ -59,3 +59,26 @@ def test_wide_ids_beside_a_null_one(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(ids) - {ids[2]}
+
+
+def test_links_through_rows_without_id_and_ids_with_two_texts(spark):
+    words = [f"w{i}" for i in range(100)]
+    swap = lambda at, by: " ".join(by if i in at else w for i, w in enumerate(words))
+    a, between, b = swap((), ""), swap((30,), "x"), swap((30, 60), "x")  # 80 % of shingles: a - between - b only
+    other, alone = " ".join(f"v{i}" for i in range(50)), " ".join(f"u{i}" for i in range(50))
+    rows = [(5, a), (None, between), (7, b), (9, other), (9, alone), (None, alone), (3, alone), (None, "p q r s t u"), (None, "p q r s t u"), (8, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", i) for i, (d, t) in enumerate(rows)], DOCS)
+    for block in (512, 2):
+        got = jaccard.jaccard_components(docs, percent=90, block=block).collect()
+        found = sorted(((r.doc_id, r.component_id, r.n_links) for r in got), key=str)
+        want = [(5, 5, 1), (None, 5, 2), (7, 5, 1), (9, 9, 0), (9, 3, 2), (None, 3, 2), (3, 3, 2), (None, None, 1), (None, None, 1), (8, 8, 0), (None, None, 0), (None, None, 0)]
+        assert found == sorted(want, key=str)
+    left = sorted(((r.doc_id, r.text) for r in jaccard.drop_linked(docs, percent=90).collect()), key=str)
+    assert left == sorted([(5, a), (9, other), (3, alone), (None, "p q r s t u"), (8, ""), (None, None), (None, None)], key=str)
+
+
+def test_rows_of_one_id_are_identified_one_by_one(spark):
+    texts = prose(0, "abcdefghijklmnopqrstuvwxyz", 40)
+    rows = [(i % 39 or None, t, "l0", "s", 0) for i, t in enumerate(texts)] + [(1, "12 34", "l0", "s", 0), (None, "56", "l0", "s", 0), (2, texts[2], "l0", "s", 1)]
+    left = language.keep_identified(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r.text for r in left) == sorted([*texts, texts[2]])
