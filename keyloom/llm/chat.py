@@ -3,7 +3,9 @@
 States are (role, first line of a turn) and (role, later line). Emissions are the speaker marker at the
 start of a line and features of the line. Viterbi runs in blocks: a block of lines is a max-plus matrix
 from the state before it to the state at its end; matrices are combined in groups of bounded size,
-level by level, and best paths are handed down again. So no conversation, however long, meets in one task.
+level by level, and best paths are handed down again. Blocks are cut by the rank of rows in the order of
+all conversations, which range partitions count out, so no conversation, however long, and no turn,
+however often it is repeated, meets in one task.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import by_group, checkpointed
+from keyloom.llm.common import by_group, checkpointed, exact, exact_longs, written
 
 ROLES = ("system", "user", "assistant")
 # Words that mark speakers.
@@ -112,6 +114,21 @@ def best_path(enter: np.ndarray, steps: list[np.ndarray], end: int | None) -> li
     return out[::-1]
 
 
+def line_path(model: Model, texts: list[list[str]], score: np.ndarray, end: int) -> list[int]:
+    """The best state of every line, the last one being ``end``; a line keeps one state a state only."""
+    back = []
+    for lines in texts:
+        for e in model.emissions(lines):
+            met = score[:, None] + (model.step + e[None, :])
+            back.append(met.argmax(axis=0).astype(np.int8))
+            score = met.max(axis=0)
+    out = []
+    for came in reversed(back):
+        out.append(end)
+        end = int(came[end])
+    return out[::-1]
+
+
 def line_matrices(model: Model, lines: list[str]) -> list[np.ndarray]:
     return [model.step + e[None, :] for e in model.emissions(lines)]
 
@@ -126,6 +143,27 @@ def grouped(df: DataFrame, keys: list[str], order: list[str], f, schema: str) ->
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
+def ranked_blocks(turns: DataFrame, rows: int) -> DataFrame:
+    """conv_id, no_conv_id, turn, no_turn, text, rank and b0, the block: at most ``rows`` rows of one conversation.
+
+    Rows are range-partitioned and sorted by conversation, turn and text; a partition's ranks start where
+    those before it end. Equal rows are told apart by a number of their own, so they can be parted too.
+    """
+    order = ["no_conv_id", "conv_id", F.desc("no_turn"), "turn", "text", "tie"]
+    keyed = turns.select(*exact("conv_id"), *exact("turn"), "text", F.monotonically_increasing_id().alias("tie"))
+    placed = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie").withColumn("place", F.monotonically_increasing_id())
+    placed = written(placed)  # a place is the partition's number and, in 33 bits, the row's in it
+    part = F.shiftright("place", 33).cast("int")
+    sizes = sorted((r["part"], r["count"]) for r in placed.groupBy(part.alias("part")).count().collect())  # a row per partition
+    starts, rank = [], 0
+    for number, n in sizes:
+        starts.append((number, rank))
+        rank += n
+    starts = F.broadcast(turns.sparkSession.createDataFrame(starts, "part int, start long"))
+    ranked = placed.withColumn("part", part).join(starts, "part").withColumn("rank", F.col("start") + F.col("place").bitwiseAND((1 << 33) - 1))
+    return ranked.withColumn("b0", F.floor(F.col("rank") / rows).cast("long")).drop("part", "start", "place")
+
+
 def parse(turns: DataFrame, model: Model, rows: int = 32, fan_in: int = 64) -> DataFrame:
     """conv_id, turn, role, starts, rendered for every row of turns (conv_id, turn, text).
 
@@ -136,62 +174,59 @@ def parse(turns: DataFrame, model: Model, rows: int = 32, fan_in: int = 64) -> D
     conv_id are one conversation, null turns come first; null texts are an empty line; equal turns are
     ordered by text.
     """
-    numbered = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "text")
-    numbered = numbered.withColumn("b0", F.coalesce(F.floor(F.col("turn") / rows), F.lit(-1)).cast("long"))
+    numbered = ranked_blocks(turns, rows)
     shared = turns.sparkSession.sparkContext.broadcast(model)
 
     def shorten(g: pd.DataFrame) -> pd.DataFrame:
         m = None
         for text in g["text"]:
-            for x in line_matrices(shared.value, text_lines(text)):
+            for e in shared.value.emissions(text_lines(text)):  # one line's matrix at a time
+                x = shared.value.step + e[None, :]
                 m = x if m is None else max_plus(m, x)
-        return pd.DataFrame({"conv_id": [g["conv_id"].iloc[0]], "b": [g["b0"].iloc[0]], "m": [m.ravel()]}).astype({"conv_id": "Int64"})
+        return g[conv].head(1).assign(b=g["b0"].iloc[0], m=[m.ravel()])
 
     def combine(g: pd.DataFrame) -> pd.DataFrame:
         m = None
         for x in g["m"]:
             x = np.asarray(x).reshape(S + 1, S + 1)
             m = x if m is None else max_plus(m, x)
-        return pd.DataFrame({"conv_id": [g["conv_id"].iloc[0]], "b": [g["up"].iloc[0]], "m": [m.ravel()]}).astype({"conv_id": "Int64"})
+        return g[conv].head(1).assign(b=g["up"].iloc[0], m=[m.ravel()])
 
-    shape = "conv_id long, b long, m array<double>"
-    numbered = numbered.withColumn("conv_id", F.col("conv_id").cast("long"))
-    levels = [checkpointed(grouped(numbered, ["conv_id", "b0"], ["turn", "text"], shorten, shape))]
+    conv = ["no_conv_id", "conv_id"]
+    shape = "no_conv_id boolean, conv_id long, b long, m array<double>"
+    levels = [checkpointed(grouped(numbered, [*conv, "b0"], ["rank"], shorten, shape))]
     up = F.floor(F.col("b") / fan_in).cast("long")
-    while (levels[-1].groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0) > fan_in:
-        levels.append(checkpointed(grouped(levels[-1].withColumn("up", up), ["conv_id", "up"], ["b"], combine, shape)))
+    while (levels[-1].groupBy(*conv).count().agg(F.max("count")).first()[0] or 0) > fan_in:
+        levels.append(checkpointed(grouped(levels[-1].withColumn("up", up), [*conv, "up"], ["b"], combine, shape)))
 
     def hand_down(g: pd.DataFrame) -> pd.DataFrame:
         enter, end = (np.asarray(g["enter"].iloc[0]), int(g["end"].iloc[0])) if g["enter"].iloc[0] is not None else (np.r_[np.full(S, -np.inf), 0.0], None)
         path = best_path(enter, [np.asarray(x).reshape(S + 1, S + 1) for x in g["m"]], end)
-        return pd.DataFrame({"conv_id": g["conv_id"].astype("Int64"), "b": g["b"], "enter": [e for e, _ in path], "end": [s for _, s in path]})
+        return g[[*conv, "b"]].assign(enter=[e for e, _ in path], end=[s for _, s in path])
 
-    shape = "conv_id long, b long, enter array<double>, end int"
+    shape = "no_conv_id boolean, conv_id long, b long, enter array<double>, end int"
     top = levels[-1].withColumns({"up": F.lit(0).cast("long"), "enter": F.lit(None).cast("array<double>"), "end": F.lit(None).cast("int")})
-    states = grouped(top, ["conv_id", "up"], ["b"], hand_down, shape)
+    states = grouped(top, [*conv, "up"], ["b"], hand_down, shape)
     for below in reversed(levels[:-1]):
-        given = states.select(F.col("conv_id").alias("c"), F.col("b").alias("up"), "enter", "end")
-        met = below.withColumn("up", up)
-        met = met.join(given, met["conv_id"].eqNullSafe(given["c"]) & (met["up"] == given["up"])).drop(given["up"]).drop("c")
-        states = grouped(met, ["conv_id", "up"], ["b"], hand_down, shape)
+        given = states.withColumnRenamed("b", "up")
+        met = below.withColumn("up", up).join(given, [*conv, "up"])
+        states = grouped(met, [*conv, "up"], ["b"], hand_down, shape)
 
     def render(g: pd.DataFrame) -> pd.DataFrame:
         texts = [text_lines(t) for t in g["text"]]
-        steps = [x for t in texts for x in line_matrices(shared.value, t)]
-        path = [s for _, s in best_path(np.asarray(g["enter"].iloc[0]), steps, int(g["end"].iloc[0]))]
+        path = line_path(shared.value, texts, np.asarray(g["enter"].iloc[0]), int(g["end"].iloc[0]))
         out, at = [], 0
         for t in texts:
             own, at = path[at : at + len(t)], at + len(t)
             shown = [canonical(line, s) for line, s in zip(t, own, strict=True)]
             out.append((ROLES[own[0] // 2], own[0] % 2 == 0, "\n".join(shown)))
         out = pd.DataFrame(out, columns=["role", "starts", "rendered"])
-        out.insert(0, "turn", g["turn"].astype("Int64").to_numpy())
-        out.insert(0, "conv_id", g["conv_id"].astype("Int64").to_numpy())
+        out.insert(0, "turn", exact_longs(g, "turn").array)
+        out.insert(0, "conv_id", exact_longs(g, "conv_id").array)
         return out
 
-    given = states.select(F.col("conv_id").alias("c"), F.col("b").alias("b0"), "enter", "end")
-    met = numbered.join(given, numbered["conv_id"].eqNullSafe(given["c"]) & (numbered["b0"] == given["b0"])).drop(given["b0"]).drop("c")
-    return grouped(met, ["conv_id", "b0"], ["turn", "text"], render, "conv_id long, turn long, role string, starts boolean, rendered string")
+    met = numbered.join(states.withColumnRenamed("b", "b0"), [*conv, "b0"])
+    return grouped(met, [*conv, "b0"], ["rank"], render, "conv_id long, turn long, role string, starts boolean, rendered string")
 
 
 def canonical(line: str, state: int) -> str:

@@ -63,8 +63,11 @@ def by_group(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Da
         b = b if rest is None or not len(rest) else pd.concat([rest, b], ignore_index=True)
         if not len(b):
             continue
-        key = b[keys]
-        cuts = np.flatnonzero((key.ne(key.shift()) & ~(key.isna() & key.shift().isna())).any(axis=1).to_numpy()[1:]) + 1
+        cut = np.zeros(len(b) - 1, bool)
+        for k in keys:  # as arrays: a shift would make doubles of longs
+            v, null = b[k].to_numpy(), b[k].isna().to_numpy()
+            cut |= (v[1:] != v[:-1]) & ~(null[1:] & null[:-1])
+        cuts = np.flatnonzero(cut) + 1
         lo = 0
         for hi in cuts:
             yield b.iloc[lo:hi]

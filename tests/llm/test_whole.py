@@ -4,8 +4,9 @@ import random
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from keyloom.llm import bpe, jaccard, language, packing, token_counts, toxicity
+from keyloom.llm import bpe, chat, jaccard, language, packing, token_counts, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -82,3 +83,16 @@ def test_rows_of_one_id_are_identified_one_by_one(spark):
     rows = [(i % 39 or None, t, "l0", "s", 0) for i, t in enumerate(texts)] + [(1, "12 34", "l0", "s", 0), (None, "56", "l0", "s", 0), (2, texts[2], "l0", "s", 1)]
     left = language.keep_identified(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted(r.text for r in left) == sorted([*texts, texts[2]])
+
+
+def test_chat_blocks_are_bounded(spark):
+    rows = [(None, i % 3 or None, f"Question number {i}?") for i in range(60)] + [(WIDE, None, f"It is {i}.") for i in range(60)]
+    rows += [(WIDE + 2, 5, "Hi?")] * 60 + [(WIDE + 4, i, f"User: so {i}") for i in range(60)]
+    turns = spark.createDataFrame([(c, t, ("user", "assistant")[i % 2], x) for i, (c, t, x) in enumerate(rows)], "conv_id long, turn long, role string, text string")
+    blocks = chat.ranked_blocks(turns, 8)
+    assert blocks.groupBy("no_conv_id", "conv_id", "b0").count().agg(F.max("count")).first()[0] <= 8
+    assert blocks.select("rank").distinct().count() == len(rows)
+    model = chat.fit(turns)
+    got = [sorted(map(str, chat.parse(turns, model, rows=n, fan_in=3).collect())) for n in (1000, 8)]
+    assert got[0] == got[1]
+    assert sorted((r.conv_id or 0, r.turn or 0) for r in chat.parse(turns, model).collect()) == sorted((c or 0, t or 0) for c, t, _ in rows)
