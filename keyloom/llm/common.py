@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from keyloom.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["checkpointed", "exact", "exact_longs", "row_ids", "row_key", "written"]
+__all__ = ["checkpointed", "exact", "exact_longs", "few", "row_ids", "row_key", "written"]
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -24,6 +24,11 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, most: int) -> DataFrame:
+    """df marked for broadcast if it has at most ``most`` rows, which is counted first; as it is beyond that, and joins shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def row_ids() -> Iterator[int]:
     """Ids for the rows of a task, the same when the task runs again over the same split."""
     from pyspark import TaskContext

@@ -89,7 +89,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = Non
     if edges is not None:
         links = links.unionByName(edges.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b"))).distinct()
     page = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("node"))
-    alias = connected_components(links)
+    alias = connected_components(links, native=True)
 
     split = F.split(F.col("node"), "[/?]", 2)
     linked = alias.select(

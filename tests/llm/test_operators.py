@@ -180,12 +180,56 @@ def test_jaccard_components(spark, longest, block, least):
     assert jaccard.jaccard_components(frame(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("leaders", [0, 1, 32])
+def test_components_without_counts(spark, leaders):
+    random.seed(6)
+    texts = []
+    for n in (30, 60):  # two families and texts between that share long lists with them
+        base = [f"b{n}_{i}" for i in range(n)]
+        for _ in range(60):
+            w = base[:]
+            for _ in range(random.choice([0, 1, 1, 2, 5])):
+                w[random.randrange(n)] = f"x{random.randrange(30)}"
+            texts.append(" ".join(w))
+    want = brute_components(dict(enumerate(texts)), 4, 70)
+    found = jaccard.jaccard_components(frame(spark, texts).filter("node is not null"), k=4, percent=70, count_links=False, longest=4, block=9, least=2, leaders=leaders, small=0)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == {d: w[:2] for d, w in want.items()}
+    assert {r.n_links for r in found.collect()} == {None}
+
+
+def test_a_family_costs_rows_in_proportion(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(jaccard, "search_groups", lambda met, *a, f=jaccard.search_groups: sent.append(met.count()) or f(met, *a))
+    for n in (1000, 4000):
+        base, passage = [f"b{i}" for i in range(100)], [f"p{i}" for i in range(60)]
+        texts = [" ".join([*base[: i % 100], f"x{i}", *base[i % 100 + 1 :]]) for i in range(n)] + [" ".join([*(f"o{i}_{j}" for j in range(50)), *passage]) for i in range(n // 10)]
+        found = jaccard.jaccard_components(frame(spark, texts).filter("node is not null"), count_links=False, block=100)
+        assert {r.component_id for r in found.collect()} == {0, *range(n, n + n // 10)}
+    assert sent[1] <= 4.5 * sent[0] + 200
+
+
 def test_components(spark):
+    assert components.connected_components(spark.createDataFrame([(1, 2), (None, 3), (5, 2)], "a long, b long"), native=True).count() == 3
+    names = spark.createDataFrame([("x", "y"), ("z", "y"), ("p", "p")], "a string, b string")
+    assert sorted(map(tuple, components.connected_components(names, native=True).collect())) == [("x", "x"), ("y", "x"), ("z", "x")]
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (200, 201), (200, 202), (200, 203)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100} | {i: 200 for i in range(200, 204)}
 
 
+def test_components_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(components, "PER_TASK", 7)
+    random.seed(2)
+    edges = [(i, i + 1) for i in range(60)] + [(100 + random.randrange(40), 100 + random.randrange(40)) for _ in range(25)]
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(5))
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert {r.node: r.component for r in got.collect()} == {x: root[x] for x in linked}
+
+
 # ---- url filter
 
 
