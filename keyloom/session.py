@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -29,10 +30,12 @@ def local_session(app: str = "keyloom", cpus: str | None = None, **conf: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the session names; set one only where none is named."""
+    """Use the shared folder that the session names; a folder of this machine only where all runs on it."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[[^,]*(,[^,]*)?\])?", sc.master):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="keyloom-checkpoint-"))
 
 
