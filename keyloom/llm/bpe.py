@@ -127,9 +127,12 @@ class PrefixTrie(dict):
 
     Node 0 is the root; ``kids`` maps (node, byte) to a node, ``last`` is a node's last token and
     ``back`` the node where that token begins. The trie and the words' encodings are forgotten when
-    there are more than ``most`` nodes, which bounds memory.
+    there are more than ``most`` nodes, which bounds memory. Words of more than ``longest`` bytes have the same
+    states, but in arrays of their own that are let go, as no other word is likely to share them.
     """
 
+    longest = 4096
+
     def __init__(self, vocabulary: Vocabulary, most: int = 1_500_000):
         self.v, self.most = vocabulary, most
         self.seams: dict[int, bool] = {}
@@ -139,9 +142,10 @@ class PrefixTrie(dict):
         self.clear()
         self.kids: dict[int, int] = {}
         self.last, self.back = array("i", [-1]), array("i", [0])
+        self.long_bytes = 0
 
     def full(self) -> bool:
-        return len(self.last) > self.most
+        return len(self.last) + self.long_bytes > self.most
 
     def holds(self, before: int, token: int) -> bool:
         """No merge crosses the seam between the two tokens (before -1: the token stands alone)."""
@@ -155,6 +159,10 @@ class PrefixTrie(dict):
         id_of, tails, kids, last, back, seams = self.v.id_of, self.v.tails, self.kids, self.last, self.back, self.seams
         for word in sorted(words):
             data, node, path = word.encode(), 0, [0]
+            if len(data) > self.longest:
+                self[word] = self.alone(data)
+                self.long_bytes += len(data)
+                continue
             for depth, byte in enumerate(data, 1):
                 edge = node << 8 | byte
                 node = kids.get(edge)
@@ -175,6 +183,25 @@ class PrefixTrie(dict):
                 node = back[node]
             self[word] = array("I", ids[::-1]).tobytes()
 
+    def alone(self, data: bytes) -> bytes:
+        """ids of one long word; a prefix's state stands at its length."""
+        id_of, tails, seams = self.v.id_of, self.v.tails, self.seams
+        last, back = array("i", [-1]), array("i", [0])
+        for depth in range(1, len(data) + 1):
+            for size in tails[data[depth - 3 : depth] if depth > 3 else data[:depth]]:
+                if size <= depth and (token := id_of.get(data[depth - size : depth])) is not None:
+                    known = seams.get(last[depth - size] << 20 | token)
+                    if known or known is None and self.holds(last[depth - size], token):
+                        break
+            last.append(token)
+            back.append(depth - size)
+        ids, at = array("I"), len(data)
+        while at:
+            ids.append(last[at])
+            at = back[at]
+        ids.reverse()
+        return ids.tobytes()
+
 
 _tries: dict[str, PrefixTrie] = {}
 
@@ -242,7 +269,11 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def round_trip_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes every text and decodes its ids again."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes every text and decodes its ids again.
+
+    A row for every row of docs (doc_id, text; other columns do not matter), repeated ones too. Null and empty
+    texts have no ids and the digests of nothing; ids may be null; an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = trie(tokenizer_path).v

@@ -97,8 +97,13 @@ def fit(turns: DataFrame, smoothing: float = 0.5) -> Model:
     return Model(step, [np.log(e / e.sum(axis=1, keepdims=True)) for e in emit])
 
 
-def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a[:, :, None] + b[None, :, :]).max(axis=1)
+def max_plus(m: np.ndarray) -> np.ndarray:
+    """The max-plus product of matrices (n, states, states) in order, neighbours in pairs."""
+    while len(m) > 1:
+        even = len(m) // 2 * 2
+        pairs = (m[0:even:2, :, :, None] + m[1:even:2, None, :, :]).max(axis=2)
+        m = pairs if even == len(m) else np.concatenate([pairs, m[even:]])
+    return m[0]
 
 
 def best_path(enter: np.ndarray, steps: list[np.ndarray], end: int | None) -> list[tuple[np.ndarray, int]]:
@@ -114,25 +119,29 @@ def best_path(enter: np.ndarray, steps: list[np.ndarray], end: int | None) -> li
     return out[::-1]
 
 
-def line_path(model: Model, texts: list[list[str]], score: np.ndarray, end: int) -> list[int]:
+def line_matrices(model: Model, lines: list[str]) -> list[np.ndarray]:
+    return [model.step + e[None, :] for e in model.emissions(lines)]
+
+
+def in_parts(lines: list[str], most: int = 2048) -> Iterator[list[str]]:
+    return (lines[i : i + most] for i in range(0, len(lines), most))
+
+
+def line_path(model: Model, lines: list[str], score: np.ndarray, end: int) -> list[int]:
     """The best state of every line, the last one being ``end``; a line keeps one state a state only."""
-    back = []
-    for lines in texts:
-        for e in model.emissions(lines):
-            met = score[:, None] + (model.step + e[None, :])
-            back.append(met.argmax(axis=0).astype(np.int8))
-            score = met.max(axis=0)
+    back, at = np.empty((len(lines), S + 1), np.int8), 0
+    for part in in_parts(lines):
+        for e in model.emissions(part):
+            met = score[:, None] + model.step
+            back[at] = met.argmax(axis=0)
+            score, at = met.max(axis=0) + e, at + 1
     out = []
-    for came in reversed(back):
+    for came in back[::-1]:
         out.append(end)
         end = int(came[end])
     return out[::-1]
 
 
-def line_matrices(model: Model, lines: list[str]) -> list[np.ndarray]:
-    return [model.step + e[None, :] for e in model.emissions(lines)]
-
-
 def grouped(df: DataFrame, keys: list[str], order: list[str], f, schema: str) -> DataFrame:
     """f on every group of rows with equal keys, in order; many groups share a task."""
 
@@ -151,6 +160,7 @@ def ranked_blocks(turns: DataFrame, rows: int) -> DataFrame:
     """
     order = ["no_conv_id", "conv_id", F.desc("no_turn"), "turn", "text", "tie"]
     keyed = turns.select(*exact("conv_id"), *exact("turn"), "text", F.monotonically_increasing_id().alias("tie"))
+    keyed = keyed.withColumn("conv_id", F.when(F.col("no_conv_id"), F.col("tie")).otherwise(F.col("conv_id")))  # each its own conversation
     placed = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie").withColumn("place", F.monotonically_increasing_id())
     placed = written(placed)  # a place is the partition's number and, in 33 bits, the row's in it
     part = F.shiftright("place", 33).cast("int")
@@ -170,26 +180,21 @@ def parse(turns: DataFrame, model: Model, rows: int = 32, fan_in: int = 64) -> D
     The rows of a conversation, in order of turn, are pieces of a transcript; where turns begin is found
     from the lines, not from the rows. role is that of the row's first line, ``starts`` whether it begins
     a turn, and ``rendered`` the row's lines with a canonical header where a turn begins and without
-    markers, so the rows of a conversation together are its canonical text. Rows with a null
-    conv_id are one conversation, null turns come first; null texts are an empty line; equal turns are
-    ordered by text.
+    markers, so the rows of a conversation together are its canonical text. A row with a null
+    conv_id is a conversation of its own, null turns come first; null texts are an empty line; equal turns
+    are ordered by text, and repeated rows follow each other; an empty table gives no rows. Other columns of
+    turns do not matter.
     """
     numbered = ranked_blocks(turns, rows)
     shared = turns.sparkSession.sparkContext.broadcast(model)
 
     def shorten(g: pd.DataFrame) -> pd.DataFrame:
-        m = None
-        for text in g["text"]:
-            for e in shared.value.emissions(text_lines(text)):  # one line's matrix at a time
-                x = shared.value.step + e[None, :]
-                m = x if m is None else max_plus(m, x)
+        lines = [x for text in g["text"] for x in text_lines(text)]
+        m = max_plus(np.array([max_plus(shared.value.step + shared.value.emissions(part)[:, None, :]) for part in in_parts(lines)]))
         return g[conv].head(1).assign(b=g["b0"].iloc[0], m=[m.ravel()])
 
     def combine(g: pd.DataFrame) -> pd.DataFrame:
-        m = None
-        for x in g["m"]:
-            x = np.asarray(x).reshape(S + 1, S + 1)
-            m = x if m is None else max_plus(m, x)
+        m = max_plus(np.stack(g["m"].to_list()).reshape(len(g), S + 1, S + 1))
         return g[conv].head(1).assign(b=g["up"].iloc[0], m=[m.ravel()])
 
     conv = ["no_conv_id", "conv_id"]
@@ -214,7 +219,7 @@ def parse(turns: DataFrame, model: Model, rows: int = 32, fan_in: int = 64) -> D
 
     def render(g: pd.DataFrame) -> pd.DataFrame:
         texts = [text_lines(t) for t in g["text"]]
-        path = line_path(shared.value, texts, np.asarray(g["enter"].iloc[0]), int(g["end"].iloc[0]))
+        path = line_path(shared.value, [x for t in texts for x in t], np.asarray(g["enter"].iloc[0]), int(g["end"].iloc[0]))
         out, at = [], 0
         for t in texts:
             own, at = path[at : at + len(t)], at + len(t)

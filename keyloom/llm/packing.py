@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from keyloom.llm.bpe import Vocabulary
 from keyloom.llm.common import exact, exact_longs, row_ids, string_list, written
-from keyloom.llm.pretokens import PATTERN
+from keyloom.llm.pretokens import PATTERN, SPACE, special_cutter
 
+LONGEST_RUN = 100_000
+LONG_SPACE = re.compile(f"[{SPACE}]{{{LONGEST_RUN},}}")
 PIECES = "row_id long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -35,15 +38,29 @@ PIECES = "row_id long, doc_id long, piece int, start long, length long, ids_crc3
 def encoder(tokenizer_path: str):
     """text -> ids as little-endian uint32 bytes, as the tokenizers library gives them without added tokens.
 
-    Ids are merge ranks here, so tiktoken, which is several times faster, gives the same ones.
+    Ids are merge ranks here, so tiktoken, which is several times faster, gives the same ones. Its split
+    pattern cannot look ahead over very long white space, so such runs are cut out before: one is a
+    pre-token of its own up to the last character, which stays with what follows.
     """
     import tiktoken
 
     v = Vocabulary(tokenizer_path)
     one = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=v.id_of, special_tokens=v.specials)
-    encode, specials = one.encode_ordinary, set(v.specials)
+    encode, specials, parts = one.encode_ordinary, set(v.specials), special_cutter(v.specials)
+
+    def cut(text: str) -> bytes:
+        out, at = array("I"), 0
+        for run in LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out.extend(encode(text[at : run.start()]))
+            out.extend(one._encode_single_piece(text[run.start() : end]))
+            at = end
+        out.extend(encode(text[at:]))
+        return out.tobytes()
 
     def ids(text: str) -> bytes:
+        if len(text) >= LONGEST_RUN and LONG_SPACE.search(text):
+            return b"".join(array("I", [v.specials[p]]).tobytes() if special else cut(p) for p, special in parts(text))
         if any(s in text for s in specials):
             return array("I", one.encode(text, allowed_special=specials)).tobytes()
         return array("I", encode(text)).tobytes()

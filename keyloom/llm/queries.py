@@ -95,7 +95,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest inner products of every fiftieth vector with all others."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
 @query

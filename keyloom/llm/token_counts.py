@@ -1,13 +1,14 @@
 """Token counts without ids: pieces once per distinct pre-token, joined to per-document frequencies.
 
 The corpus's distinct pre-tokens are counted first and each is given its number of pieces once. The
-most frequent of them (``head``, a fixed bound) travel to the tasks as a lookup; frequencies of all the
+most frequent of them (``head`` short ones, a fixed bound) travel to the tasks as a lookup; frequencies of all the
 others join the table of pieces by a shuffle on the pre-token. So hot pre-tokens never meet in one
 task, and what is shuffled is the tail alone.
 """
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -15,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyloom.llm.bpe import slices
 from keyloom.llm.common import exact, exact_longs, row_ids, string_list, written
 from keyloom.llm.pretokens import pretokens, special_cutter, special_ids
 
@@ -50,11 +52,15 @@ def pretoken_table(docs: DataFrame, tokenizer_path: str, held: int = 200_000) ->
         yield pd.DataFrame({"pretoken": list(total), "n": list(total.values())}, columns=["pretoken", "n"]).astype({"pretoken": str, "n": "int64"})
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has its own core only
         from tokenizers import Tokenizer
 
-        encode = Tokenizer.from_file(tokenizer_path).encode
+        encode = Tokenizer.from_file(tokenizer_path).encode_batch_fast
         for b in batches:
-            pieces = [len(encode(w, add_special_tokens=False).ids) for w in b["pretoken"]]
+            pieces: list[int] = []
+            words = b["pretoken"].to_list()
+            for lo, hi in slices(words, 500_000):
+                pieces += [len(e) for e in encode(words[lo:hi], add_special_tokens=False)]
             yield b.assign(pieces=pieces)
 
     counted = docs.select("text").mapInPandas(count, "pretoken string, n long")
@@ -62,15 +68,16 @@ def pretoken_table(docs: DataFrame, tokenizer_path: str, held: int = 200_000) ->
     return distinct.mapInPandas(split, "pretoken string, n long, pieces long")
 
 
-def token_counts(docs: DataFrame, tokenizer_path: str, head: int = 262_144) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer_path: str, head: int = 131_072, longest: int = 32) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row of docs (doc_id, text; other columns do not matter).
 
     Null counts as the empty text: 0 bytes, 0 tokens. Repeated rows give a row each. Special strings in
-    a text count as one token, the tokenizers library's default.
+    a text count as one token, the tokenizers library's default. An empty table gives no rows. The lookup
+    holds ``head`` pre-tokens of at most ``longest`` characters, which bounds its bytes too.
     """
     table = written(pretoken_table(docs, tokenizer_path))
-    top = table.orderBy(F.desc("n"), "pretoken").limit(head).select("pretoken", "pieces").toPandas()  # <= head rows
-    lookup = docs.sparkSession.sparkContext.broadcast(dict(zip(top["pretoken"], top["pieces"], strict=True)))
+    top = table.filter(F.length("pretoken") <= longest).orderBy(F.desc("n"), "pretoken").limit(head).select("pretoken", "pieces").toArrow()
+    lookup = docs.sparkSession.sparkContext.broadcast(dict(zip(top["pretoken"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
 
     def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, get, ids = frequencies(tokenizer_path), lookup.value.get, row_ids()

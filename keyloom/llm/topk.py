@@ -1,10 +1,13 @@
 """Exact top-k inner products by a score-at-a-time index ordered by impact.
 
-Components are quantised to integers. In a block of vectors every dimension is a posting list whose
-impacts, shifted so that none is negative, fall into segments by size. Segments are processed by
-descending impact, all dimensions of a level together: after each level a vector has a lower bound of
-its score, and what is unseen adds at most the level's impact in every dimension. A query stops only
-when that proves which vectors can still be members; those are scored again exactly.
+Components are quantised to integers. The index is a table of blocks of vectors; in a block every dimension
+has its posting lists ordered by impact, cut into segments. A posting's impact is the distance of its
+value from the middle one of its dimension, so a dimension has a list of larger and one of smaller values.
+Segments of all lists are processed by descending quantised impact (times the query's component, in levels
+that fall by a fixed ratio); what is unseen of a list adds or takes at most its next impact,
+so after every level a vector has bounds of its score. Bounds travel: each query first meets a few probe
+blocks, and the k-th best score there is what it takes to all blocks. A query leaves a block only with a
+proof that no other vectors than those it scores exactly can be among its k best.
 """
 
 from __future__ import annotations
@@ -13,108 +16,189 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import by_group, written
+from keyloom.llm.common import written
 
+INDEX = "block long, n int, dims int, ids binary, asked binary, data binary, postings binary"
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, embedding of the rows that take part: no null id, vector or component, all components finite.
 
-    vec_id names a vector: of several rows with one id the smallest vector counts.
-    """
+def usable(vectors: DataFrame, asked: Column) -> DataFrame:
+    """vec_id, embedding, asked of the rows that take part: no null id, vector or component, all components finite."""
     x = F.col("embedding")
     fine = F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False)))
-    rows = vectors.select(F.col("vec_id").cast("long"), x.cast("array<double>").alias("embedding"))
-    return rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & fine).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-
+    rows = vectors.select(F.col("vec_id").cast("long"), x.cast("array<double>").alias("embedding"), F.coalesce(asked, F.lit(False)).alias("asked"))
+    return rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & fine)
 
-def blocks(vectors: DataFrame, per_block: int, scale: float) -> DataFrame:
-    """(block, ids, data, dims): rows of about ``per_block`` vectors by a hash of their ids; data is float64 integers.
 
-    Vectors shorter than the longest of their block are filled up with zeros.
-    """
-    n = max(1, -(-vectors.count() // per_block))
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
-    dealt = dealt.repartition("block").sortWithinPartitions("block", "vec_id")
+def index(vectors: DataFrame, scale: float, per_block: int) -> DataFrame:
+    """A row per block of at most ``per_block`` vectors (vec_id, embedding, asked) of a task: ids, data (n x dims int64) and
+    postings (dims x n uint16: positions by ascending value). Shorter vectors are filled up with zeros."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in by_group(batches, ["block"]):
-            dims = max(map(len, g["embedding"]))
-            data = np.zeros((len(g), dims))
-            for i, v in enumerate(g["embedding"]):
-                data[i, : len(v)] = np.floor(np.asarray(v, float) * scale)
-            ids = g["vec_id"].to_numpy(np.int64)
-            yield pd.DataFrame({"block": [g["block"].iloc[0]], "ids": [ids.tobytes()], "data": [data.tobytes()], "dims": [dims]})
+        from pyspark import TaskContext
 
-    return dealt.mapInPandas(run, "block int, ids binary, data binary, dims int")
+        number, rest = TaskContext.get().partitionId() << 32, None
 
+        def block(g: pd.DataFrame) -> pd.DataFrame:
+            nonlocal number
+            dims = max(1, max(map(len, g["embedding"])))
+            data = np.zeros((len(g), dims), np.int64)
+            for i, v in enumerate(g["embedding"]):
+                data[i, : len(v)] = np.floor(np.asarray(v, float) * scale)
+            postings = np.argsort(data.T, axis=1, kind="stable").astype(np.uint16)
+            number += 1
+            return pd.DataFrame({
+                "block": [number], "n": [len(g)], "dims": [dims], "ids": [g["vec_id"].to_numpy(np.int64).tobytes()],
+                "asked": [g["asked"].to_numpy(bool).tobytes()], "data": [data.tobytes()], "postings": [postings.tobytes()],
+            })
 
-def possible_members(q: np.ndarray, x: np.ndarray, k: int, levels: int) -> list[np.ndarray]:
-    """For each query the vectors that can be among its k best, by score-at-a-time levels.
-
-    Where a query's component is positive the impact of x is x - min, where negative max - x.
-    """
-    low, high = x.min(axis=0), x.max(axis=0)
-    impact = np.concatenate([x - low, high - x], axis=1)  # no negative impacts
-    weight = np.concatenate([np.maximum(q, 0), np.maximum(-q, 0)], axis=1)
-    width = np.floor(impact.max() / levels) + 1
-    level = np.floor(impact / width)
-    seen = np.zeros((len(q), len(x)))
-    most = impact.max(axis=0)
-    kth = min(k, len(x))
-    for at in range(int(level.max()), -1, -1):
-        seen += weight @ np.where(level == at, impact, 0).T
-        unseen = weight @ np.minimum(most, at * width - 1 if at else 0).clip(0)
-        floor = np.partition(seen, len(x) - kth, axis=1)[:, len(x) - kth]
-        alive = seen + unseen[:, None] >= floor[:, None]
-        if at == 0 or alive.sum(axis=1).max() <= 4 * k:
-            return [np.flatnonzero(a) for a in alive]
-    return [np.arange(len(x))] * len(q)
-
-
-def block_top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, levels: int) -> pd.DataFrame:
-    """The k best of the block's vectors for every query, ties to the smaller id; the query's own id is left out."""
-    dims = max(q.shape[1], x.shape[1])
-    q, x = (np.pad(a, ((0, 0), (0, dims - a.shape[1]))) for a in (q, x))
-    biggest = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * dims * 8
-    if biggest < 2**53:  # sums of doubles are exact integers
-        members, exact = possible_members(q, x, k + 1, levels), lambda i, m: (x[m] @ q[i]).astype(np.int64)  # one more: the query itself
-    else:
-        whole_q, whole_x = q.astype(object), x.astype(object)
-        whole_q, whole_x = np.vectorize(int, otypes=[object])(whole_q), np.vectorize(int, otypes=[object])(whole_x)
-        members, exact = [np.arange(len(x))] * len(q), lambda i, m: (whole_x[m] * whole_q[i]).sum(axis=1)
-    rows = []
-    for i, m in enumerate(members):
-        m = m[ids[m] != q_ids[i]]
-        score = exact(i, m)
-        best = np.lexsort((ids[m], -score))[:k]
-        rows += [(q_ids[i], ids[m[j]], score[j]) for j in best]
-    return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, per_block: int = 4096, query_block: int = 256, levels: int = 12) -> DataFrame:
-    """query_id, rank, vec_id, score: the k largest integer inner products of every query with all other vectors.
-
-    vectors and queries: vec_id, embedding. Components count as floor(scale * x); scores must fit a long. Fewer than k others give
-    fewer rows; without vectors or queries the result is empty.
+        for b in batches:
+            rest = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            while len(rest) >= per_block:
+                yield block(rest.iloc[:per_block])
+                rest = rest.iloc[per_block:]
+        if rest is not None and len(rest):
+            yield block(rest)
+
+    return vectors.mapInPandas(run, INDEX)
+
+
+class Block:
+    """The vectors of a block and its posting lists, two a dimension: from the largest value down to the middle one, and
+    from the smallest up to it. Each is cut into ``cuts`` segments of about equal size."""
+
+    def __init__(self, ids: np.ndarray, data: np.ndarray, postings: np.ndarray, cuts: int = 24):
+        self.ids, self.data, self.postings = ids, data, postings
+        n, dims = data.shape
+        every = np.arange(dims)[:, None]
+        middle = n // 2
+        self.centre = data[postings[:, middle], every[:, 0]]
+        self.cut = [np.unique(np.linspace(0, size, min(cuts, size) + 1).astype(int)) for size in (n - middle, middle)]
+        end = np.zeros((dims, 1))
+        off = lambda at: np.abs(data[postings[:, at], every] - self.centre[:, None]).astype(float)
+        #: Impacts: the largest distance from the middle in every segment, in order of reading, and 0 after the last.
+        self.impact = [np.concatenate([off(at), end], axis=1) for at in (n - 1 - self.cut[0][:-1], self.cut[1][:-1])]
+        self.read = 0  # postings so far
+
+    def possible_members(self, q: np.ndarray, k: int, least: float, ratio: float = 0.5, rounds: int = 8) -> np.ndarray:
+        """Positions of all vectors that can be among the k best of the block and score ``least`` or more."""
+        n, dims = self.data.shape
+        weight, every = np.abs(q).astype(float), np.arange(dims)
+        ends = [x * weight[:, None] for x in self.impact]
+        adds = q > 0  # where the first list raises a score, the second one lowers it
+
+        def unseen(at: list[np.ndarray]) -> tuple[float, float]:
+            """What unread postings can add to a score and take from it."""
+            first, second = (e[every, x] for e, x in zip(ends, at, strict=True))
+            return np.where(adds, first, second).sum(), np.where(adds, second, first).sum()
+
+        base, at = float(self.centre @ q.astype(float)), [np.zeros(dims, int), np.zeros(dims, int)]
+        slack = 1e-9 * (np.abs(self.centre) @ weight + sum(e[:, 0].sum() for e in ends) + 1)  # more than sums of doubles can be off
+        more, less = unseen(at)
+        if base + more < least - slack:
+            return np.empty(0, int)
+        seen = np.full(n, base)
+        for quantum in max(e[:, 0].max() for e in ends) * np.r_[ratio ** np.arange(1, rounds), 0]:
+            for side in (0, 1):
+                upto = (ends[side][:, :-1] >= quantum).sum(axis=1)  # segments whose impact is at this level or above
+                for d in np.flatnonzero(upto > at[side]):
+                    lo, hi = self.cut[side][at[side][d]], self.cut[side][upto[d]]
+                    own = self.postings[d, lo:hi] if side else self.postings[d, n - hi : n - lo]
+                    seen[own] += float(q[d]) * (self.data[own, d] - self.centre[d])
+                    self.read += hi - lo
+                at[side] = np.maximum(at[side], upto)
+            more, less = unseen(at)
+            floor = max(least, np.partition(seen, n - k)[n - k] - less) if k <= n else least
+            alive = seen + more >= floor - slack
+            if alive.sum() <= 4 * k:
+                break
+        return np.flatnonzero(alive)
+
+    def best(self, q: np.ndarray, k: int, least: float, own: int = -1) -> list[tuple[int, int]]:
+        """(score, id) of the k best that score ``least`` or more, ties to the smaller id; position ``own`` is left out."""
+        dims = self.data.shape[1]
+        q = np.r_[q[:dims], np.zeros(max(0, dims - len(q)), np.int64)]
+        m = self.possible_members(q, k + (own >= 0), least)
+        m = m[m != own]
+        score = self.data[m] @ q
+        keep = np.lexsort((self.ids[m], -score))[:k]
+        return [(int(score[i]), int(self.ids[m[i]])) for i in keep if score[i] >= least]
+
+
+def matches(segments: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """q_block, q_at, query_id, score, vec_id: of every bucket's blocks the k best for each of its queries that score ``least`` or more.
+
+    segments: rows of the index and ``bucket``. queries: bucket, q_block, q_at, query_id, q, least. A bucket's
+    blocks come first and its queries pass them one by one; the k-th best so far is the next block's bound.
     """
-    x = written(blocks(usable(vectors), per_block, scale))
-    q = written(blocks(usable(queries), query_block, scale))
-    n = x.agg(F.max("block")).first()[0]
-    if n is None:
-        n = -1
-    sent = q.select(F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("dims").alias("q_dims"), F.explode(F.sequence(F.lit(0), F.lit(max(n, 0)))).alias("block"))
-    met = x.join(sent, "block").repartition(F.col("block"), F.xxhash64("q_ids"))
+    kinds = segments.drop("asked").withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket, blocks = None, {}
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                if r.bucket != bucket:
+                    bucket, blocks = r.bucket, {}
+                if r.kind == 0:
+                    n, dims = int(r.n), int(r.dims)
+                    data, postings = np.frombuffer(r.data, np.int64).reshape(n, dims), np.frombuffer(r.postings, np.uint16).reshape(dims, n)
+                    blocks[int(r.name)] = Block(np.frombuffer(r.ids, np.int64), data, postings)
+                    continue
+                least, found, q = -np.inf if r.open else float(r.least), [], np.frombuffer(r.q, np.int64)
+                for name, block in blocks.items():
+                    own = int(r.q_at) if r.q_block == str(name) else -1
+                    found = sorted(found + block.best(q, k, least, own), key=lambda x: (-x[0], x[1]))[:k]
+                    if len(found) == k:
+                        least = max(least, found[-1][0])
+                out += [(r.q_block, r.q_at, r.query_id, score, vec_id) for score, vec_id in found]
+            if out:
+                yield pd.DataFrame(out, columns=["q_block", "q_at", "query_id", "score", "vec_id"])
+
+    # pandas makes doubles of longs with nulls: such columns travel as strings
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("q_block", "q_at", "query_id", "least", "n", "dims")}
+    dealt = kinds.select("bucket", "kind", F.coalesce("block", F.lit(0)).alias("name"), "ids", "data", "postings", "q", F.col("least").isNull().alias("open"), *(v.alias(c) for c, v in text.items()))
+    found = dealt.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInPandas(run, "q_block string, q_at string, query_id string, score long, vec_id long")
+    return found.select(F.col("q_block").cast("long"), F.col("q_at").cast("int"), F.col("query_id").cast("long"), "score", "vec_id")
+
+
+def asked_rows(blocks: DataFrame) -> DataFrame:
+    """q_block, q_at, query_id, q: the vectors of the index that are queries."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples(index=False):
-                q_ids, ids = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64)
-                qs, xs = np.frombuffer(r.q_data).reshape(len(q_ids), r.q_dims), np.frombuffer(r.data).reshape(len(ids), r.dims)
-                yield block_top(q_ids, qs, ids, xs, k, levels)
+                at = np.flatnonzero(np.frombuffer(r.asked, bool))
+                data, ids = np.frombuffer(r.data, np.int64).reshape(r.n, r.dims), np.frombuffer(r.ids, np.int64)
+                if len(at):
+                    yield pd.DataFrame({"q_block": np.full(len(at), r.block), "q_at": at.astype(np.int32), "query_id": ids[at], "q": [data[i].tobytes() for i in at]})
 
-    found = met.mapInPandas(run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return blocks.select("block", "n", "dims", "ids", "asked", "data").mapInPandas(run, "q_block long, q_at int, query_id long, q binary")
+
+
+def top_k(vectors: DataFrame, asked: Column, k: int = 5, scale: float = 256.0, per_block: int = 4096, probes: int = 2, together: int = 64) -> DataFrame:
+    """query_id, rank, vec_id, score: the k largest integer inner products of every query row with all other rows.
+
+    vectors: vec_id, embedding; other columns do not matter. ``asked`` (a condition) tells which rows are
+    queries. Components count as floor(scale * x); scores must fit a long. Every row is a candidate but the
+    query's own, so rows that share a vec_id count one by one, as queries too; ties go to the smaller
+    vec_id. Rows with a null id, vector or component or one that is not finite take no part. Fewer than k
+    others give fewer rows; without vectors or queries the result is empty. The ``probes`` fullest blocks
+    give every query the bound that it takes to the others; ``together`` queries go to them at a time.
+    """
+    blocks = written(index(usable(vectors, asked), scale, per_block))
+    queries = written(asked_rows(blocks))
+    n_blocks, chunks = max(1, blocks.count()), max(1, -(-queries.count() // together))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    probe = blocks.join(F.broadcast(blocks.orderBy(F.desc("n"), "block").select("block").limit(probes)), "block", "left_semi")  # ``probes`` numbers
+    chunk = F.pmod(F.xxhash64("q_block", "q_at"), F.lit(chunks)).cast("int")
+    first = matches(probe.withColumn("bucket", every(chunks)), queries.withColumns({"bucket": chunk, "least": F.lit(None).cast("long")}), k)
+    bound = first.groupBy("q_block", "q_at").agg(F.when(F.count("*") == k, F.min("score")).alias("least"))
+
+    bounded = queries.join(bound, ["q_block", "q_at"], "left").withColumn("bucket", every(n_blocks))
+    found = matches(blocks.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(n_blocks)).cast("int")), bounded, k)
+    best = Window.partitionBy("q_block", "q_at").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import exact, exact_longs, string_list
+from keyloom.llm.common import exact, exact_longs, string_list, written
 
 
 @dataclass(frozen=True)
@@ -120,22 +120,30 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, l2: float
     return v[:-1], float(v[-1])
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """text, label: at most ``most`` rows, written once. Hashes of ids and texts are cut to them before texts are fetched."""
+    marked = labels.filter(f"doc_id is not null and {label} is not null")
+    marked = marked.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+    first = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # more cannot be used, as every one chosen has an id of its own or shares it
+    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
+    there = keyed.select("doc_id", "hash").join(F.broadcast(first), "doc_id").distinct()  # most rows are broadcast
+    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id", "hash").limit(most)
+    return written(keyed.join(F.broadcast(chosen), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"]).select("text", "label"))  # most rows are broadcast
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 20_000, features: int = 4096,
     sizes: tuple[int, int] = (3, 5), least: int = 5, smoothing: float = 1.0, l2: float = 10.0,
 ) -> Model:
     """Fit on the texts of docs (doc_id, text) that labels (doc_id, ``label`` 0 or 1) marks.
 
-    At most ``most`` labelled rows are used, the first by a hash of doc_id, so which ones does not
-    depend on the order of rows. Rows with a null label or id are left out; of repeated ids the largest
-    label counts. Without labelled rows the model gives every text a half.
+    At most ``most`` labelled texts are used, the first by hashes of doc_id and text, so which ones does not
+    depend on the order of rows; a text that is repeated under one id is one. Rows with a null label or id
+    are left out; of repeated ids the largest label counts, for every text of that id; null texts are
+    empty. Without labelled texts, or without documents, the model gives every text a half.
     """
-    marked = labels.filter(f"doc_id is not null and {label} is not null")
-    marked = marked.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")  # <= most rows broadcast
-
-    classes = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sample = labelled_texts(docs, labels, label, most)
+    classes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = classes.get(1, 0), classes.get(0, 0)
     ratio = F.log((F.col("pos") + smoothing) / (n_pos + smoothing)) - F.log((F.col("neg") + smoothing) / (n_neg + smoothing))
     counted = gram_counts(sample, sizes).filter(F.col("pos") + F.col("neg") >= least).withColumn("ratio", ratio)
@@ -156,7 +164,8 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score of every row of docs (doc_id, text); null and empty texts get what the bias gives."""
+    """doc_id, score of every row of docs (doc_id, text): null and empty texts get what the bias gives, repeated rows
+    the same score, an empty table no rows; other columns do not matter."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # ``features`` n-grams and weights
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -89,6 +89,19 @@ def test_seams_equal_simulated_merges():
 # ---- packing
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "a" + "\n" * 1_000_000 + "b", "x" + " \t\r\n\u3000" * 100_000 + "<|endoftext|>" + "\x85" * 150_000 + "<|endoftext|>" + " " * 300_000 + "y z", "ab" * 300_000])
+def test_very_long_runs(text):
+    want = packed(ids_of(text))
+    assert packing.encoder(PATH)(text) == want
+    assert b"".join(bpe.encode_texts([text], PATH)) == want
+
+
+def test_five_million_blanks(spark):
+    text = " " * 5_000_000 + "x"
+    got = packing.pack_documents(frame(spark, [text]).limit(1), PATH).agg(F.sum("length"), F.max("piece")).first()
+    assert got[0] == len(ids_of(text)) + 1 and got[1] == -(-got[0] // 2048) - 1
+
+
 def best_fit_decreasing(lengths, capacity):
     gaps = []
     for n in sorted(lengths, reverse=True):
@@ -312,17 +325,40 @@ def test_top_k(spark):
     rows = [(i, [random.choice([-1.0, -0.5, 0.01, 0.25, 3.0]) for _ in range(6)], "e") for i in range(150)]
     rows += [(200 + i, [1.0] * 6, "e") for i in range(12)] + [(300, None, "e"), (301, [1.0, None], "e"), (302, [float("nan")] * 6, "e"), (303, [float("inf")] * 6, "e"), (None, [9.0] * 6, "e"), (304, [2.0], "e"), (200, [1.0] * 6, "e"), (305, [], "e")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
-    good = {i: [int(np.floor(256 * x)) for x in v] for i, v, _ in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
-    want = {}
-    for q in (i for i in good if i % 10 == 0):
-        best = sorted((-sum(a * b for a, b in zip(good[q], good[i], strict=False)), i) for i in good if i != q)[:5]
-        want |= {(q, n + 1): (i, -s) for n, (s, i) in enumerate(best)}
-    got = topk.top_k(df, df.filter("vec_id % 10 = 0"), k=5, per_block=20, query_block=3, levels=4)
-    assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got.collect()} == want
+    good = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = Counter()
+    for at, (q, x) in enumerate(good):
+        if q % 10 == 0:
+            best = sorted((-sum(a * b for a, b in zip(x, y, strict=False)), i) for n, (i, y) in enumerate(good) if n != at)[:5]
+            want.update((q, n + 1, i, -score) for n, (score, i) in enumerate(best))
+    asked = F.col("vec_id") % 10 == 0
+    for how in ({"per_block": 20, "together": 3}, {"per_block": 7, "probes": 1}, {}):
+        got = topk.top_k(df.repartition(3), asked, k=5, **how)
+        assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == want
     big = spark.createDataFrame([(0, [1e6, 1.0], "e"), (1, [1e6, -1e6], "e"), (2, [1e6, 1e6], "e")], df.schema)  # sums beyond exact doubles
-    top = topk.top_k(big, big.filter("vec_id = 0"), k=1).first()
+    top = topk.top_k(big, F.col("vec_id") == 0, k=1).first()
     assert (top.vec_id, top.score) == (2, 256_000_000**2 + 256 * 256_000_000)
-    assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    twice = topk.top_k(spark.createDataFrame([(0, [1.0], "e"), (7, [2.0], "e"), (7, [3.0], "e")], df.schema), F.col("vec_id") == 0, k=5)
+    assert [(r["rank"], r.vec_id, r.score) for r in twice.orderBy("rank").collect()] == [(1, 7, 768 * 256), (2, 7, 512 * 256)]
+    assert topk.top_k(df.limit(0), asked).count() == 0 and topk.top_k(df, F.col("vec_id") < 0).count() == 0
+
+
+@pytest.mark.parametrize("skew", [True, False])
+def test_postings_are_skipped_on_proof(skew):
+    rng = np.random.default_rng(4)
+    data = rng.integers(-300, 300, (3000, 32))
+    if skew:
+        data = (data * rng.pareto(1.2, data.shape)).astype(np.int64)
+    block = topk.Block(np.arange(3000), data, np.argsort(data.T, axis=1, kind="stable").astype(np.uint16))
+    read = []
+    for i in range(0, 3000, 100):
+        want = sorted((-x, at) for at, x in enumerate((data @ data[i]).tolist()) if at != i)[:5]
+        before = block.read
+        assert [(-s, at) for s, at in block.best(data[i], 5, -np.inf, i)] == want
+        read.append(block.read - before)
+        before = block.read
+        assert block.best(data[i], 5, 1e18, i) == [] and block.read == before  # a bound that no vector reaches
+    assert np.mean(read) < (0.5 if skew else 1.0) * data.size
 
 
 # ---- chat
@@ -356,6 +392,16 @@ def test_chat(spark):
     assert chat.parse(turns.limit(0), model).count() == 0
 
 
+def test_rows_without_a_conversation_are_apart(spark):
+    turns = [(1, t, ("user", "assistant")[t % 2], ("Hi?", "Yes.")[t % 2]) for t in range(40)]
+    schema = "conv_id long, turn long, role string, text string"
+    model = chat.fit(spark.createDataFrame(turns, schema))
+    alone = spark.createDataFrame([(None, t, None, "Yes.") for t in range(40)] + [(None, None, None, None)] * 3, schema)
+    got = chat.parse(alone, model).collect()
+    assert len(got) == 43 and len({(r.role, r.starts) for r in got if r.turn is not None}) == 1  # as each would be judged by itself
+    assert all(r.conv_id is None and r.starts for r in got)
+
+
 # ---- pipeline
 
 
