@@ -82,7 +82,7 @@ class Block:
         self.impact = [np.concatenate([off(at), end], axis=1) for at in (n - 1 - self.cut[0][:-1], self.cut[1][:-1])]
         self.read = 0  # postings so far
 
-    def possible_members(self, q: np.ndarray, k: int, least: float, ratio: float = 0.5, rounds: int = 8) -> np.ndarray:
+    def possible_members(self, q: np.ndarray, k: int, least: float, ratio: float = 0.6, rounds: int = 14) -> np.ndarray:
         """Positions of all vectors that can be among the k best of the block and score ``least`` or more."""
         n, dims = self.data.shape
         weight, every = np.abs(q).astype(float), np.arange(dims)
