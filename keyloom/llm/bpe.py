@@ -41,16 +41,26 @@ class Tails(dict):
         return sizes
 
 
+def raw_bytes(token: str, stand_in: dict[str, int]) -> bytes:
+    return bytes(map(stand_in.__getitem__, token))
+
+
+def token_bytes(tokenizer_path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """ids of the tokens by their bytes, and of the special strings, of a tokenizer file."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        data = json.load(f)
+    stand_in, special = byte_alphabet(), {t["content"]: t["id"] for t in data["added_tokens"]}
+    return {raw_bytes(s, stand_in): i for s, i in data["model"]["vocab"].items() if s not in special}, special
+
+
 class Vocabulary:
     """Token bytes, ids and merges of a tokenizer file."""
 
     def __init__(self, tokenizer_path: str):
+        self.id_of, self.specials = token_bytes(tokenizer_path)
         with open(tokenizer_path, encoding="utf-8") as f:
-            data = json.load(f)
+            merges = json.load(f)["model"]["merges"]
         stand_in = byte_alphabet()
-        raw = lambda s: bytes(stand_in[c] for c in s)
-        self.specials = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.id_of = {raw(s): i for s, i in data["model"]["vocab"].items() if s not in self.specials}
         self.bytes_of = [b""] * (1 + max([*self.id_of.values(), *self.specials.values()]))
         for b, i in self.id_of.items():
             self.bytes_of[i] = b
@@ -58,8 +68,8 @@ class Vocabulary:
             self.bytes_of[i] = s.encode()
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         self.made_of: dict[int, tuple[int, int, int]] = {}
-        for r, pair in enumerate(data["model"]["merges"]):
-            a, b = (self.id_of[raw(x)] for x in (pair.split(" ") if isinstance(pair, str) else pair))
+        for r, pair in enumerate(merges):
+            a, b = (self.id_of[raw_bytes(x, stand_in)] for x in (pair.split(" ") if isinstance(pair, str) else pair))
             whole = self.id_of[self.bytes_of[a] + self.bytes_of[b]]
             self.rank[a, b] = r, whole
             self.made_of[whole] = a, b, r

@@ -1,9 +1,10 @@
 """Language identification by Bayesian fusion of several kinds of evidence.
 
 log P(l | all) = c + temper * log P(text | l) + log P(declared | l) + log P(l | host). Text likelihoods
-come from byte trigrams; how far declared languages can be trusted, and the priors of hosts, come from
-grouped counts over all rows. A host's prior is smoothed towards that of its address suffix, and
-that one towards the corpus.
+come from byte trigrams. How far declared languages can be trusted comes from grouped counts over the rows
+that the text model was not fitted on (a quarter of them, by a hash of the id), and the priors of hosts
+from grouped counts over all rows. A host's prior is smoothed towards that of its address suffix, and
+that one towards the corpus. ``page_evidence`` gives the evidence that raw web pages hold.
 
 One more hypothesis, "none of these", has a log likelihood a trigram that depends on the language whose
 model explains the text best: half-way between what texts of that language have under its model and
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import exact, exact_longs, row_key, string_list, written
+from keyloom.llm.common import exact, exact_longs, few, row_key, string_list, written
 
 BUCKETS = 1 << 15
 UNIFORM = -float(np.log(BUCKETS))
@@ -44,9 +45,25 @@ def suffix_of(host: Column) -> Column:
     return F.coalesce(F.regexp_extract(host, r"\.([^.]+)$", 1), F.lit(""))
 
 
+def page_evidence(pages: DataFrame) -> DataFrame:
+    """doc_id, text, lang, source of pages (page_id, url, html): the text between tags, the language that the markup declares
+    (its primary part in lower case; null if none) and the url's host (null where there is no ://)."""
+    html = F.coalesce("html", F.lit(""))
+    shown = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ")
+    said = F.lower(F.regexp_extract(html, r"""(?is)<html\b[^>]*?\slang\s*=\s*["']?([A-Za-z]+)""", 1))
+    host = F.regexp_extract("url", r"(?s)\A.*?://([^/?#:]*)", 1)
+    some = lambda c: F.when(c != "", c)
+    return pages.select(F.col("page_id").alias("doc_id"), shown.alias("text"), some(said).alias("lang"), some(F.lower(host)).alias("source"))
+
+
+def apart() -> Column:
+    """Rows kept out of the fit of the text model: those without an id and a quarter of the others."""
+    return F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0, F.lit(True))
+
+
 def fit_text(docs: DataFrame, languages: list[str], declared: str, most: int) -> np.ndarray:
-    """log P(trigram | language), a row per language, from a bounded sample of rows that declare one of them."""
-    chosen = docs.filter(F.col(declared).isin(languages) & F.col("doc_id").isNotNull()).select("doc_id", F.col(declared).alias("l"))
+    """log P(trigram | language), a row per language, from a bounded sample of rows that declare one of them and are not set apart."""
+    chosen = docs.filter(F.col(declared).isin(languages) & ~apart()).select("doc_id", F.col(declared).alias("l"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "l")  # <= most rows broadcast
     number = {x: i for i, x in enumerate(languages)}
@@ -117,27 +134,34 @@ def identify(docs: DataFrame, languages: list[str] | None = None, declared: str
     return judged(docs, languages, declared, host, **how).drop("row")
 
 
-def keep_identified(docs: DataFrame, languages: list[str] | None = None, declared: str = "lang", host: str = "source", **how) -> DataFrame:
-    """The rows of docs, all columns, that are kept. Rows with equal ids, null ones too, are judged one by one."""
-    kept = judged(docs, languages, declared, host, **how).filter("kept").select(F.col("row").alias("_kept")).distinct()
-    return docs.join(kept, row_key("doc_id", "text", declared, host) == F.col("_kept"), "left_semi")
+def keep_identified(docs: DataFrame, languages: list[str] | None = None, declared: str = "lang", host: str = "source", small: int = 250_000, **how) -> DataFrame:
+    """The rows of docs, all columns, that are kept. Rows with equal ids, null ones too, are judged one by one.
+
+    Keys of rejected rows are broadcast up to ``small`` of them, so that texts are not shuffled; beyond that
+    they are joined by a shuffle.
+    """
+    gone = written(judged(docs, languages, declared, host, **how).filter("not kept").select(F.col("row").alias("_gone")).distinct())
+    return docs.join(few(gone, small), row_key("doc_id", "text", declared, host) == F.col("_gone"), "left_anti")
 
 
 def judged(
     docs: DataFrame, languages: list[str] | None = None, declared: str = "lang", host: str = "source",
-    temper: float = 0.3, strength: float = 20.0, least: float = 0.5, most: int = 8_000,
+    temper: float = 0.3, strength: float = 20.0, least: float = 0.5, most: int = 8_000, share: float = 1 / 128,
 ) -> DataFrame:
     """row, doc_id, language, posterior, text_language, kept: a row for every row of docs.
 
-    ``languages`` defaults to the 64 most declared ones; texts in any other are "none of these". The text
-    model is fitted on at most ``most`` rows, the first by a hash of doc_id. Kept are rows with a letter
+    ``languages`` defaults to those that at least ``share`` of the declaring rows declare, of which there can
+    be 1 / share at most; texts in any other are "none of these". The text model is fitted on at most ``most``
+    rows, the first by a hash of doc_id. Kept are rows with a letter
     whose best language has a posterior of ``least`` or more; a text without letters, or whose best
     hypothesis is "none of these", is "und" and not kept. Null declarations and hosts are no evidence;
-    unknown declarations count as one other value. Ties go to the first language by name.
+    unknown declarations count as one other value. Ties go to the first language by name. Repeated rows are
+    judged alike, an empty table gives no rows, and other columns of docs do not matter.
     """
     if languages is None:
-        named = docs.filter(f"trim({declared}) <> ''").groupBy(declared).count().orderBy(F.desc("count"), declared).limit(64)
-        languages = sorted(r[0] for r in named.collect())
+        named = docs.filter(f"trim({declared}) <> ''").groupBy(declared).count()
+        enough = share * (named.agg(F.sum("count")).first()[0] or 0)
+        languages = sorted(r[0] for r in named.filter(F.col("count") >= enough).collect())  # 1 / share rows at most
     if not languages:
         return docs.select(row_key("doc_id", "text", declared, host).alias("row"), F.col("doc_id").cast("long"), F.lit("und").alias("language"), F.lit(0.0).alias("posterior"), F.lit("und").alias("text_language"), F.lit(False).alias("kept"))
     names, k = F.array(*map(F.lit, languages), F.lit("und")), len(languages) + 1  # the last one is "none of these"
@@ -151,14 +175,14 @@ def judged(
     at_best = F.array_position("loglik", F.array_max("loglik")).cast("int")
     seen = seen.withColumn("best", F.when(F.col("grams") > 0, at_best))
 
-    counts = seen.filter("best is not null").groupBy("suffix", "host", "best", "said").agg(F.count("*").alias("n"))
+    counts = seen.filter("best is not null").groupBy("suffix", "host", "best", "said", apart().alias("apart")).agg(F.count("*").alias("n"))
     counts = written(counts)
     trust = np.ones((k, k))  # rows: declared (0 other), columns: language of the text
     root = np.ones(k)
-    for r in counts.groupBy("best", "said").agg(F.sum("n").alias("n")).collect():  # at most languages squared
+    for r in counts.groupBy("best", "said").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("apart"), F.col("n")).otherwise(0)).alias("apart")).collect():  # at most languages squared
         root[r["best"] - 1] += r["n"]
         if r["said"] is not None:
-            trust[r["said"], r["best"] - 1] += r["n"]
+            trust[r["said"], r["best"] - 1] += r["apart"]
     trust, root = np.log(trust / trust.sum(axis=0)), root / root.sum()
 
     vector = lambda name: [F.sum(F.when(F.col("best") == i + 1, F.col("n")).otherwise(0)).alias(f"{name}{i}") for i in range(k)]

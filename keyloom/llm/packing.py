@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.bpe import Vocabulary
+from keyloom.llm.bpe import token_bytes
 from keyloom.llm.common import exact, exact_longs, row_ids, string_list, written
 from keyloom.llm.pretokens import PATTERN, SPACE, special_cutter
 
@@ -44,9 +44,9 @@ def encoder(tokenizer_path: str):
     """
     import tiktoken
 
-    v = Vocabulary(tokenizer_path)
-    one = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=v.id_of, special_tokens=v.specials)
-    encode, specials, parts = one.encode_ordinary, set(v.specials), special_cutter(v.specials)
+    id_of, special = token_bytes(tokenizer_path)
+    one = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=id_of, special_tokens=special)
+    encode, specials, parts = one.encode_ordinary, set(special), special_cutter(special)
 
     def cut(text: str) -> bytes:
         out, at = array("I"), 0
@@ -60,7 +60,7 @@ def encoder(tokenizer_path: str):
 
     def ids(text: str) -> bytes:
         if len(text) >= LONGEST_RUN and LONG_SPACE.search(text):
-            return b"".join(array("I", [v.specials[p]]).tobytes() if special else cut(p) for p, special in parts(text))
+            return b"".join(array("I", [special[p]]).tobytes() if is_special else cut(p) for p, is_special in parts(text))
         if any(s in text for s in specials):
             return array("I", one.encode(text, allowed_special=specials)).tobytes()
         return array("I", encode(text)).tobytes()

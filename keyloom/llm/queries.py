@@ -66,6 +66,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+@query
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op3's operator on raw pages: language of every page by its text, markup language, address suffix and host."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return language.identify(language.page_evidence(pages)).withColumnRenamed("doc_id", "page_id")
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules on every document."""

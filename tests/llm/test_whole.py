@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,71 @@ def test_rows_of_one_id_are_identified_one_by_one(spark):
     assert sorted(r.text for r in left) == sorted([*texts, texts[2]])
 
 
+def test_evidence_of_pages(spark):
+    words = {"en": "abcdefgh", "fr": "klmnopqr"}
+    random.seed(8)
+    rows = []
+    for i in range(200):
+        x = ("en", "fr")[i % 2]
+        said = x if i % 10 < 8 else None
+        body = " ".join("".join(random.choices(words[x], k=5)) for _ in range(40 if i < 190 else 1))
+        rows.append((i, f"https://www.site{i % 2}.{'com' if i % 2 == 0 else 'fr'}/a", f"<!DOCTYPE html><HTML class=x{f' lang={chr(34)}{x}-XX{chr(34)}' if said else ''}><style>zz{{}}</style><script>if (a<b) zz</script><p>{body}&amp;</p>"))
+    rows += [(900, None, None), (901, "no url", "<p>"), (None, "http://www.site0.com", "<html lang=en><p>abc abc</p>"), (None, "http://www.site0.com", "<html lang=en><p>abc abc</p>")]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
+    seen = {r.doc_id: r for r in language.page_evidence(pages).collect()}
+    assert seen[0].lang == "en" and seen[8].lang is None and seen[1].source == "www.site1.fr" and "zz" not in seen[0].text and seen[900].source is None
+    got = language.identify(language.page_evidence(pages)).collect()
+    assert len(got) == len(rows) and all(r.language == ("en", "fr")[r.doc_id % 2] for r in got if r.doc_id is not None and r.doc_id < 190)
+    assert language.identify(language.page_evidence(pages.limit(0))).count() == 0
+
+
+def fused(rows, seen, languages, levels, temper=0.3, strength=20.0):
+    """Posteriors by hand: rows (doc_id, declared, host), seen (number of trigrams, log likelihoods)."""
+    k = len(languages) + 1
+    loglik = [[*ll, g * levels[int(np.argmax(ll))]] for g, ll in seen]
+    best = [int(np.argmax(ll)) if g else None for (g, _), ll in zip(seen, loglik, strict=True)]
+    trust, root, hosts, suffixes = np.ones((k, k)), np.ones(k), {}, {}
+    for (d, x, h, aside), b in zip(rows, best, strict=True):
+        if b is None:
+            continue
+        root[b] += 1
+        if x is not None and aside:
+            trust[languages.index(x) + 1 if x in languages else 0, b] += 1
+        suffix = (h or "").rpartition(".")[2] if "." in (h or "") else ""
+        suffixes.setdefault(suffix, np.zeros(k))[b] += 1
+        if h is not None:
+            hosts.setdefault((suffix, h), np.zeros(k))[b] += 1
+    root /= root.sum()
+    smooth = lambda n, parent: (n + strength * parent) / (n.sum() + strength)
+    out = []
+    for (d, x, h, _), ll, b in zip(rows, loglik, best, strict=True):
+        suffix = (h or "").rpartition(".")[2] if "." in (h or "") else ""
+        prior = smooth(hosts[suffix, h], smooth(suffixes[suffix], root)) if (suffix, h) in hosts else root
+        said = np.log(trust / trust.sum(axis=0))[languages.index(x) + 1 if x in languages else 0] if x is not None else 0
+        total = temper * np.array(ll) + said + np.log(prior)
+        p = np.exp(total - total.max())
+        out.append(("und", 0.0) if b is None else ([*languages, "und"][int(total.argmax())], p.max() / p.sum()))
+    return out
+
+
+def test_posterior_by_hand(spark):
+    random.seed(9)
+    rows = [(i, " ".join("".join(random.choices("abcdef" if i % 3 else "defghi", k=4)) for _ in range(random.choice([1, 2, 30]))), random.choice(["a", "a", "b", None, "zz"]) if i % 5 else "ab"[i % 3 == 0], random.choice(["x.com", "y.com", "z.fr", "bare", None]), 0) for i in range(60)]
+    rows += [(100, "", "a", "x.com", 0), (None, "abc abd", "b", "z.fr", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    languages = ["a", "b"]
+    table = language.fit_text(docs, languages, "lang", 8000)
+    seen = {r.row: r for r in language.text_evidence(docs, table, "lang", "source").collect()}
+    keyed = docs.select(language.row_key("doc_id", "text", "lang", "source").alias("row"), "doc_id", "lang", "source", language.apart().alias("aside")).collect()
+    said = {"a": 1, "b": 2}
+    frame = spark.createDataFrame([(said.get(r.declared, 0) if r.declared else None, r.best, r.second, r.grams, r.loglik) for r in seen.values()], "said int, best int, second int, grams long, loglik array<double>")
+    levels = language.background_levels(frame, 2)
+    want = fused([(r.doc_id, r.lang, r.source, r.aside) for r in keyed], [(seen[r.row].grams, seen[r.row].loglik) for r in keyed], languages, levels)
+    got = {r.row: r for r in language.judged(docs, languages).collect()}
+    for r, (name, p) in zip(keyed, want, strict=True):
+        assert got[r.row].language == name and abs(got[r.row].posterior - p) < 1e-9
+
+
 def test_chat_blocks_are_bounded(spark):
     rows = [(None, i % 3 or None, f"Question number {i}?") for i in range(60)] + [(WIDE, None, f"It is {i}.") for i in range(60)]
     rows += [(WIDE + 2, 5, "Hi?")] * 60 + [(WIDE + 4, i, f"User: so {i}") for i in range(60)]
