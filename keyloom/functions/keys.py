@@ -54,12 +54,18 @@ def allows_type(kind: Column, types: list[str] = ()) -> Column:
 
 
 def glob_to_regex(glob: str) -> str:
-    """A key pattern (* ? [..] and backslash escapes) as a regular expression; an unclosed [ is itself."""
+    """A key pattern (* ? [..] and backslash escapes) as a regular expression; an unclosed [ is itself.
+
+    In a class only a leading ^, ranges and backslashes mean something; an empty one fits nothing.
+    """
     out, i = [], 0
     while i < len(glob):
         c = glob[i]
         if c == "[" and (close := glob.find("]", i + 1)) > 0:
-            out.append(glob[i : close + 1])
+            inner = glob[i + 1 : close]
+            negated, inner = inner[:1] == "^", inner[inner[:1] == "^" :]
+            listed = re.sub(r"\\(.)|([\[\]&^~|#\\])", lambda m: re.escape(m[1]) if m[1] else "\\" + m[2], inner)
+            out.append(f"[{'^' * negated}{listed}]" if listed else "." if negated else "(?!)")
             i = close
         elif c == "\\":
             i += 1
@@ -67,7 +73,7 @@ def glob_to_regex(glob: str) -> str:
         else:
             out.append({"*": ".*", "?": "."}.get(c) or re.escape(c))
         i += 1
-    return f"(?s)^{''.join(out)}$"
+    return rf"(?s)\A{''.join(out)}\z"
 
 
 def glob_match(key: Column, glob: str) -> Column:
@@ -108,10 +114,16 @@ class KeyNames:
             raise ValueError("new prefixes overlap, so a target key could come from either rule")
         return KeyNames(tuple(sorted(rules, key=lambda r: -len(r[0]))), prefix + separator if prefix else "")
 
+    @staticmethod
+    def _after(key: Column, prefix: str) -> Column:
+        """What follows a prefix: positions count characters of strings and bytes of binary keys."""
+        at = F.when(F.typeof(key) == "binary", len(prefix.encode())).otherwise(len(prefix)) + 1
+        return F.substring(key, at, F.length(key))
+
     def to_target(self, key: Column) -> Column:
         name = None
         for old, new in self.rules:
-            moved = F.concat(F.lit(new), F.substring(key, F.lit(len(old) + 1), F.length(key)))
+            moved = F.concat(F.lit(new), self._after(key, old))
             name = (F if name is None else name).when(key.startswith(old), moved)
         landed = _any([key.startswith(new) for _, new in self.rules])
         name = F.when(~landed, key) if name is None else name.when(~landed, key)
@@ -119,10 +131,10 @@ class KeyNames:
 
     def to_source(self, key: Column) -> Column:
         """The source name that maps to a target name; null when none does."""
-        bare = F.when(key.startswith(self.outer), F.substring(key, F.lit(len(self.outer) + 1), F.length(key)))
+        bare = F.when(key.startswith(self.outer), self._after(key, self.outer))
         source = None
         for old, new in self.rules:
-            back = F.concat(F.lit(old), F.substring(bare, F.lit(len(new) + 1), F.length(bare)))
+            back = F.concat(F.lit(old), self._after(bare, new))
             source = (F if source is None else source).when(bare.startswith(new), back)
         source = bare if source is None else source.otherwise(bare)
         return F.when(self.to_target(source) == key, source)

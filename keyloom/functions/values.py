@@ -68,13 +68,13 @@ def split_chunks(records: DataFrame, column: str, sizes: dict[str, int]) -> Data
     return out.withColumn(column, F.when(F.col("chunks") > 1, part).otherwise(F.col(column))).drop("_size")
 
 
-def join_chunks(chunks: DataFrame, column: str, waits: int = 0, max_waits: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+def join_chunks(chunks: DataFrame, column: str, waits: int = 0, max_waits: int = 10, order: list[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Records, waiting and failed keys of chunk rows (key, type, chunk, chunks, array column).
 
-    Of a repeated chunk number the first value counts. Only hashes and lists are chunked. Keys with missing
+    Of a repeated chunk number the first value by ``order`` counts (the smallest one without an order). Only hashes and lists are chunked. Keys with missing
     chunks wait until ``waits`` reaches ``max_waits``.
     """
-    one = chunks.groupBy("key", "type", "chunk", "chunks").agg(F.min(column).alias(column))
+    one = chunks.groupBy("key", "type", "chunk", "chunks").agg((F.min_by(column, F.struct(*order)) if order else F.min(column)).alias(column))
     whole = one.groupBy("key", "type", "chunks").agg(
         F.count("*").cast("int").alias("n"), F.array_sort(F.collect_list(F.struct("chunk", F.col(column).alias("v")))).alias("parts")
     )

@@ -31,20 +31,20 @@ def missing_commands(source: DataFrame, target: DataFrame, rules: DataFrame) ->
 
 
 def match_rules(commands: DataFrame, rules: DataFrame, containers: list[str] = ()) -> DataFrame:
-    """(source, title, severity, command) of commands (source, command: ``cmd`` or ``cmd|sub``) that rules (kind exact or prefix, pattern, title, severity) fit.
+    """(source, title, severity, command) of commands (source, command: ``cmd`` or ``cmd|sub``) that rules (kind exact or prefix, position, pattern, title, severity) fit.
 
-    The exact name goes first, then the base command (never for containers), then a prefix; the first
-    command by name stands for a title.
+    The exact name goes first, then the base command (never for containers), then of the prefixes that the
+    base starts with the first by ``position``; the first command by name stands for a title.
     """
     base = F.substring_index("command", "|", 1)
     c = commands.withColumn("_base", F.when(F.col("command").contains("|") & ~base.isin(*containers), base)) if containers else commands.withColumn("_base", base)
     exact = rules.filter("kind = 'exact'").select("pattern", F.struct("title", "severity").alias("rule"))
     e = exact.select(F.col("pattern").alias("_ep"), F.col("rule").alias("_e"))
     b = exact.select(F.col("pattern").alias("_bp"), F.col("rule").alias("_b"))
-    starts = c.select("command").distinct().withColumn("_x", F.explode(F.transform(F.sequence(F.lit(1), F.length("command")), lambda n: F.left("command", n))))
-    fits = starts.join(rules.filter("kind = 'prefix'").select(F.col("pattern").alias("_x"), F.struct("title", "severity").alias("_f")), "_x")
-    longest = fits.groupBy("command").agg(F.max_by("_f", F.length("_x")).alias("_f"))
-    met = c.join(e, F.col("command") == F.col("_ep"), "left").join(b, F.col("_base") == F.col("_bp"), "left").join(longest, "command", "left")
+    starts = c.select("command").distinct().filter(F.length(base) > 0).withColumn("_x", F.explode(F.transform(F.sequence(F.lit(1), F.length(base)), lambda n: F.left(base, n))))
+    fits = starts.join(rules.filter("kind = 'prefix'").select(F.col("pattern").alias("_x"), F.struct("title", "severity").alias("_f"), "position"), "_x")
+    first = fits.groupBy("command").agg(F.min_by("_f", "position").alias("_f"))
+    met = c.join(e, F.col("command") == F.col("_ep"), "left").join(b, F.col("_base") == F.col("_bp"), "left").join(first, "command", "left")
     hit = met.withColumn("_r", F.coalesce("_e", "_b", "_f")).filter("_r is not null").select("source", "command", "_r.title", "_r.severity")
     return hit.groupBy("source", "title", "severity").agg(F.min("command").alias("command"))
 
@@ -94,13 +94,31 @@ def acl_findings(acls: DataFrame) -> DataFrame:
     return acls.filter(limited).groupBy("source").agg(F.count("*").alias("n")).select("source", F.lit("check").alias("severity"), F.format_string("%d users with key or channel patterns", "n").alias("title"))
 
 
+def assess(facts: DataFrame, commands: DataFrame, types: DataFrame, acls: DataFrame, command_rules: DataFrame, type_rules: DataFrame, target_commands: DataFrame, containers: list[str] = ()) -> DataFrame:
+    """(source, severity, title) of all findings about many sources in one frame: facts, commands by rule and missing on the target, types, users."""
+    lacking = missing_commands(commands, target_commands, command_rules.filter("kind = 'exact'").select(F.col("pattern").alias("command")))
+    lacking = lacking.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("command")), ", ").alias("c"))
+    found = [
+        fact_findings(facts), type_findings(types, type_rules), acl_findings(acls),
+        match_rules(commands, command_rules, containers).select("source", "severity", "title"),
+        lacking.select("source", F.lit("check").alias("severity"), F.concat(F.lit("the target lacks "), "c").alias("title")),
+    ]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def sorted_findings(findings: DataFrame) -> DataFrame:
     return findings.orderBy(F.desc(severity_rank(F.col("severity"))), "source", "title")
 
 
-def pattern_status(findings: DataFrame, patterns: int = 3) -> DataFrame:
-    """(source, pattern, status) from findings (source, severity, patterns array<int>); sources without a finding for a pattern are ready."""
-    every = findings.select("source").distinct().withColumn("pattern", F.explode(F.array(*map(F.lit, range(1, patterns + 1)))))
+def pattern_status(findings: DataFrame, patterns: int = 3, sources: DataFrame | None = None) -> DataFrame:
+    """(source, pattern, status) of sources (source; those with findings if not given) from findings (source, severity, patterns array<int>).
+
+    Sources without a finding for a pattern are ready for it.
+    """
+    every = (findings if sources is None else sources).select("source").distinct().withColumn("pattern", F.explode(F.array(*map(F.lit, range(1, patterns + 1)))))
     worst = findings.select("source", F.explode("patterns").alias("pattern"), severity_rank(F.col("severity")).alias("rank")).groupBy("source", "pattern").agg(F.max("rank").alias("rank"))
     status = F.element_at(F.create_map(*(F.lit(x) for p in STATUS.items() for x in p)), F.coalesce("rank", F.lit(0)))
     return every.join(worst, ["source", "pattern"], "left").select("source", "pattern", status.alias("status"))

@@ -24,10 +24,12 @@ def index_args(fields: DataFrame) -> DataFrame:
 def plan_indexes(definitions: DataFrame, existing: DataFrame, nodes: DataFrame, overwrite: bool = False) -> DataFrame:
     """(index, node, action): create, keep, drop_and_create or unsupported, for definitions (index, supported) on every node.
 
-    Definitions are few and nodes fewer; their product is the plan itself.
+    The nodes of a cluster are one row, which meets every definition.
     """
+    one = nodes.agg(F.array_sort(F.collect_set("node")).alias("_nodes"))
     there = existing.select("index", "node", F.lit(True).alias("_there"))
-    met = definitions.select("index", "supported").withColumn("node", F.explode(F.array(*(F.lit(r["node"]) for r in nodes.select("node").distinct().orderBy("node").collect())))).join(there, ["index", "node"], "left")
+    met = definitions.select("index", "supported").join(F.broadcast(one), how="cross")
+    met = met.select("index", "supported", F.explode("_nodes").alias("node")).join(there, ["index", "node"], "left")
     action = F.when(~F.col("supported"), "unsupported").when(F.col("_there").isNull(), "create").otherwise("drop_and_create" if overwrite else "keep")
     return met.select("index", "node", action.alias("action"))
 
@@ -37,14 +39,16 @@ def map_prefixes(definitions: DataFrame, rules: DataFrame, outer: str = "") -> D
 
     A prefix is renamed by the longest old prefix it starts with, and the new prefixes of rules below it are added.
     """
+    starts = lambda c: F.transform(F.sequence(F.lit(0), F.length(c)), lambda n: F.left(c, n))
     p = definitions.select("index", F.posexplode("prefixes").alias("pos", "prefix"))
-    r = rules.select("old", "new")
-    # whole join is on two small tables: definitions' prefixes and rules
-    met = p.join(r, F.col("prefix").startswith(F.col("old")) | F.col("old").startswith(F.col("prefix")), "left")
-    own = F.max_by(F.concat("new", F.expr("substring(prefix, length(old) + 1)")), F.when(F.col("prefix").startswith(F.col("old")), F.length("old")))
-    below = F.array_sort(F.collect_set(F.when(F.col("old").startswith(F.col("prefix")) & (F.length("old") > F.length("prefix")), F.col("new"))))
-    per = met.groupBy("index", "pos", "prefix").agg(own.alias("own"), below.alias("below"))
-    per = per.withColumn("list", F.transform(F.concat(F.array(F.coalesce("own", "prefix")), "below"), lambda x: F.concat(F.lit(outer), x)))
+    over = p.select("prefix").distinct().withColumn("old", F.explode(starts("prefix"))).join(rules.select("old", "new"), "old")
+    renamed = F.concat("new", F.expr("substring(prefix, length(old) + 1)"))
+    over = over.groupBy("prefix").agg(F.max_by(renamed, F.length("old")).alias("own"))
+    under = rules.select("old", "new").withColumn("prefix", F.explode(starts("old"))).filter("prefix <> old")
+    under = under.join(p.select("prefix").distinct(), "prefix", "left_semi").groupBy("prefix").agg(F.array_sort(F.collect_set("new")).alias("below"))
+    met = p.join(over, "prefix", "left").join(under, "prefix", "left")
+    listed = F.concat(F.array(F.coalesce("own", "prefix")), F.coalesce("below", F.array().cast("array<string>")))
+    per = met.withColumn("list", F.transform(listed, lambda x: F.concat(F.lit(outer), x)))
     return per.groupBy("index").agg(F.array_distinct(F.flatten(F.array_sort(F.collect_list(F.struct("pos", "list")))["list"])).alias("prefixes"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyloom.operators.ranks import numbered
+
 # Module types and how they are carried. The sketch type goes by two names.
 DISPOSITION = {
     "rejson-rl": "json_rebuild",
@@ -28,13 +30,14 @@ def disposition(kind: Column) -> Column:
     return out
 
 
-def not_carried_reason(kind: Column, error: Column) -> Column:
-    what, known = disposition(kind), F.lower(kind).isin(*DISPOSITION)
-    return (
-        F.when(what == "not_supported", F.concat(kind, F.lit(" is not supported by the target")))
-        .when(what == "restore_only", F.concat(F.when(known, F.concat(F.lit("no lossless path for "), kind)).otherwise(F.concat(F.lit("unknown module type "), kind)), F.lit("; restore was rejected: "), error))
-        .otherwise(F.concat(kind, F.lit(" could not be rebuilt: "), error))
-    )
+def dispositions(keys: DataFrame, rules: DataFrame) -> DataFrame:
+    """keys (type, ..) with how they are carried and why not, by rules (type, disposition, reason) that ignore case.
+
+    Types without a rule can only be restored.
+    """
+    r = rules.select(F.lower("type").alias("_type"), "disposition", "reason")
+    met = keys.join(r, F.lower(keys["type"]) == r["_type"], "left").drop("_type")
+    return met.withColumns({"disposition": F.coalesce("disposition", F.lit("restore_only")), "reason": F.coalesce("reason", F.concat(F.lit("no rule for the type "), "type"))})
 
 
 def topk_plan(items: DataFrame, max_incr: int = 100_000, pairs: int = 900) -> DataFrame:
@@ -42,8 +45,8 @@ def topk_plan(items: DataFrame, max_incr: int = 100_000, pairs: int = 900) -> Da
     n = F.ceil(F.col("count") / max_incr).cast("int")
     steps = items.filter("count > 0").withColumn("step", F.explode(F.sequence(F.lit(1), n)))
     incr = F.least(F.lit(max_incr), F.col("count") - (F.col("step") - 1) * max_incr)
-    rn = F.row_number().over(Window.partitionBy("key").orderBy("item", "step"))
-    return steps.withColumn("incr", incr.cast("long")).withColumn("call", F.floor((rn - 1) / pairs).cast("long")).select("key", "call", "item", "incr")
+    n = numbered(steps.withColumn("incr", incr.cast("long")).select("key", "item", "step", "incr"), ["key"], ["item", "step"])
+    return n.select("key", F.floor((F.col("n") - 1) / pairs).cast("long").alias("call"), "item", "incr")
 
 
 def topk(items: DataFrame, k: int, by: str = "item") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyloom.functions import keys as K
+from keyloom.operators.ranks import numbered
 
 EXISTS = "the key already exists on the target and conflict-strategy is FAIL"
 COLLIDES = "no target name: a renamed key could land on it"
@@ -25,13 +26,15 @@ def mapped(records: DataFrame, names: K.KeyNames) -> tuple[DataFrame, DataFrame]
     return good, named.filter("_target is null").select("key", F.lit(COLLIDES).alias("reason"))
 
 
-def upsert(records: DataFrame, target: DataFrame, conflict: str = "OVERWRITE") -> tuple[DataFrame, DataFrame]:
-    """The new target and an outcome (key, outcome, reason) per record. One record per key; ``deleted`` ones remove it.
+def upsert(records: DataFrame, target: DataFrame, conflict: str = "OVERWRITE", order: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The new target and an outcome (key, outcome, reason) per key; ``deleted`` records remove it.
 
+    Of several records of a key the newest by ``order`` is applied (without an order, one of them).
     OVERWRITE replaces whole values, SKIP leaves what is there, FAIL reports it. Both sides have the same columns.
     """
     there = target.select("key", F.lit(True).alias("_there")).distinct()
-    met = records.join(there, "key", "left")
+    newest = latest_per_key(records, list(order) or [*target.columns])[0]
+    met = newest.join(there, "key", "left")
     taken = F.col("_there").isNotNull() & (F.col("type") != "deleted")
     outcome = F.lit("success") if conflict == "OVERWRITE" else F.when(taken, "skipped" if conflict == "SKIP" else "failure").otherwise("success")
     met = met.withColumn("outcome", outcome)
@@ -92,12 +95,19 @@ def assign_batches(records: DataFrame, order: list[str], default: int = 50, per_
     bucket, cap = F.lit("shared"), F.lit(default)
     for kind, n in per_type.items():
         bucket, cap = F.when(F.col("type") == kind, kind).otherwise(bucket), F.when(F.col("type") == kind, n).otherwise(cap)
-    rn = F.row_number().over(Window.partitionBy("bucket").orderBy(*order))
-    return records.withColumns({"bucket": bucket, "_cap": cap}).withColumn("batch", F.ceil(rn / F.col("_cap")).cast("long")).drop("_cap")
+    n = numbered(records.withColumns({"bucket": bucket, "_cap": cap}), ["bucket"], order, "_n")
+    return n.withColumn("batch", F.ceil(F.col("_n") / F.col("_cap")).cast("long")).drop("_cap", "_n")
 
 
-def dead_letters(failures: DataFrame, keep: int = 20) -> DataFrame:
-    """One record per key and chunk of failures (key, chunk, reason, failed_at, seq): the newest, and older reasons newest first."""
+def dead_letters(failures: DataFrame, keep: int = 20, existing: DataFrame | None = None) -> DataFrame:
+    """One record per key and chunk of failures (key, chunk, reason, failed_at, seq): the newest, and older reasons newest first.
+
+    ``existing`` records (of an earlier result) count as older failures with their history; seq must not be negative.
+    """
+    if existing is not None:
+        past = F.concat(F.array(F.struct("failed_at", "reason")), "history")
+        past = existing.select("key", "chunk", F.posexplode(past).alias("pos", "h"))
+        failures = failures.unionByName(past.select("key", "chunk", "h.reason", "h.failed_at", (-1 - F.col("pos")).alias("seq")))
     newest = Window.partitionBy("key", "chunk").orderBy(F.desc("failed_at"), F.desc("seq"))
     f = failures.withColumn("reason", F.coalesce("reason", F.lit("no reason recorded"))).withColumn("_rn", F.row_number().over(newest))
     f = f.filter(F.col("_rn") <= keep + 1)
@@ -127,11 +137,15 @@ def with_hook(records: DataFrame, hook) -> DataFrame:
     return out if "reason" in out.columns else out.withColumn("reason", F.lit(None).cast("string"))
 
 
-def validate(source: DataFrame, target: DataFrame, mode: str = "FULL_VALUE", tolerance_s: int = 5) -> DataFrame:
+def validate(source: DataFrame, target: DataFrame, mode: str = "FULL_VALUE", tolerance_ms: int = 5000) -> DataFrame:
     """(key, result) of sampled source keys against the target: ok, missing, type, value or ttl.
 
-    EXISTENCE, TYPE, FULL_VALUE or TTL_DELTA; each mode runs the tests before it. Raw TTLs in seconds are compared.
+    EXISTENCE, TYPE, FULL_VALUE or TTL_DELTA; each mode runs the tests before it. Raw TTLs are compared in
+    milliseconds. Values may be arrays of elements: those of sets and zsets (member and score) are compared as sets.
     """
+    if dict(source.dtypes)["value"].startswith("array"):
+        alike = F.when(F.col("type").isin("set", "zset"), F.array_sort(F.array_distinct("value"))).otherwise(F.col("value"))
+        source, target = source.withColumn("value", alike), target.withColumn("value", alike)
     t = target.select("key", *(F.col(c).alias(f"t_{c}") for c in ("type", "ttl_ms", "value")), F.lit(True).alias("_there"))
     result = F.when(F.col("_there").isNull(), "missing")
     if mode != "EXISTENCE":
@@ -139,8 +153,7 @@ def validate(source: DataFrame, target: DataFrame, mode: str = "FULL_VALUE", tol
     if mode == "FULL_VALUE":
         result = result.when(~F.col("value").eqNullSafe(F.col("t_value")), "value")
     if mode == "TTL_DELTA":
-        seconds = lambda c: F.floor(F.col(c) / 1000)
-        result = result.when(F.abs(seconds("ttl_ms") - seconds("t_ttl_ms")) > tolerance_s, "ttl")
+        result = result.when(F.abs(F.col("ttl_ms") - F.col("t_ttl_ms")) > tolerance_ms, "ttl")
     return source.join(t, "key", "left").select("key", result.otherwise("ok").alias("result"))
 
 
@@ -175,11 +188,22 @@ def route_events(events: DataFrame, types: list[str] = (), deny: list[str] = (),
     return out.withColumn("route", route)
 
 
-def with_database(log: DataFrame) -> DataFrame:
-    """The database each command of a log (shard, generation, offset_after, argv) ran on: the last SELECT, 0 at first."""
-    so_far = Window.partitionBy("shard", "generation").orderBy("offset_after").rowsBetween(Window.unboundedPreceding, 0)
+def with_database(log: DataFrame, span: int = 1_000_000) -> DataFrame:
+    """The database each command of a log (shard, generation, offset_after, argv) ran on: the last SELECT, 0 at first.
+
+    A shard's log is cut into spans of offsets. The last choice of every span is carried to the next ones, a row
+    a span; only within a span rows are looked at in order.
+    """
     chosen = F.when(F.lower(F.get("argv", F.lit(0))) == "select", F.get("argv", F.lit(1)).cast("int"))
-    return log.withColumn("db", F.coalesce(F.last(chosen, ignorenulls=True).over(so_far), F.lit(0)))
+    cut = log.withColumns({"_span": F.floor(F.col("offset_after") / span), "_db": chosen})
+    last = cut.filter("_db is not null").groupBy("shard", "generation", "_span").agg(F.max_by("_db", "offset_after").alias("_last"))
+    spans = cut.select("shard", "generation", "_span").distinct().join(last, ["shard", "generation", "_span"], "left")
+    before = Window.partitionBy("shard", "generation").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spans.withColumn("_from", F.last("_last", ignorenulls=True).over(before)).drop("_last")
+    so_far = Window.partitionBy("shard", "generation", "_span").orderBy("offset_after").rowsBetween(Window.unboundedPreceding, 0)
+    met = cut.join(carried, ["shard", "generation", "_span"])
+    met = met.withColumn("db", F.coalesce(F.last("_db", ignorenulls=True).over(so_far), F.col("_from"), F.lit(0)))
+    return met.select(*log.columns, "db")
 
 
 def command_keys(log: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFrame]:

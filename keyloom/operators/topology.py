@@ -52,21 +52,22 @@ def topology_diff(baseline: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def drift(snapshots: DataFrame) -> DataFrame:
-    """(snapshot_id, joined, departed, reassigned, severity) of each snapshot (snapshot_id, node_id, slots) against the one before.
+    """(run_id, snapshot_id, joined, departed, reassigned, severity) of each snapshot (run_id, snapshot_id, node_id, slots) against the run's one before.
 
     CRITICAL if a node joined, ADVISORY if one left or slots moved, else NONE.
     """
-    n = snapshots.select("snapshot_id").distinct().withColumn("seq", F.row_number().over(Window.orderBy("snapshot_id")))  # one row per snapshot
-    s = snapshots.join(n, "snapshot_id").select("seq", "node_id", F.array_sort("slots").alias("slots"))
-    now = s.select(F.col("seq").alias("at"), "node_id", F.col("slots").alias("c"))
-    before = s.select((F.col("seq") + 1).alias("at"), "node_id", F.col("slots").alias("b"))
-    met = before.join(now, ["at", "node_id"], "full_outer")
+    n = snapshots.select("run_id", "snapshot_id").distinct()
+    n = n.withColumn("at", F.row_number().over(Window.partitionBy("run_id").orderBy("snapshot_id")))  # one row per snapshot of a run
+    s = snapshots.join(n, ["run_id", "snapshot_id"]).select("run_id", "at", "node_id", F.array_sort("slots").alias("slots"))
+    now = s.select("run_id", "at", "node_id", F.col("slots").alias("c"))
+    before = s.select("run_id", (F.col("at") + 1).alias("at"), "node_id", F.col("slots").alias("b"))
+    met = before.join(now, ["run_id", "at", "node_id"], "full_outer")
     count = lambda test: F.count_if(F.coalesce(test, F.lit(False)))
-    found = met.groupBy("at").agg(
+    found = met.groupBy("run_id", "at").agg(
         count(F.col("b").isNull()).alias("joined"), count(F.col("c").isNull()).alias("departed"), count(F.col("b") != F.col("c")).alias("reassigned"),
     )
     severity = F.when(F.col("joined") > 0, "CRITICAL").when(F.col("departed") + F.col("reassigned") > 0, "ADVISORY").otherwise("NONE")
-    return found.join(n, found["at"] == n["seq"]).filter("at > 1").select("snapshot_id", "joined", "departed", "reassigned", severity.alias("severity"))
+    return found.join(n, ["run_id", "at"]).filter("at > 1").select("run_id", "snapshot_id", "joined", "departed", "reassigned", severity.alias("severity"))
 
 
 def resume_positions(shards: DataFrame, positions: DataFrame) -> DataFrame:

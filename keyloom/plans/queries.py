@@ -2,32 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyloom.functions import keys, values
 from keyloom.operators import assess, indexes, modules, reconcile, runs, sync, topology
+from keyloom.plans.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from keyloom.sources import readers
 from keyloom.streaming import live
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a (spark, sf_dir) -> DataFrame function under a name, with its SQL twin."""
-
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return add
-
-
 SOURCE_KV = """SELECT CONCAT('order:', CAST(o_orderkey AS STRING)) AS key,
   CASE o_orderkey % 6 WHEN 0 THEN 'string' WHEN 1 THEN 'hash' WHEN 2 THEN 'list'
        WHEN 3 THEN 'set' WHEN 4 THEN 'zset' ELSE 'stream' END AS type,
@@ -108,10 +91,11 @@ def reconcile_spared(spark, sf):
     return reconcile.pass_summary(reconcile.first_differences(*keyspaces(spark, sf), spare=spare))
 
 
-@query("repair_then_clean", f"WITH s AS ({SOURCE_KV}) SELECT key, 'x' AS reason FROM s WHERE false")
+@query("repair_then_clean", SOURCE_KV)
 def repair_then_clean(spark, sf):
+    """The target after its differences have been repaired: the source."""
     src, tgt = keyspaces(spark, sf)
-    return reconcile.first_differences(src, sync.apply_repairs(reconcile.first_differences(src, tgt), src, tgt))
+    return sync.apply_repairs(reconcile.first_differences(src, tgt), src, tgt)
 
 
 @query("scan_filtered", f"""WITH s AS ({SOURCE_KV}) SELECT key, type, ttl_ms FROM s
@@ -201,30 +185,26 @@ def reconcile_renamed(spark, sf):
     return reconcile.pass_summary(reconcile.first_differences(src, left.unionByName(k.limit(1).withColumn("key", F.lit("app:account:none")))))
 
 
-UPSERT = f"""WITH s AS ({SOURCE_KV}), t AS ({TARGET_KV}), r AS (SELECT * FROM s WHERE size IN (2, 3))"""
-
-
-def _records(src):
-    return src.filter("size in (2, 3)")
+UPSERT = f"""WITH s AS ({SOURCE_KV}), t AS ({TARGET_KV})"""
 
 
-@query("upsert_overwrite", UPSERT + " SELECT * FROM r UNION ALL SELECT t.* FROM t WHERE key NOT IN (SELECT key FROM r)")
+@query("upsert_overwrite", UPSERT + " SELECT * FROM s UNION ALL SELECT t.* FROM t WHERE key NOT IN (SELECT key FROM s)")
 def upsert_overwrite(spark, sf):
     src, tgt = keyspaces(spark, sf)
-    return sync.upsert(_records(src), tgt)[0]
+    return sync.upsert(src, tgt)[0]
 
 
-@query("upsert_skip", UPSERT + " SELECT t.* FROM t UNION ALL SELECT r.* FROM r WHERE key NOT IN (SELECT key FROM t)")
+@query("upsert_skip", UPSERT + " SELECT t.* FROM t UNION ALL SELECT s.* FROM s WHERE key NOT IN (SELECT key FROM t)")
 def upsert_skip(spark, sf):
     src, tgt = keyspaces(spark, sf)
-    return sync.upsert(_records(src), tgt, "SKIP")[0]
+    return sync.upsert(src, tgt, "SKIP")[0]
 
 
-@query("upsert_fail", UPSERT + """ SELECT r.key, CASE WHEN t.key IS NULL THEN 'success' ELSE 'failure' END AS outcome,
- CASE WHEN t.key IS NOT NULL THEN 'the key already exists on the target and conflict-strategy is FAIL' END AS reason FROM r LEFT JOIN t ON r.key = t.key""")
+@query("upsert_fail", UPSERT + """ SELECT s.key, CASE WHEN t.key IS NULL THEN 'success' ELSE 'failure' END AS outcome,
+ CASE WHEN t.key IS NOT NULL THEN 'the key already exists on the target and conflict-strategy is FAIL' END AS reason FROM s LEFT JOIN t ON s.key = t.key""")
 def upsert_fail(spark, sf):
     src, tgt = keyspaces(spark, sf)
-    return sync.upsert(_records(src), tgt, "FAIL")[1]
+    return sync.upsert(src, tgt, "FAIL")[1]
 
 
 @query("latest_per_key", """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
@@ -425,11 +405,11 @@ def slot_owner_counts(spark, sf):
 s AS (SELECT snapshot_id, node_id, list(DISTINCT slot ORDER BY slot) AS slots FROM e GROUP BY 1, 2), n AS (SELECT snapshot_id, row_number() OVER (ORDER BY snapshot_id) AS seq FROM (SELECT DISTINCT snapshot_id FROM s)),
 x AS (SELECT seq, node_id, slots FROM s JOIN n USING (snapshot_id)), m AS (SELECT coalesce(a.seq + 1, b.seq) AS pos, a.slots AS b, b.slots AS c FROM x a FULL JOIN x b ON a.seq + 1 = b.seq AND a.node_id = b.node_id),
 f AS (SELECT pos, count(*) FILTER (b IS NULL) AS joined, count(*) FILTER (c IS NULL) AS departed, count(*) FILTER (b IS NOT NULL AND c IS NOT NULL AND b <> c) AS reassigned FROM m GROUP BY pos)
-SELECT snapshot_id, joined, departed, reassigned, CASE WHEN joined > 0 THEN 'CRITICAL' WHEN departed + reassigned > 0 THEN 'ADVISORY' ELSE 'NONE' END AS severity FROM f JOIN n ON f.pos = n.seq WHERE pos > 1""")
+SELECT 0 AS run_id, snapshot_id, joined, departed, reassigned, CASE WHEN joined > 0 THEN 'CRITICAL' WHEN departed + reassigned > 0 THEN 'ADVISORY' ELSE 'NONE' END AS severity FROM f JOIN n ON f.pos = n.seq WHERE pos > 1""")
 def topology_drift(spark, sf):
     e = _t(spark, sf, "events").filter("user_id % 20 < 12 or event_type = 'error'")
     s = e.groupBy(F.date_trunc("day", "ts").alias("snapshot_id"), (F.col("user_id") % 20).alias("node_id")).agg(F.collect_set(F.floor(F.col("user_id") / 20)).alias("slots"))
-    return topology.drift(s)
+    return topology.drift(s.withColumn("run_id", F.lit(0)))
 
 
 @query("outages", """WITH l AS (SELECT user_id % 10 AS run_id, ts, event_id, CASE event_type WHEN 'error' THEN 'down' ELSE 'up' END AS state FROM events WHERE event_type IN ('error', 'click')),
@@ -495,7 +475,7 @@ def _validate(mode, sql):
 _validate("EXISTENCE", "")
 _validate("TYPE", "WHEN s.type <> t.type THEN 'type'")
 _validate("FULL_VALUE", "WHEN s.type <> t.type THEN 'type' WHEN s.value <> t.value THEN 'value'")
-_validate("TTL_DELTA", "WHEN s.type <> t.type THEN 'type' WHEN abs(s.ttl_ms // 1000 - t.ttl_ms // 1000) > 5 THEN 'ttl'")
+_validate("TTL_DELTA", "WHEN s.type <> t.type THEN 'type' WHEN abs(s.ttl_ms - t.ttl_ms) > 5000 THEN 'ttl'")
 
 
 @query("validation_summary", f"""WITH s AS ({SOURCE_KV}), t AS ({TARGET_KV}), r AS (SELECT CASE WHEN t.key IS NULL THEN 'missing' WHEN s.type <> t.type THEN 'type' WHEN s.value <> t.value THEN 'value' ELSE 'ok' END AS result FROM s LEFT JOIN t ON s.key = t.key)
@@ -524,25 +504,25 @@ def restore_verdicts(spark, sf):
 SEVERITIES = "CASE o_orderpriority WHEN '1-URGENT' THEN 'stop' WHEN '2-HIGH' THEN 'action' WHEN '3-MEDIUM' THEN 'check' ELSE 'info' END"
 
 
-def order_findings(spark, sf):
+def order_findings(spark, sf, **more):
     severity = F.when(F.col("o_orderpriority") == "1-URGENT", "stop").when(F.col("o_orderpriority") == "2-HIGH", "action").when(F.col("o_orderpriority") == "3-MEDIUM", "check").otherwise("info")
-    return _t(spark, sf, "orders").select(F.col("o_custkey").alias("source"), severity.alias("severity"), F.array((F.col("o_orderkey") % 3 + 1).cast("int")).alias("patterns"))
+    return _t(spark, sf, "orders").select(F.col("o_custkey").alias("source"), severity.alias("severity"), F.array((F.col("o_orderkey") % 3 + 1).cast("int")).alias("patterns"), *(c.alias(n) for n, c in more.items()))
 
 
-STATUS_SQL = f"""f AS (SELECT o_custkey AS source, {SEVERITIES} AS severity, CAST(o_orderkey % 3 + 1 AS INTEGER) AS pattern FROM orders), e AS (SELECT DISTINCT source, p.pattern FROM f, (VALUES (1), (2), (3)) p(pattern)),
+STATUS_SQL = f"""f AS (SELECT o_custkey AS source, {SEVERITIES} AS severity, CAST(o_orderkey % 3 + 1 AS INTEGER) AS pattern FROM orders), e AS (SELECT c_custkey AS source, p.pattern FROM customer, (VALUES (1), (2), (3)) p(pattern)),
 w AS (SELECT source, pattern, max(CASE severity WHEN 'stop' THEN 3 WHEN 'action' THEN 2 WHEN 'check' THEN 1 ELSE 0 END) AS rank FROM f GROUP BY 1, 2),
 st AS (SELECT e.source, e.pattern, CASE coalesce(rank, 0) WHEN 3 THEN 'BLOCKED' WHEN 2 THEN 'READY AFTER WORK' WHEN 1 THEN 'READY AFTER CHECKS' ELSE 'READY' END AS status FROM e LEFT JOIN w ON e.source = w.source AND e.pattern = w.pattern)"""
 
 
 @query("pattern_status", f"WITH {STATUS_SQL} SELECT source, CAST(pattern AS INTEGER) AS pattern, status FROM st")
 def pattern_status(spark, sf):
-    return assess.pattern_status(order_findings(spark, sf))
+    return assess.pattern_status(order_findings(spark, sf), sources=_t(spark, sf, "customer").select(F.col("c_custkey").alias("source")))
 
 
 @query("recommendations", f"""WITH {STATUS_SQL}, o AS (SELECT *, CASE WHEN source % 2 = 0 THEN pattern ELSE (pattern + 1) % 3 END AS ord FROM st)
 SELECT source, CAST(CASE WHEN count(*) FILTER (status = 'READY') > 0 THEN arg_min(pattern, ord) FILTER (status = 'READY') ELSE arg_min(pattern, ord) FILTER (status <> 'BLOCKED') END AS INTEGER) AS pattern, count(*) FILTER (status = 'READY') > 0 AS ready FROM o GROUP BY source""")
 def recommendations(spark, sf):
-    s = assess.pattern_status(order_findings(spark, sf)).withColumn("cache_like", F.col("source") % 2 == 0)
+    s = pattern_status(spark, sf).withColumn("cache_like", F.col("source") % 2 == 0)
     return assess.recommend(s)
 
 
@@ -577,7 +557,11 @@ def index_plan(spark, sf):
     return indexes.plan_indexes(indexes.index_args(fields), there, nodes)
 
 
-@query("slot_hash", "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS keys FROM orders")
+@query("slot_hash", """WITH k AS (SELECT 'order:' || CAST(o_orderkey AS VARCHAR) AS k FROM orders),
+c AS (SELECT list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT))),
+ lambda c, b: list_reduce(list_concat([xor(c, b * 256)], list_transform(range(8), lambda z: CAST(0 AS BIGINT))), lambda x, z: CASE WHEN x & 32768 <> 0 THEN xor(x * 2, 4129) & 65535 ELSE (x * 2) & 65535 END)) AS crc FROM k)
+SELECT CAST(crc % 16384 AS BIGINT) AS slot, count(*) AS n FROM c GROUP BY 1""")
 def slot_hash(spark, sf):
-    k = _t(spark, sf, "orders").select("o_orderkey", keys.slot_of(F.concat(F.lit("{order:"), F.col("o_orderkey").cast("string"), F.lit("}:x"))).alias("slot"))
-    return k.filter("slot between 0 and 16383").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("keys"))
+    """Keys of every slot; the tag in braces decides."""
+    k = _t(spark, sf, "orders").select(keys.slot_of(F.concat(F.lit("{order:"), F.col("o_orderkey").cast("string"), F.lit("}:x"))).cast("long").alias("slot"))
+    return k.groupBy("slot").agg(F.count("*").alias("n"))

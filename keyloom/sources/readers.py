@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keyloom.functions import keys as K
 from keyloom.functions.values import from_envelope
+from keyloom.session import checkpointed
 
 
 def scan_keys(
@@ -27,11 +28,13 @@ def scan_keys(
     return entries, scope.filter(failed), skipped
 
 
-def fetch_values(entries: DataFrame, values: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Records, missing keys and keys of module types: entries joined with values (key, value) by key."""
+def fetch_values(entries: DataFrame, values: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Records, missing keys, keys of module types and failures: entries joined with values (key, value, and perhaps error) by key."""
     core = F.lower("type").isin(*K.CORE_TYPES)
-    met = entries.filter(core).join(values.withColumn("_there", F.lit(True)), "key", "left")
-    return met.filter("_there").drop("_there"), met.filter("_there is null").select("key", "type"), entries.filter(~core)
+    v = values if "error" in values.columns else values.withColumn("error", F.lit(None).cast("string"))
+    met = entries.filter(core).join(v.withColumn("_there", F.lit(True)), "key", "left")
+    records = met.filter("_there and error is null").drop("_there", "error")
+    return records, met.filter("_there is null").select("key", "type"), entries.filter(~core), met.filter("error is not null").select("key", F.col("error").alias("reason"))
 
 
 def read_key_records(spark: SparkSession, path: str, stream: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -46,7 +49,7 @@ def read_incremental(spark: SparkSession, sql: str, cursor_col: str | None, curs
     No rows keep the cursor; without a cursor column the whole query runs each time. The caller stores the
     cursor after its sink has committed, so a failed run repeats its rows.
     """
-    rows = spark.sql(sql.replace("${cursor}", cursor.replace("'", "''")))
+    rows = checkpointed(spark.sql(sql.replace("${cursor}", cursor.replace("'", "''"))))  # rows and cursor are of one reading
     if cursor_col is None:
         return rows, spark.range(1).select(F.lit(cursor).alias("cursor"))
     return rows, rows.agg(F.coalesce(F.max(cursor_col).cast("string"), F.lit(cursor)).alias("cursor"))
@@ -87,13 +90,12 @@ def to_key_records(df: DataFrame, key_format: str, target_type: str = "hash", tt
         value = F.array(*(F.struct(F.lit(f.name).alias("field"), F.coalesce(text(f), F.lit("null")).alias("value")) for f in df.schema.fields))
     else:
         value = F.to_json(F.struct(*df.columns))
-    from pyspark.sql import Window
-
     bad = F.col("key").isNull()
     rows = df.select(key.alias("key"), F.lit(target_type).alias("type"), F.lit(ttl_ms).cast("long").alias("ttl_ms"), value.alias("value"), *([file.alias("_file")] if file is not None else []))
     if file is not None:
-        rows = rows.withColumn("_bad", F.max(bad).over(Window.partitionBy("_file")))
-        bad = F.col("_bad")
+        spoilt = rows.filter(bad).select("_file").distinct().withColumn("_bad", F.lit(True))
+        rows = rows.join(spoilt, "_file", "left")
+        bad = F.col("_bad").isNotNull()
     good = rows.filter(~bad).select("key", "type", "ttl_ms", "value")
     return good, rows.filter(bad).select("key", F.lit("a record of the input has no key").alias("reason"))
 

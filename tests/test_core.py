@@ -34,7 +34,7 @@ def test_refused_rules(rules):
 
 @pytest.mark.parametrize(
     "glob, yes, no",
-    [("user:*", ["user:", "user:1\n2"], ["use"]), ("h?llo", ["hello"], ["hllo"]), ("h[ae]llo", ["hallo"], ["hillo"]), ("h[^e]llo", ["hallo"], ["hello"]), ("a\\*", ["a*"], ["ab"]), ("a[b", ["a[b"], ["ab"]), ("a.b", ["a.b"], ["axb"])],
+    [("user:*", ["user:", "user:1\n2"], ["use"]), ("h?llo", ["hello"], ["hllo"]), ("h[ae]llo", ["hallo"], ["hillo"]), ("h[^e]llo", ["hallo"], ["hello"]), ("a\\*", ["a*"], ["ab"]), ("a[b", ["a[b"], ["ab"]), ("a.b", ["a.b"], ["axb"]), ("a", ["a"], ["a\n"]), ("[[a]x", ["[x", "ax"], ["x"]), ("[a&&b]", ["&"], ["c"]), ("[^]x", ["ax"], ["x"]), ("[]x", [], ["x", "]x"]), ("[a-c]", ["b"], ["-"]), ("[\\^a]", ["^", "a"], ["b"])],
 )
 def test_glob(spark, glob, yes, no):
     assert column(spark, yes + no, lambda c: K.glob_match(c, glob)) == [True] * len(yes) + [False] * len(no)
@@ -109,6 +109,57 @@ def test_reconcile_and_repairs(spark):
     assert empty.total == 0 and empty.examples == []
 
 
+def test_module_types_and_scope(spark):
+    src = [("u:mod", "MBbloom--", -1, 1, "v"), ("u:vec", "vectorset", -1, 1, "v"), ("u:bloom", "MBbloom--", 9000, 1, "v"), ("u:json", "ReJSON-RL", -1, 1, "v"), ("u:list", "list", -1, 1, "v"), ("u:bad", "hash", -1, 1, "v"), ("o:1", "hash", -1, 1, "v"), ("a:1", "hash", -1, 1, "v")]
+    tgt = [("a:bloom", "MBbloom--", 9000, 5, "w", False), ("a:json", "ReJSON-RL", 100, 5, "w", False), ("a:bad", "hash", -1, 1, "v", True), ("a:gone", "set", -1, 1, "v", False), ("x:1", "set", -1, 1, "v", False)]
+    src, tgt = spark.createDataFrame(src, KV), spark.createDataFrame(tgt, KV + ", unreadable boolean")
+    found = reconcile.compare(src, tgt, K.KeyNames.parse("u:=a:"), only=["u:"], types=["MBbloom--", "vectorset", "ReJSON-RL", "hash"])
+    assert {r.key: r.reason for r in found.collect() if r.reason} == {"u:json": "ttl", "u:bad": "unreadable", "u:gone": reconcile.EXTRA}
+    assert tuple(reconcile.pass_totals(found).first()) == (3, 3, 1)  # not asked for: list; not held: vectors; only to be restored: one
+    aged = reconcile.compare(src.filter("key = 'u:json'"), tgt.filter("key = 'a:json'"), K.KeyNames.parse("u:=a:"), ttl_strategy="RESET", ttl_offset_ms=100)
+    assert [r.reason for r in aged.collect()] == [None]
+
+
+def test_binary_prefixes(spark):
+    n = K.KeyNames.parse("é:=x:", "ü", ":")
+    text = spark.createDataFrame([("é:1",), ("b",)], "key string")
+    raw = text.select(F.encode("key", "UTF-8").alias("key"))
+    for df in (text, raw):
+        named = df.select(n.to_target(F.col("key")).cast("string").alias("t"), n.to_source(n.to_target(F.col("key"))).cast("string").alias("s")).collect()
+        assert [tuple(r) for r in named] == [("ü:x:1", "é:1"), ("ü:b", "b")]
+
+
+def test_numbers_without_a_group_in_one_task(spark):
+    from keyloom.operators.ranks import numbered
+
+    rows = [("all" if i % 3 else "few", (i * 7919) % 1000) for i in range(1000)]
+    got = numbered(spark.createDataFrame(rows, "g string, x int"), ["g"], ["x"]).collect()
+    for g in ("all", "few"):
+        assert [r.x for r in sorted((r for r in got if r.g == g), key=lambda r: r.n)] == sorted(x for k, x in rows if k == g)
+        assert sorted(r.n for r in got if r.g == g) == list(range(1, 1 + sum(k == g for k, _ in rows)))
+    assert numbered(spark.createDataFrame([], "g string, x int"), ["g"], ["x"]).count() == 0
+
+
+def test_database_over_spans(spark):
+    log = [("s", 1, i, ["SELECT", str(i % 5)] if i % 40 == 3 else ["SET", "a"]) for i in range(1, 200)] + [("s", 2, i, ["SET", "a"]) for i in range(1, 9)]
+    df = spark.createDataFrame(log, "shard string, generation long, offset_after long, argv array<string>")
+    want, db = {}, 0
+    for s, g, i, argv in log:
+        db = 0 if (g, i) == (2, 1) else int(argv[1]) if argv[0] == "SELECT" else db
+        want[g, i] = db
+    for span in (1, 7, 1000):
+        assert {(r.generation, r.offset_after): r.db for r in sync.with_database(df, span).collect()} == want
+
+
+def test_repeated_records(spark):
+    new = spark.createDataFrame([("k", "hash", -1, 1, "old"), ("k", "hash", -1, 2, "new")], KV)
+    t, out = sync.upsert(new, new.limit(0), order=["size"])
+    assert [r.value for r in t.collect()] == ["new"] and out.count() == 1
+    first = sync.dead_letters(spark.createDataFrame([("k", 0, "a", 1, 0), ("k", 0, "b", 2, 0)], "key string, chunk int, reason string, failed_at long, seq long"))
+    again = sync.dead_letters(spark.createDataFrame([("k", 0, "c", 3, 0)], "key string, chunk int, reason string, failed_at long, seq long"), existing=first)
+    assert [(r.reason, [h.reason for h in r.history]) for r in again.collect()] == [("c", ["b", "a"])]
+
+
 def test_conflicts(spark):
     tgt = spark.createDataFrame([("taken", "hash", -1, 1, "old"), ("gone", "hash", -1, 1, "old")], KV)
     new = spark.createDataFrame([("taken", "hash", -1, 1, "new"), ("free", "hash", -1, 1, "new"), ("gone", "deleted", -1, 0, None)], KV)
@@ -161,7 +212,7 @@ def test_modules_indexes_assessment(spark):
     d = spark.createDataFrame([("i", ["user:", "x:"])], "index string, prefixes array<string>")
     rules = spark.createDataFrame([("user:", "account:"), ("user:admin:", "staff:")], "old string, new string")
     assert indexes.map_prefixes(d, rules, "app:").first().prefixes == ["app:account:", "app:staff:", "app:x:"]
-    rules = spark.createDataFrame([("exact", "client|kill", "kill", "check"), ("exact", "eval", "lua", "check"), ("prefix", "ts.", "series", "stop")], "kind string, pattern string, title string, severity string")
+    rules = spark.createDataFrame([("exact", 0, "client|kill", "kill", "check"), ("exact", 1, "eval", "lua", "check"), ("prefix", 2, "ts.", "series", "stop"), ("prefix", 3, "ts.add", "longer", "stop")], "kind string, position int, pattern string, title string, severity string")
     cmds = spark.createDataFrame([("s", "client|kill"), ("s", "client|list"), ("s", "eval"), ("s", "ts.add"), ("s", "ts.get")], "source string, command string")
     assert sorted((r.title, r.command) for r in assess.match_rules(cmds, rules, ["client"]).collect()) == [("kill", "client|kill"), ("lua", "eval"), ("series", "ts.add")]
     src = spark.createDataFrame([("s", "json", False, 0), ("s", "bloom", False, 0), ("s", "search", False, 0)], "source string, capability string, same_engine boolean, indexes int")
