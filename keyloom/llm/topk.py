@@ -1,13 +1,13 @@
 """Exact top-k inner products by a score-at-a-time index ordered by impact.
 
-Components are quantised to integers. The index is a table of blocks of vectors; in a block every dimension
-has its posting lists ordered by impact, cut into segments. A posting's impact is the distance of its
-value from the middle one of its dimension, so a dimension has a list of larger and one of smaller values.
-Segments of all lists are processed by descending quantised impact (times the query's component, in levels
-that fall by a fixed ratio); what is unseen of a list adds or takes at most its next impact,
-so after every level a vector has bounds of its score. Bounds travel: each query first meets a few probe
-blocks, and the k-th best score there is what it takes to all blocks. A query leaves a block only with a
-proof that no other vectors than those it scores exactly can be among its k best.
+Components are quantised to integers. The index is a table of blocks of vectors. A posting's impact is the
+distance of its value from the middle one of its dimension, quantised to its power of two; a block keeps
+its postings in segments by descending quantised impact, and within one by dimension. For a group of
+queries segments are processed in that order. What is unseen of a dimension adds or takes at most its
+largest impact in the segments left, so after every segment a vector has bounds of its score, and queries
+are dropped one by one as their bounds decide. Bounds travel: each query first meets a few probe blocks,
+and the k-th best score there is what it takes to all blocks. A query leaves a block only with a proof that
+no other vectors than those it scores exactly can be among its k best.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import written
+from keyloom.llm.common import by_group, written
 
-INDEX = "block long, n int, dims int, ids binary, asked binary, data binary, postings binary"
+INDEX = "block long, n int, dims int, ids binary, asked binary, data binary, counts binary, positions binary, impacts binary"
+DEPTH = 20  # segments of a block; the last one has all that is left
 
 
 def usable(vectors: DataFrame, asked: Column) -> DataFrame:
@@ -32,9 +33,21 @@ def usable(vectors: DataFrame, asked: Column) -> DataFrame:
     return rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & fine)
 
 
+def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Postings of a block (n x dims) by descending quantised impact: counts (segments x dims), positions, and signed impacts."""
+    off = data - np.partition(data, len(data) // 2, axis=0)[len(data) // 2]
+    power = np.frexp(np.abs(off).astype(float))[1]
+    level = np.minimum(power.max(initial=0) - power, DEPTH - 1)
+    counts, positions, impacts = [], [], []
+    for n in range(DEPTH):
+        dim, at = np.nonzero(((level == n) & (off != 0)).T)
+        counts.append(np.bincount(dim, minlength=data.shape[1])), positions.append(at), impacts.append(off[at, dim])
+    return np.array(counts, np.int32), np.concatenate(positions).astype(np.uint16), np.concatenate(impacts).astype(np.int64)
+
+
 def index(vectors: DataFrame, scale: float, per_block: int) -> DataFrame:
     """A row per block of at most ``per_block`` vectors (vec_id, embedding, asked) of a task: ids, data (n x dims int64) and
-    postings (dims x n uint16: positions by ascending value). Shorter vectors are filled up with zeros."""
+    ``segments``. Shorter vectors are filled up with zeros."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -47,11 +60,12 @@ def index(vectors: DataFrame, scale: float, per_block: int) -> DataFrame:
             data = np.zeros((len(g), dims), np.int64)
             for i, v in enumerate(g["embedding"]):
                 data[i, : len(v)] = np.floor(np.asarray(v, float) * scale)
-            postings = np.argsort(data.T, axis=1, kind="stable").astype(np.uint16)
+            counts, positions, impacts = segments(data)
             number += 1
             return pd.DataFrame({
                 "block": [number], "n": [len(g)], "dims": [dims], "ids": [g["vec_id"].to_numpy(np.int64).tobytes()],
-                "asked": [g["asked"].to_numpy(bool).tobytes()], "data": [data.tobytes()], "postings": [postings.tobytes()],
+                "asked": [g["asked"].to_numpy(bool).tobytes()], "data": [data.tobytes()],
+                "counts": [counts.tobytes()], "positions": [positions.tobytes()], "impacts": [impacts.tobytes()],
             })
 
         for b in batches:
@@ -66,100 +80,108 @@ def index(vectors: DataFrame, scale: float, per_block: int) -> DataFrame:
 
 
 class Block:
-    """The vectors of a block and its posting lists, two a dimension: from the largest value down to the middle one, and
-    from the smallest up to it. Each is cut into ``cuts`` segments of about equal size."""
-
-    def __init__(self, ids: np.ndarray, data: np.ndarray, postings: np.ndarray, cuts: int = 24):
-        self.ids, self.data, self.postings = ids, data, postings
-        n, dims = data.shape
-        every = np.arange(dims)[:, None]
-        middle = n // 2
-        self.centre = data[postings[:, middle], every[:, 0]]
-        self.cut = [np.unique(np.linspace(0, size, min(cuts, size) + 1).astype(int)) for size in (n - middle, middle)]
-        end = np.zeros((dims, 1))
-        off = lambda at: np.abs(data[postings[:, at], every] - self.centre[:, None]).astype(float)
-        #: Impacts: the largest distance from the middle in every segment, in order of reading, and 0 after the last.
-        self.impact = [np.concatenate([off(at), end], axis=1) for at in (n - 1 - self.cut[0][:-1], self.cut[1][:-1])]
-        self.read = 0  # postings so far
-
-    def possible_members(self, q: np.ndarray, k: int, least: float, ratio: float = 0.6, rounds: int = 14) -> np.ndarray:
-        """Positions of all vectors that can be among the k best of the block and score ``least`` or more."""
-        n, dims = self.data.shape
-        weight, every = np.abs(q).astype(float), np.arange(dims)
-        ends = [x * weight[:, None] for x in self.impact]
-        adds = q > 0  # where the first list raises a score, the second one lowers it
-
-        def unseen(at: list[np.ndarray]) -> tuple[float, float]:
-            """What unread postings can add to a score and take from it."""
-            first, second = (e[every, x] for e, x in zip(ends, at, strict=True))
-            return np.where(adds, first, second).sum(), np.where(adds, second, first).sum()
-
-        base, at = float(self.centre @ q.astype(float)), [np.zeros(dims, int), np.zeros(dims, int)]
-        slack = 1e-9 * (np.abs(self.centre) @ weight + sum(e[:, 0].sum() for e in ends) + 1)  # more than sums of doubles can be off
-        more, less = unseen(at)
-        if base + more < least - slack:
-            return np.empty(0, int)
-        seen = np.full(n, base)
-        for quantum in max(e[:, 0].max() for e in ends) * np.r_[ratio ** np.arange(1, rounds), 0]:
-            for side in (0, 1):
-                upto = (ends[side][:, :-1] >= quantum).sum(axis=1)  # segments whose impact is at this level or above
-                for d in np.flatnonzero(upto > at[side]):
-                    lo, hi = self.cut[side][at[side][d]], self.cut[side][upto[d]]
-                    own = self.postings[d, lo:hi] if side else self.postings[d, n - hi : n - lo]
-                    seen[own] += float(q[d]) * (self.data[own, d] - self.centre[d])
-                    self.read += hi - lo
-                at[side] = np.maximum(at[side], upto)
-            more, less = unseen(at)
-            floor = max(least, np.partition(seen, n - k)[n - k] - less) if k <= n else least
-            alive = seen + more >= floor - slack
-            if alive.sum() <= 4 * k:
+    """The vectors of a block and its segments, each as the vectors that it has postings of and their impacts (dims x vectors)."""
+
+    def __init__(self, ids: np.ndarray, data: np.ndarray, counts: np.ndarray, positions: np.ndarray, impacts: np.ndarray):
+        self.ids, self.data = ids, data
+        dims, self.read = data.shape[1], 0  # postings so far
+        self.centre = np.partition(data, len(data) // 2, axis=0)[len(data) // 2].astype(float)
+        self.segments, lo = [], 0
+        for n in counts:
+            hi = lo + int(n.sum())
+            at, place = np.unique(positions[lo:hi], return_inverse=True)
+            impact = np.zeros((dims, len(at)))
+            impact[np.repeat(np.arange(dims), n), place] = impacts[lo:hi]
+            self.segments.append((at, impact, hi - lo))
+            lo = hi
+        #: The most that postings from a segment on can be above and below the middle, by dimension; 0 after the last.
+        most = lambda f: np.maximum.accumulate(np.array([np.zeros(dims), *(f(m).max(axis=1, initial=0) for _, m, _ in self.segments[::-1])]))[::-1]
+        self.above, self.below = most(lambda m: m), most(lambda m: -m)
+
+    def possible_members(self, q: np.ndarray, k: int, least: np.ndarray) -> list[np.ndarray]:
+        """For each query (row of q) positions of all vectors that can be among the k best of the block and score ``least`` or more."""
+        n, out, left = len(self.data), [np.empty(0, int)] * len(q), np.arange(len(q))
+        up, down = np.maximum(q, 0), np.maximum(-q, 0)
+        slack = 1e-9 * (np.abs(q) @ (np.abs(self.centre) + self.above[0] + self.below[0]) + 1)  # more than sums of doubles can be off
+        seen = np.repeat((q @ self.centre)[:, None], n, axis=1)
+        for at in [n for n, (_, _, size) in enumerate(self.segments) if size] + [len(self.segments)]:
+            more, less = up[left] @ self.above[at] + down[left] @ self.below[at], up[left] @ self.below[at] + down[left] @ self.above[at]
+            floor = np.maximum(least[left], np.partition(seen, n - k, axis=1)[:, n - k] - less) if k <= n else least[left]
+            alive = seen + more[:, None] >= (floor - slack[left])[:, None]
+            found = alive.sum(axis=1)
+            done = (found <= 4 * k) | (at == len(self.segments))
+            for i in np.flatnonzero(done):
+                out[left[i]] = np.flatnonzero(alive[i])
+            left, seen = left[~done], seen[~done]
+            if not len(left):
                 break
-        return np.flatnonzero(alive)
-
-    def best(self, q: np.ndarray, k: int, least: float, own: int = -1) -> list[tuple[int, int]]:
-        """(score, id) of the k best that score ``least`` or more, ties to the smaller id; position ``own`` is left out."""
+            vectors, impact, size = self.segments[at]
+            if len(vectors) == n:
+                seen += q[left] @ impact
+            else:
+                seen[:, vectors] += q[left] @ impact
+            self.read += size * len(left)
+        return out
+
+    def best(self, q: np.ndarray, k: int, least: np.ndarray, own: np.ndarray) -> list[list[tuple[int, int]]]:
+        """For each query (score, id) of the k best that score ``least`` or more, ties to the smaller id; position ``own`` (or -1) is left out."""
         dims = self.data.shape[1]
-        q = np.r_[q[:dims], np.zeros(max(0, dims - len(q)), np.int64)]
-        m = self.possible_members(q, k + (own >= 0), least)
-        m = m[m != own]
-        score = self.data[m] @ q
-        keep = np.lexsort((self.ids[m], -score))[:k]
-        return [(int(score[i]), int(self.ids[m[i]])) for i in keep if score[i] >= least]
+        q = np.pad(q[:, :dims], ((0, 0), (0, max(0, dims - q.shape[1]))))
+        out = []
+        for x, m, at, low in zip(q, self.possible_members(q.astype(float), k + 1, least), own, least, strict=True):
+            m = m[m != at]
+            score = self.data[m] @ x
+            keep = np.lexsort((self.ids[m], -score))[:k]
+            out.append([(int(score[i]), int(self.ids[m[i]])) for i in keep if score[i] >= low])
+        return out
 
 
-def matches(segments: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def matches(blocks: DataFrame, queries: DataFrame, k: int, together: int) -> DataFrame:
     """q_block, q_at, query_id, score, vec_id: of every bucket's blocks the k best for each of its queries that score ``least`` or more.
 
-    segments: rows of the index and ``bucket``. queries: bucket, q_block, q_at, query_id, q, least. A bucket's
-    blocks come first and its queries pass them one by one; the k-th best so far is the next block's bound.
+    blocks: rows of the index and ``bucket``. queries: bucket, q_block, q_at, query_id, q, least. A bucket's
+    blocks come first and ``together`` queries at a time pass them; the k-th best so far is the next block's bound.
     """
-    kinds = segments.drop("asked").withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    kinds = blocks.drop("asked").withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)), allowMissingColumns=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket, blocks = None, {}
-        for b in batches:
-            out = []
-            for r in b.itertuples(index=False):
-                if r.bucket != bucket:
-                    bucket, blocks = r.bucket, {}
-                if r.kind == 0:
+        held: dict[str, Block] = {}
+
+        def answer(asked: list) -> pd.DataFrame:
+            widest = max(len(r.q) for r in asked) // 8
+            q = np.zeros((len(asked), widest), np.int64)
+            for i, r in enumerate(asked):
+                q[i, : len(r.q) // 8] = np.frombuffer(r.q, np.int64)
+            least = np.array([-np.inf if r.open else float(r.least) for r in asked])
+            found: list[list[tuple[int, int]]] = [[] for _ in asked]
+            for name, block in held.items():
+                own = np.array([int(r.q_at) if r.q_block == name else -1 for r in asked])
+                for i, more in enumerate(block.best(q, k, least, own)):
+                    found[i] = sorted(found[i] + more, key=lambda x: (-x[0], x[1]))[:k]
+                    if len(found[i]) == k:
+                        least[i] = max(least[i], found[i][-1][0])
+            rows = [(r.q_block, r.q_at, r.query_id, score, vec_id) for r, got in zip(asked, found, strict=True) for score, vec_id in got]
+            return pd.DataFrame(rows, columns=["q_block", "q_at", "query_id", "score", "vec_id"]).astype({"score": "int64", "vec_id": "int64"})
+
+        for g in by_group(batches, ["bucket", "kind"]):
+            if g["kind"].iloc[0] == 0:
+                held = {}
+                for r in g.itertuples(index=False):
                     n, dims = int(r.n), int(r.dims)
-                    data, postings = np.frombuffer(r.data, np.int64).reshape(n, dims), np.frombuffer(r.postings, np.uint16).reshape(dims, n)
-                    blocks[int(r.name)] = Block(np.frombuffer(r.ids, np.int64), data, postings)
-                    continue
-                least, found, q = -np.inf if r.open else float(r.least), [], np.frombuffer(r.q, np.int64)
-                for name, block in blocks.items():
-                    own = int(r.q_at) if r.q_block == str(name) else -1
-                    found = sorted(found + block.best(q, k, least, own), key=lambda x: (-x[0], x[1]))[:k]
-                    if len(found) == k:
-                        least = max(least, found[-1][0])
-                out += [(r.q_block, r.q_at, r.query_id, score, vec_id) for score, vec_id in found]
-            if out:
-                yield pd.DataFrame(out, columns=["q_block", "q_at", "query_id", "score", "vec_id"])
+                    held[r.name] = Block(
+                        np.frombuffer(r.ids, np.int64), np.frombuffer(r.data, np.int64).reshape(n, dims), np.frombuffer(r.counts, np.int32).reshape(DEPTH, dims),
+                        np.frombuffer(r.positions, np.uint16), np.frombuffer(r.impacts, np.int64),
+                    )
+                bucket = g["bucket"].iloc[0]
+            elif held and g["bucket"].iloc[0] == bucket:
+                rows = list(g.itertuples(index=False))
+                for lo in range(0, len(rows), together):
+                    yield answer(rows[lo : lo + together])
 
     # pandas makes doubles of longs with nulls: such columns travel as strings
-    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("q_block", "q_at", "query_id", "least", "n", "dims")}
-    dealt = kinds.select("bucket", "kind", F.coalesce("block", F.lit(0)).alias("name"), "ids", "data", "postings", "q", F.col("least").isNull().alias("open"), *(v.alias(c) for c, v in text.items()))
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("0")).alias(c) for c in ("q_block", "q_at", "query_id", "least", "n", "dims")]
+    name = F.coalesce(F.col("block").cast("string"), F.lit("")).alias("name")
+    dealt = kinds.select("bucket", "kind", name, "ids", "data", "counts", "positions", "impacts", "q", F.col("least").isNull().alias("open"), *text)
     found = dealt.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInPandas(run, "q_block string, q_at string, query_id string, score long, vec_id long")
     return found.select(F.col("q_block").cast("long"), F.col("q_at").cast("int"), F.col("query_id").cast("long"), "score", "vec_id")
 
@@ -195,10 +217,10 @@ def top_k(vectors: DataFrame, asked: Column, k: int = 5, scale: float = 256.0, p
 
     probe = blocks.join(F.broadcast(blocks.orderBy(F.desc("n"), "block").select("block").limit(probes)), "block", "left_semi")  # ``probes`` numbers
     chunk = F.pmod(F.xxhash64("q_block", "q_at"), F.lit(chunks)).cast("int")
-    first = matches(probe.withColumn("bucket", every(chunks)), queries.withColumns({"bucket": chunk, "least": F.lit(None).cast("long")}), k)
+    first = matches(probe.withColumn("bucket", every(chunks)), queries.withColumns({"bucket": chunk, "least": F.lit(None).cast("long")}), k, together)
     bound = first.groupBy("q_block", "q_at").agg(F.when(F.count("*") == k, F.min("score")).alias("least"))
 
     bounded = queries.join(bound, ["q_block", "q_at"], "left").withColumn("bucket", every(n_blocks))
-    found = matches(blocks.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(n_blocks)).cast("int")), bounded, k)
+    found = matches(blocks.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(n_blocks)).cast("int")), bounded, k, together)
     best = Window.partitionBy("q_block", "q_at").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
