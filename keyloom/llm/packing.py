@@ -1,27 +1,22 @@
 """Best-fit packing of token sequences into fixed-length training sequences.
 
-Bulk-synchronous best-fit over size classes. Lengths are integers up to ``capacity``, so documents and
-gaps, range-sorted by size, fall into at most ``capacity`` classes whatever the number of rows. Each
-superstep takes the largest class of documents left, sweeps to the successor class of gaps (the
-smallest that takes it), matches rank with rank until the documents or those gaps run out, updates the
-gaps and repeats. A superstep touches classes and rank intervals, never rows; Spark then gives every
-piece its rank within its length (counts per input partition, summed by a window, and the row number
-inside the partition) and each piece finds its interval. The outcome equals best-fit decreasing.
+Bulk-synchronous best-fit. Pieces are taken in bands of lengths, longest first. Each superstep sorts a
+band's pieces and the gaps by size, gives every piece its successor (the smallest gap that takes it and
+that no longer piece has), resolves conflicts by rank, updates the gaps, writes the state to a table, and
+is repeated until the band is placed. All of it runs as shuffles and windows over rows; no group grows
+with the input beyond rows / 1,024 of one size.
 """
 
 from __future__ import annotations
 
 import functools
-import heapq
 import re
 import zlib
 from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,84 +91,104 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
     return docs.select(*exact(), "text").mapInPandas(run, PIECES)
 
 
-def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[pd.DataFrame, int]:
-    """Rank intervals of each length and where they go, and the number of sequences.
+SALTS = 1024  # a size is ranked in so many groups
+STATE = "kind, id, size, by, slot, taken"
 
-    Interval rows (length, lo, sequence, per, offset): the piece of that length with rank r goes to
-    sequence + (r - lo) // per, at offset + (r - lo) % per * length. The number of rows depends on
-    ``capacity`` alone. Runs of sequences with the same gap are kept as (first sequence, count).
+
+def bands(capacity: int) -> list[tuple[int, int]]:
+    """Length intervals (above, up to), longest first: 1 to 4 pieces to a sequence, then 6, and halves from 8 on. Fixed by ``capacity``."""
+    parts = [1, 2, 3, 4, 6, *(2**k for k in range(3, capacity.bit_length()))]
+    tops = sorted({capacity // p for p in parts if p <= capacity} | {1}, reverse=True)
+    return list(zip([*tops[1:], 0], tops, strict=True))
+
+
+def sweep(left: DataFrame, gaps: DataFrame, top: int, least: int) -> DataFrame:
+    """One superstep over pieces (row_id, length from ``least`` to ``top``) and gaps (sequence_id, gap), as rows of ``STATE``.
+
+    Kind 1, pieces: ``by`` is the sequence or null where all gaps that take the piece are taken, ``slot`` its
+    place there. Kind 0, slots of gaps: ``taken`` is the length that went in. A gap of ``top`` or more has as
+    many slots as take any piece; one below ``least`` only passes through.
+
+    Pieces and slots are put in one order, largest first, slots before pieces of their size; each piece takes the
+    last slot before it that no piece in between has taken. That is bracket matching, so it needs no walk:
+    a running sum held at zero or above over sizes and salts (two kinds, ``SALTS`` salts and at most ``capacity``
+    sizes, whatever the rows) is the height of the stack, ranks within them give each row its level, and on
+    a level each piece follows its slot. Where pieces want the same gaps, the longer, then the lower rank has them.
     """
-    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap -> runs of sequences
-    opened = 0
-    rows: list[tuple[int, int, int, int, int]] = []
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        fitting = [g for g in gaps if g >= length and gaps[g]]
-        heapq.heapify(fitting)  # successor sweep: smallest gap that takes this length first
-        while left:
-            while fitting and not gaps[fitting[0]]:
-                heapq.heappop(fitting)
-            if fitting:
-                gap = fitting[0]
-                first, n = gaps[gap].pop()
-            else:
-                gap, first = capacity, opened
-                n = -(-left // (capacity // length))
-                opened += n
-            per = gap // length
-            full = min(n, left // per)
-            if full:
-                rows.append((length, rank, first, per, capacity - gap))
-                rank, left = rank + full * per, left - full * per
-                gaps[gap - per * length].append((first, full))
-            if full < n:
-                if left:
-                    rows.append((length, rank, first + full, left, capacity - gap))
-                    gaps[gap - left * length].append((first + full, 1))
-                    rank, left, full = rank + left, 0, full + 1
-                if full < n:
-                    gaps[gap].append((first + full, n - full))
-    return pd.DataFrame(rows, columns=["length", "lo", "sequence", "per", "offset"]), opened
+    slots = gaps.filter(F.col("gap") >= least).select(
+        F.lit(0).alias("kind"), F.col("sequence_id").alias("id"), F.col("gap").alias("size"),
+        F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.col("gap") / top).cast("int")))).alias("slot"),
+    )
+    wants = left.select(F.lit(1).alias("kind"), F.col("row_id").alias("id"), F.col("length").alias("size"), F.lit(0).alias("slot"))
+    keys = ["size", "kind", "salt"]
+    rows = slots.unionByName(wants).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("id", "slot")))
+
+    order = Window.orderBy(F.desc("size"), "kind", "salt")
+    runs = ranked.groupBy(*keys).agg(F.max("rank").alias("n")).withColumn("n", F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n")))
+    heights = runs.withColumn("sum", F.sum("n").over(order)).withColumn("after", F.col("sum") - F.least(F.lit(0), F.min("sum").over(order)))
+    heights = heights.select(*keys, F.lag("after", 1, 0).over(order).alias("height"))
+
+    level = F.col("height") + F.when(F.col("kind") == 0, F.col("rank") - 1).otherwise(-F.col("rank"))
+    on_level = Window.partitionBy("level").orderBy(F.desc("size"), "kind", "salt")  # a row of each run at most
+    won, lost = F.lag("kind").over(on_level) == 0, F.lead("kind").over(on_level) == 1
+    piece = F.col("kind") == 1
+    met = ranked.join(heights, keys).withColumn("level", level).select(
+        "kind", "id", "size",
+        F.when(piece & won, F.lag("id").over(on_level)).alias("by"),
+        F.when(piece & won, F.lag("slot").over(on_level)).otherwise(F.col("slot")).alias("slot"),
+        F.when(~piece & lost, F.lead("size").over(on_level)).otherwise(F.lit(0)).cast("long").alias("taken"),
+    )
+    small = gaps.filter(F.col("gap") < least)
+    small = small.select(F.lit(0).alias("kind"), F.col("sequence_id").alias("id"), F.col("gap").alias("size"), F.lit(None).cast("long").alias("by"), F.lit(1).alias("slot"), F.lit(0).cast("long").alias("taken"))
+    return met.unionByName(small)
+
+
+def place(pieces: DataFrame, capacity: int) -> tuple[DataFrame | None, int, int]:
+    """Supersteps over all pieces: row_id, sequence_id, _step, _slot of each, the number of sequences and of supersteps.
+
+    Bands of lengths are packed from the longest down, so that short pieces fill what long ones leave. When no
+    gap takes what is left of a band, as few empty sequences are opened as could hold it. Gaps smaller than
+    the shortest piece are dropped. Every superstep writes its state to a table; the driver sees counts.
+    """
+    spark = pieces.sparkSession
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= capacity rows
+    shortest = min(counts, default=0)
+    gaps, done, opened, steps, widest = None, [], 0, 0, 0
+    for above, top in bands(capacity):
+        n = sum(c for length, c in counts.items() if above < length <= top)
+        least = min((length for length in counts if above < length <= top), default=0)
+        left = pieces.filter(F.col("length").between(above + 1, top)).select("row_id", "length")
+        while n:
+            if widest < least:
+                more = -(-n // (capacity // least))
+                empty = spark.range(opened, opened + more).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"))
+                gaps = empty if gaps is None else gaps.unionByName(empty)
+                opened += more
+            steps += 1
+            state = written(sweep(left, gaps, top, least))
+            gaps = state.filter("kind = 0").groupBy(F.col("id").alias("sequence_id")).agg((F.max("size") - F.sum("taken")).alias("gap"))
+            gaps = gaps.filter(F.col("gap") >= shortest)
+            done.append(state.filter("kind = 1 AND by IS NOT NULL").select(F.col("id").alias("row_id"), F.col("by").alias("sequence_id"), F.lit(steps).alias("_step"), F.col("slot").alias("_slot")))
+            left = state.filter("kind = 1 AND by IS NULL").select(F.col("id").alias("row_id"), F.col("size").alias("length"))
+            told = left.select(F.lit(1).alias("n"), F.col("length").alias("least"), F.lit(0).alias("widest"))
+            told = told.unionByName(gaps.select(F.lit(0).alias("n"), F.lit(None).cast("long").alias("least"), F.col("gap").alias("widest")))
+            n, least, widest = (v or 0 for v in told.agg(F.sum("n"), F.min("least"), F.max("widest")).first())
+    return (functools.reduce(DataFrame.unionByName, done) if done else None), opened, steps
 
 
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """Add sequence_id and offset to pieces (row_id unique, length from 1 to capacity).
 
     Equal lengths are told apart by rank alone, so ties and repeated rows need no order. An empty input
-    gives an empty result. ``pieces`` should be materialised: it is read three times.
+    gives an empty result. ``pieces`` should be materialised: each band reads its part of them.
     """
-    pieces = pieces.withColumn("_part", F.shiftright("row_id", 20))  # of one task, a million rows at most
-    per_part = pieces.groupBy("_part", "length").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_part.select("_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= capacity rows
-    plan, _ = best_fit_plan(counts, capacity)
-    shared = pieces.sparkSession.sparkContext.broadcast(  # its size depends on capacity alone
-        {int(k): tuple(v[c].to_numpy() for c in ("lo", "sequence", "per", "offset")) for k, v in plan.groupby("length")}
-    )
-    local = Window.partitionBy("_part", "length").orderBy("row_id")
-    ranked = pieces.withColumn("_local", F.row_number().over(local) - 1).join(starts, ["_part", "length"])
-    ranked = ranked.withColumn("_rank", F.col("_local") + F.col("_start")).drop("_part", "_local", "_start", "row_id")
-    keep = [f for f in ranked.schema.fields if f.name != "_rank"]
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_length = shared.value
-        for b in batches:
-            rank, length = b.column("_rank").to_numpy(zero_copy_only=False), b.column("length").to_numpy(zero_copy_only=False)
-            sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
-            for one in np.unique(length):
-                at = np.flatnonzero(length == one)
-                lo, first, per, base = by_length[int(one)]
-                k = np.searchsorted(lo, rank[at], side="right") - 1
-                r = rank[at] - lo[k]
-                sequence[at], offset[at] = first[k] + r // per[k], base[k] + r % per[k] * one
-            own = [b.column(n) for n in b.schema.names if n != "_rank"]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(sequence), pa.array(offset)], [*(n for n in b.schema.names if n != "_rank"), "sequence_id", "offset"])
-
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType([*keep, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return ranked.mapInArrow(place, schema)
+    places, _, _ = place(pieces, capacity)
+    if places is None:
+        return pieces.drop("row_id").withColumns({"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
+    inside = Window.partitionBy("sequence_id").orderBy("_step", "_slot").rowsBetween(Window.unboundedPreceding, -1)  # <= capacity rows
+    both = pieces.join(places, "row_id")
+    return both.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0))).drop("row_id", "_step", "_slot")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:

@@ -115,13 +115,40 @@ def best_fit_decreasing(lengths, capacity):
     return len(gaps)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_plan_is_best_fit_decreasing(seed):
+def sized(spark, name, size, values):
+    return spark.createDataFrame([(i << 30, v) for i, v in enumerate(values)], f"{name} long, {size} long")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_a_sweep_is_best_fit_one_slot_a_gap(spark, seed):
     random.seed(seed)
-    lengths = [random.choice([1, 2, 3, 7, 20, random.randint(1, 100)]) for _ in range(random.choice([1, 50, 700]))]
-    plan, opened = packing.best_fit_plan(Counter(lengths), 100)
-    assert opened == best_fit_decreasing(lengths, 100)
-    assert packing.best_fit_plan({}, 100)[1] == 0
+    lengths, gaps = random.choices(range(20, 41), k=120), random.choices(range(5, 80), k=150)
+    got = packing.sweep(sized(spark, "row_id", "length", lengths), sized(spark, "sequence_id", "gap", gaps), 40, 20).collect()
+    free, want = sorted(g for g in gaps if g >= 20 for _ in range(max(1, g // 40))), []
+    for n in sorted(lengths, reverse=True):
+        fits = [g for g in free if g >= n]
+        want.append((n, min(fits) if fits else None))
+        if fits:
+            free.remove(min(fits))
+    size = {i << 30: g for i, g in enumerate(gaps)}
+    assert Counter((r.size, size.get(r.by)) for r in got if r.kind == 1) == Counter(want)
+    assert len({(r.by, r.slot) for r in got if r.by is not None}) == sum(g is not None for _, g in want)
+    assert Counter(r.taken for r in got if r.taken) == Counter(n for n, g in want if g is not None)
+    assert {r.id for r in got if r.kind == 0} == set(size)
+
+
+def test_supersteps_need_hardly_more_than_best_fit_decreasing(spark):
+    random.seed(5)
+    lengths = [random.choice([2, 3, 7, random.randint(2, 40)]) for _ in range(150)]
+    pieces = sized(spark, "row_id", "length", lengths)
+    places, opened, steps = packing.place(pieces, 40)
+    used, length = Counter(), dict(enumerate(lengths))
+    rows = places.collect()
+    assert sorted(r.row_id >> 30 for r in rows) == sorted(length)
+    for r in rows:
+        used[r.sequence_id] += length[r.row_id >> 30]
+    assert max(used.values()) <= 40 and set(used) == set(range(opened))
+    assert opened <= best_fit_decreasing(lengths, 40) + 1 and steps < 40
 
 
 def test_packing(spark):
