@@ -225,9 +225,17 @@ def command_keys(log: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFr
     return keys, t.filter(open_).drop("_r")
 
 
-def changed_keys(log: DataFrame, commands: DataFrame, database: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Distinct keys of one database that a log changes, with the last offset; and what could not be resolved."""
+def changed_keys(log: DataFrame, commands: DataFrame, database: int = 0, getkeys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Distinct keys of one database that a log changes, with the last offset; and what could not be resolved.
+
+    getkeys (argv, keys): a server's answers for commands whose keys the table cannot tell. A command line without
+    an answer stays unresolved; one with an empty answer touches no key.
+    """
     keys, unresolved = command_keys(with_database(log).filter(F.col("db") == database), commands)
+    if getkeys is not None:
+        answers = getkeys.select("argv", "keys").dropDuplicates(["argv"])
+        told = unresolved.join(answers, "argv").withColumn("key", F.explode("keys"))
+        keys, unresolved = keys.unionByName(told.select(*keys.columns)), unresolved.join(answers, "argv", "left_anti").select(*unresolved.columns)
     return keys.groupBy("key").agg(F.max("offset_after").alias("offset")), unresolved
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.functions import keys, values
+from keyloom.functions import keys, structured, values
 from keyloom.operators import assess, indexes, modules, reconcile, runs, sync, topology
-from keyloom.plans.queries import LISTS, SOURCE_KV, TARGET_KV, keyspaces, order_findings, order_lists
+from keyloom.plans.queries import LISTS, LOG_SQL, SOURCE_KV, TARGET_KV, command_log, keyspaces, order_findings, order_lists
 from keyloom.plans.queries import _t as table
 from keyloom.plans.registry import query
 from keyloom.session import ensure_checkpoint_dir
@@ -425,3 +425,104 @@ def index_prefixes(spark, sf):
     d = d.withColumn("prefixes", F.array(F.concat(F.lit("p:"), "index", F.lit(":")), F.lit("x:")))
     rules = spark.createDataFrame([("p:", "q:"), ("p:Brand#11:", "one:"), ("x:y:", "deep:")], "old string, new string")
     return indexes.map_prefixes(d, rules, "new:").select("index", F.array_join("prefixes", ",").alias("prefixes"))
+
+
+# ---- values with structure
+
+
+@query("resolved_commands", f"""WITH {LOG_SQL}, k AS (SELECT event_id, 'user:' || CAST(user_id AS VARCHAR) AS key FROM l WHERE db = 0 AND (event_type IN ('view', 'click') OR event_type = 'signup' AND user_id % 3 = 0)
+ UNION ALL SELECT event_id, 'user:' || CAST(user_id AS VARCHAR) || ':b' FROM l WHERE db = 0 AND event_type = 'click'), o AS (SELECT event_id FROM l WHERE db = 0 AND event_type = 'signup' AND user_id % 3 = 1)
+SELECT key, max(event_id) AS "offset" FROM k GROUP BY key UNION ALL SELECT NULL, event_id FROM o""")
+def resolved_commands(spark, sf):
+    """Keys of commands that a server's answers resolve, and the offsets of those without an answer."""
+    log, commands = command_log(spark, sf)
+    key = F.get("argv", F.lit(1))
+    n = F.substring_index(key, ":", -1).cast("long") % 3
+    asked = log.filter(F.get("argv", F.lit(0)) == "XTHING").select("argv", F.when(n == 0, F.array(key)).when(n == 2, F.array().cast("array<string>")).alias("keys"))
+    changed, unresolved = sync.changed_keys(log, commands, getkeys=asked.filter("keys is not null"))
+    return changed.unionByName(unresolved.select(F.lit(None).cast("string").alias("key"), F.col("offset_after").alias("offset")))
+
+
+@query("stream_commands", """WITH e AS (SELECT user_id AS u, event_id AS id, event_type AS t, 's:' || CAST(user_id AS VARCHAR) AS k FROM events), u AS (SELECT u, k, min(id) AS lo, max(id) AS hi FROM e GROUP BY 1, 2),
+c AS (SELECT k, 0 AS stage, 0 AS pos, 'DEL ' || k AS line FROM u UNION ALL SELECT k, 1, id, 'XADD ' || k || ' ' || CAST(id AS VARCHAR) || '-0 type ' || t FROM e
+ UNION ALL SELECT k, 2, 0, 'XGROUP CREATE ' || k || ' g 0 MKSTREAM' FROM u WHERE u % 2 = 0 UNION ALL SELECT k, 2, 1, 'XGROUP SETID ' || k || ' g 0 ENTRIESREAD ' || CAST(u AS VARCHAR) FROM u WHERE u % 4 = 0
+ UNION ALL SELECT k, 3, 0, 'XSETID ' || k || ' ' || CAST(hi + 1 AS VARCHAR) || '-0' FROM u WHERE u % 3 = 0 UNION ALL SELECT k, 4, 0, 'XGROUP CREATECONSUMER ' || k || ' g c' FROM u WHERE u % 2 = 0
+ UNION ALL SELECT k, 5, 0, 'XCLAIM ' || k || ' g c 0 ' || CAST(lo AS VARCHAR) || '-0 TIME 1000 RETRYCOUNT 2 FORCE JUSTID' FROM u WHERE u % 2 = 0 UNION ALL SELECT k, 6, 0, 'PEXPIRE ' || k || ' 60000' FROM u WHERE u % 5 = 0)
+SELECT k AS key, CAST(row_number() OVER (PARTITION BY k ORDER BY stage, pos) - 1 AS INTEGER) AS seq, line FROM c""")
+def stream_commands(spark, sf):
+    """Each user's events as a stream, some with a group, a pending entry and a later last id."""
+    u, text = F.col("user_id"), lambda c: F.concat(c.cast("string"), F.lit("-0"))
+    fields = F.array(F.struct(F.lit("type").alias("field"), F.col("event_type").alias("value")))
+    entry = F.struct("event_id", fields.alias("fields"))
+    streams = table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("e"), F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
+    pending = F.struct(text(F.col("lo")).alias("id"), F.lit("c").alias("consumer"), F.lit(1000).cast("long").alias("delivered_at_ms"), F.lit(2).cast("long").alias("deliveries"))
+    group = F.struct(
+        F.lit("g").alias("name"), F.lit("0").alias("last_delivered_id"), F.when(u % 4 == 0, u).alias("entries_read"), F.array(F.lit("c")).alias("consumers"), F.array(pending).alias("pending")
+    )
+    records = streams.select(
+        F.concat(F.lit("s:"), u.cast("string")).alias("key"), F.when(u % 5 == 0, 60000).otherwise(-1).cast("long").alias("ttl_ms"),
+        F.transform("e", lambda e: F.struct(text(e["event_id"]).alias("id"), e["fields"].alias("fields"))).alias("entries"),
+        text(F.col("hi") + F.when(u % 3 == 0, 1).otherwise(0)).alias("last_id"), F.when(u % 2 == 0, F.array(group)).alias("groups"),
+    )
+    return structured.stream_commands(records).select("key", "seq", F.array_join("argv", " ").alias("line"))
+
+
+@query("document_commands", """SELECT 'd:' || CAST(p_partkey AS VARCHAR) AS key, 0 AS seq, 'JSON.SET d:' || CAST(p_partkey AS VARCHAR) || ' . {"size":' || CAST(p_size AS VARCHAR) || '}' AS line FROM part
+UNION ALL SELECT 'd:' || CAST(p_partkey AS VARCHAR), 1, 'PEXPIRE d:' || CAST(p_partkey AS VARCHAR) || ' 5000' FROM part WHERE p_size % 2 = 0""")
+def document_commands(spark, sf):
+    key = F.concat(F.lit("d:"), F.col("p_partkey").cast("string")).alias("key")
+    records = table(spark, sf, "part").select(key, F.when(F.col("p_size") % 2 == 0, 5000).otherwise(-1).cast("long").alias("ttl_ms"), F.to_json(F.struct(F.col("p_size").alias("size"))).alias("document"))
+    return structured.document_commands(records).select("key", "seq", F.array_join("argv", " ").alias("line"))
+
+
+TYPED = "CASE o_custkey % 5 WHEN 0 THEN 'list' WHEN 1 THEN 'hash' WHEN 2 THEN 'zset' WHEN 3 THEN 'stream' ELSE 'string' END"
+
+
+@query("typed_envelopes", f"""WITH o AS (SELECT o_custkey AS c, {TYPED} AS type, o_orderkey AS o, o_orderstatus AS v, o_totalprice AS p, CASE WHEN o_custkey % 7 = 0 THEN 'FF' ELSE '' END AS head FROM orders),
+f AS (SELECT c, type, o, CASE type WHEN 'list' THEN head || hex(encode(CAST(o AS VARCHAR))) WHEN 'hash' THEN hex(encode(CAST(o AS VARCHAR))) || '=' || head || hex(encode(v))
+ WHEN 'zset' THEN head || hex(encode(CAST(o AS VARCHAR))) || '=' || CASE WHEN o % 3 = 0 THEN 'up' ELSE CAST(CAST(floor(p) AS BIGINT) AS VARCHAR) END WHEN 'stream' THEN hex(encode(CAST(o AS VARCHAR) || '-0')) || ':' || hex(encode('s')) || '=' || head || hex(encode(v)) END AS one, head FROM o)
+SELECT 'c:' || CAST(c AS VARCHAR) AS key, type, CAST(c AS BIGINT) AS ttl_ms, CASE WHEN type = 'string' THEN min(head) || hex(encode(CAST(count(*) AS VARCHAR))) ELSE string_agg(one, ',' ORDER BY o) END AS flat FROM f GROUP BY c, type""")
+def typed_envelopes(spark, sf):
+    """Each customer's orders as a value of one of five types, to JSON lines and back; some hold bytes that are no text."""
+    raw = lambda c: F.encode(c.cast("string"), "UTF-8")
+    kind = F.element_at(F.array(*map(F.lit, ("list", "hash", "zset", "stream", "string"))), (F.col("c") % 5 + 1).cast("int"))
+    grouped = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_totalprice"))).alias("l"))
+    head = F.when(F.col("c") % 7 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    spoilt = lambda c: F.concat(F.col("head"), raw(c))
+    pair = lambda field, value: F.struct(field.alias("field"), value.alias("value"))
+    score = lambda o: F.when(o["o_orderkey"] % 3 == 0, float("inf")).otherwise(F.floor(o["o_totalprice"]).cast("double")).alias("score")
+    of = lambda name, one: F.when(kind == name, F.transform("l", one))
+    records = grouped.withColumn("head", head).select(
+        raw(F.concat(F.lit("c:"), F.col("c").cast("string"))).alias("key"), kind.alias("type"), F.col("c").cast("long").alias("ttl_ms"), F.when(kind == "string", spoilt(F.size("l"))).alias("text"),
+        of("list", lambda o: spoilt(o["o_orderkey"])).alias("members"), of("hash", lambda o: pair(raw(o["o_orderkey"]), spoilt(o["o_orderstatus"]))).alias("fields"),
+        of("zset", lambda o: F.struct(spoilt(o["o_orderkey"]).alias("member"), score(o))).alias("scored"),
+        of("stream", lambda o: F.struct(F.concat(o["o_orderkey"].cast("string"), F.lit("-0")).alias("id"), F.array(pair(raw(F.lit("s")), spoilt(o["o_orderstatus"]))).alias("fields"))).alias("entries"),
+    )
+    path = shared_path(spark, "typed")
+    structured.to_typed_envelope(records).write.text(path)
+    good, _ = structured.from_typed_envelope(spark.read.text(path).withColumnRenamed("value", "line"))
+    shown = lambda fs: F.array_join(F.transform(fs, lambda f: F.concat(F.hex(f["field"]), F.lit("="), F.hex(f["value"]))), ";")
+    number = lambda m: F.when(m["score"] == float("inf"), "up").otherwise(m["score"].cast("long").cast("string"))
+    flat = F.coalesce(
+        F.hex("text"), F.array_join(F.transform("members", F.hex), ","), F.array_join(F.transform("fields", lambda f: F.concat(F.hex(f["field"]), F.lit("="), F.hex(f["value"]))), ","),
+        F.array_join(F.transform("scored", lambda m: F.concat(F.hex(m["member"]), F.lit("="), number(m))), ","),
+        F.array_join(F.transform("entries", lambda e: F.concat(F.hex(F.encode(e["id"], "UTF-8")), F.lit(":"), shown(e["fields"]))), ","),
+    )
+    return good.select(F.decode("key", "UTF-8").alias("key"), "type", "ttl_ms", flat.alias("flat"))
+
+
+@query("merged_hashes", """WITH l AS (SELECT l_orderkey AS o, l_suppkey % 3 AS f, l_partkey AS v, CASE WHEN l_partkey % 2 = 0 THEN l_suppkey END AS e, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS n FROM lineitem),
+m AS (SELECT o, f, min(n) AS n, arg_max(v, n) AS v, arg_max(e, n) FILTER (e IS NOT NULL) AS e FROM l GROUP BY 1, 2)
+SELECT CAST(o AS VARCHAR) AS key, string_agg(CAST(f AS VARCHAR) || '=' || CAST(v AS VARCHAR) || '@' || coalesce(CAST(e AS VARCHAR), '-'), ',' ORDER BY n) AS fields FROM m GROUP BY o""")
+def merged_hashes(spark, sf):
+    """Each order's lines as chunks of a hash in which fields repeat."""
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    text = lambda c: F.col(c).cast("string")
+    field = F.struct((F.col("l_suppkey") % 3).cast("string").alias("field"), text("l_partkey").alias("value"), F.when(F.col("l_partkey") % 2 == 0, F.col("l_suppkey").cast("long")).alias("expire_at_ms"))
+    chunks = table(spark, sf, "lineitem").select(
+        text("l_orderkey").alias("key"), F.lit("hash").alias("type"), (F.row_number().over(order) - 1).alias("chunk"),
+        F.count("*").over(Window.partitionBy("l_orderkey")).cast("int").alias("chunks"), F.array(field).alias("fields"),
+    )
+    done, _, _ = structured.join_hash_chunks(chunks)
+    one = F.transform("fields", lambda f: F.concat(f["field"], F.lit("="), f["value"], F.lit("@"), F.coalesce(f["expire_at_ms"].cast("string"), F.lit("-"))))
+    return done.select("key", F.array_join(one, ",").alias("fields"))

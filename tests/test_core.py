@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyloom.functions import keys as K
+from keyloom.functions import structured as ST
 from keyloom.functions import values as V
 from keyloom.operators import assess, indexes, modules, reconcile, runs, sync, topology
 from keyloom.sources import readers, sinks
@@ -244,3 +245,49 @@ def test_field_ttls(spark):
     df = spark.createDataFrame([([("a", "1", 5500), ("b", "2", 100), ("c", "3", None)],)], "f array<struct<field: string, value: string, expire_at_ms: long>>")
     got = df.select(V.project_field_ttls(F.col("f"), F.lit(1000).cast("long")).alias("x")).first().x
     assert [(r.field, r.seconds) for r in got] == [("a", 5), ("c", None)]
+
+
+def test_typed_envelope_of_odd_values(spark):
+    cols = "key binary, type string, ttl_ms long, " + ", ".join(f"{n} {t}" for n, t in ST.VALUES.items())
+    none = [None] * 5
+    put = lambda kind, at, value: (kind.encode(), kind, None, *none[:at], value, *none[at + 1 :])
+    rows = [
+        put("string", 0, b"a\"b\n"), put("list", 1, [b"", b"\xff", b"x"]), put("hash", 2, [(b"f", None), (b"g", b"")]), put("zset", 3, [(b"m", float("-inf")), (b"n", 1.5)]),
+        put("stream", 4, [("1-0", [(b"f", b"v")]), ("2-0", [])]), put("json", 0, b'{"a":[1,null]}'), (b"\xfe", "set", 5, *none),
+    ]
+    lines = [r.line for r in ST.to_typed_envelope(spark.createDataFrame(rows, cols)).collect()]
+    assert sum('"base64":true' in line for line in lines) == 1 and sum("key_base64" in line for line in lines) == 1
+    good, bad = ST.from_typed_envelope(spark.createDataFrame([(x,) for x in [*lines, "", "{", '{"key":"k","type":"list","value":"x"}', '{"type":"set","value":[]}']], "line string"))
+    got = {r.type: r for r in good.collect()}
+    assert got["string"].text == b"a\"b\n" and got["list"].members == [b"", b"\xff", b"x"] and got["json"].text == b'{"a":[1,null]}'
+    assert [tuple(f) for f in got["hash"].fields] == [(b"f", b"null"), (b"g", b"")] and [tuple(m) for m in got["zset"].scored] == [(b"m", float("-inf")), (b"n", 1.5)]
+    assert [(e.id, [tuple(f) for f in e.fields]) for e in got["stream"].entries] == [("1-0", [(b"f", b"v")]), ("2-0", [])]
+    assert bytes(got["set"].key) == b"\xfe" and got["set"].members == [] and got["set"].ttl_ms == 5
+    assert sorted(r.reason for r in bad.collect()) == ["no key", "not a JSON record", "not the value of a list"]
+
+
+def test_stream_commands_without_entries(spark):
+    cols = """key string, ttl_ms long, entries array<struct<id: string, fields: array<struct<field: string, value: string>>>>, last_id string,
+      groups array<struct<name: string, last_delivered_id: string, entries_read: long, consumers: array<string>, pending: array<struct<id: string, consumer: string, delivered_at_ms: long, deliveries: long>>>>"""
+    rows = [("a", None, None, "5-0", [("g", None, None, None, None), (None, "1-0", None, ["c"], None)]), ("b", 7, [], "5-0", None), ("c", -1, [("5-0", [("f", None)])], "5-0", [])]
+    got = {}
+    for r in ST.stream_commands(spark.createDataFrame(rows, cols)).orderBy("key", "seq").collect():
+        got.setdefault(r.key, []).append(" ".join(r.argv))
+    assert got == {"a": ["DEL a", "XGROUP CREATE a g 0 MKSTREAM", "XSETID a 5-0"], "b": ["DEL b", "PEXPIRE b 7"], "c": ["DEL c", "XADD c 5-0 f null"]}
+
+
+def test_hash_chunks_merge(spark):
+    cols = "key string, type string, chunk int, chunks int, fields array<struct<field: string, value: string, expire_at_ms: long>>"
+    rows = [("k", "hash", 1, 2, [("a", "2", None), ("c", None, 9)]), ("k", "hash", 0, 2, [("a", "1", 5), ("b", "1", None)]), ("e", "hash", 0, 1, []), ("w", "hash", 0, 2, [("a", "1", None)])]
+    done, waiting, failed = ST.join_hash_chunks(spark.createDataFrame(rows, cols))
+    got = {r.key: [tuple(f) for f in r.fields] for r in done.collect()}
+    assert got == {"k": [("a", "2", 5), ("b", "1", None), ("c", None, 9)], "e": []}
+    assert [r.key for r in waiting.collect()] == ["w"] and failed.count() == 0
+
+
+def test_answers_for_movable_commands(spark):
+    log = spark.createDataFrame([("0", 1, 1, ["SORT", "a", "STORE", "b"]), ("0", 1, 2, ["EVAL", "x", "0"]), ("0", 1, 3, ["ODD", "z"]), ("0", 1, 4, ["SORT", "a", "STORE", "b"])], "shard string, generation long, offset_after long, argv array<string>")
+    table = spark.createDataFrame([("sort", 1, 1, 1, True), ("eval", 0, 0, 0, True)], "name string, first int, last int, step int, movable boolean")
+    answers = spark.createDataFrame([(["SORT", "a", "STORE", "b"], ["a", "b"]), (["SORT", "a", "STORE", "b"], ["a", "b"]), (["EVAL", "x", "0"], [])], "argv array<string>, keys array<string>")
+    keys, open_ = sync.changed_keys(log, table, getkeys=answers)
+    assert sorted(map(tuple, keys.collect())) == [("a", 4), ("b", 4)] and [r.offset_after for r in open_.collect()] == [3]
