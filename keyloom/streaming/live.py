@@ -88,47 +88,77 @@ def await_chunks(chunks: DataFrame, wait_ms: int = 60_000) -> DataFrame:
 
 
 class RetryHold(StatefulProcessor):
-    """A failed write is tried again after a growing delay; newer writes of its key wait behind it and replace it."""
+    """A failed write is tried again after a growing delay; newer writes of its key wait behind it.
 
-    def __init__(self, most: int, base_ms: int, longest_ms: int):
-        self.most, self.base_ms, self.longest_ms = most, base_ms, longest_ms
+    Until the retry goes out a newer write takes its place. From then on newer writes wait, and the newest one goes out
+    when the retry's outcome is there, or when ``hold_ms`` have passed since the retry was due. A row that has not
+    failed is a new write if its ``tries`` is 0, else the success of a retry.
+    """
+
+    def __init__(self, most: int, base_ms: int, longest_ms: int, hold_ms: int):
+        self.most, self.base_ms, self.longest_ms, self.hold_ms = most, base_ms, longest_ms, hold_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getValueState("waiting", "seq long, value string, tries int")
+        # what waits, its tries, whether the retry is out, whether something newer waits behind it, when the next step is due
+        self.waiting = handle.getValueState("waiting", "seq long, value string, tries int, out boolean, newer boolean, due long")
+
+    def plan(self, seq: int, value: str, tries: int, out: bool, due: int) -> None:
+        self.waiting.update((seq, value, tries, out, False, due))
+        self.handle.registerTimer(due)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        now, out = timerValues.getCurrentProcessingTimeInMs(), []
+        now, found = timerValues.getCurrentProcessingTimeInMs(), []
         for b in rows:
             for r in b.sort_values("seq").itertuples(index=False):
+                seq, tries = int(r.seq), int(r.tries)
                 held = self.waiting.get() if self.waiting.exists() else None
-                if r.failed:
-                    tries = int(r.tries) + 1
-                    if tries > self.most:
-                        out.append((key[0], int(r.seq), r.value, tries, "gave up"))
-                    elif held is None or held[0] <= r.seq:
-                        self.waiting.update((int(r.seq), r.value, tries))
-                        self.handle.registerTimer(now + min(self.longest_ms, self.base_ms * 2 ** (tries - 1)))
+                last, value, count, out, newer, due = held or (None, None, 0, False, False, 0)
+                if r.failed and tries >= self.most:
+                    found.append((key[0], seq, r.value, tries + 1, "gave up"))
+                    if out:
+                        self.waiting.clear()
+                        if newer:
+                            found.append((key[0], last, value, 0, "write"))
+                elif r.failed:
+                    if held is None or (seq >= last and not newer):
+                        last, value = seq, r.value
+                    elif not out:
+                        continue
+                    self.plan(last, value, tries + 1, False, now + min(self.longest_ms, self.base_ms * 2**tries))
                 elif held is None:
-                    out.append((key[0], int(r.seq), r.value, 0, "write"))
-                elif held[0] < r.seq:
-                    self.waiting.update((int(r.seq), r.value, held[2]))
-        yield pd.DataFrame(out, columns=["key", "seq", "value", "tries", "action"])
+                    if tries == 0:
+                        found.append((key[0], seq, r.value, 0, "write"))
+                elif tries == 0:
+                    if seq > last:
+                        self.waiting.update((seq, r.value, count, out, out, due))
+                elif out:
+                    self.waiting.clear()
+                    if newer:
+                        found.append((key[0], last, value, 0, "write"))
+        yield pd.DataFrame(found, columns=["key", "seq", "value", "tries", "action"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.waiting.exists():
-            seq, value, tries = self.waiting.get()
+        if not self.waiting.exists():
+            return
+        seq, value, tries, out, newer, due = self.waiting.get()
+        if expiredTimerInfo.getExpiryTimeInMs() < due:  # of a step that another one has replaced
+            return
+        if out:
             self.waiting.clear()
-            yield pd.DataFrame([(key[0], seq, value, tries, "write")], columns=["key", "seq", "value", "tries", "action"])
+        else:
+            self.plan(seq, value, tries, True, due + self.hold_ms)
+        if newer or not out:
+            yield pd.DataFrame([(key[0], seq, value, 0 if out else tries, "write")], columns=["key", "seq", "value", "tries", "action"])
 
     def close(self) -> None:
         pass
 
 
-def retry_with_hold(outcomes: DataFrame, most: int = 5, base_ms: int = 100, longest_ms: int = 30_000) -> DataFrame:
-    """(key, seq, value, tries, action write or gave up) of a stream of writes and failures (key, seq, value, tries, failed)."""
+def retry_with_hold(outcomes: DataFrame, most: int = 5, base_ms: int = 100, longest_ms: int = 30_000, hold_ms: int = 600_000) -> DataFrame:
+    """(key, seq, value, tries, action write or gave up) of a stream of writes and outcomes (key, seq, value, tries, failed)."""
     return outcomes.groupBy("key").transformWithStateInPandas(
-        RetryHold(most, base_ms, longest_ms), outputStructType="key string, seq long, value string, tries int, action string", outputMode="Append", timeMode="ProcessingTime"
+        RetryHold(most, base_ms, longest_ms, hold_ms), outputStructType="key string, seq long, value string, tries int, action string", outputMode="Append", timeMode="ProcessingTime"
     )
 
 

@@ -2,6 +2,7 @@
 
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from keyloom.operators import sync
@@ -56,6 +57,53 @@ def test_retry_with_hold(spark, tmp_path):
     assert got == {("z", "gave up"): "v", ("y", "write"): "v", ("k", "write"): "newer"}
 
 
+class Kept:
+    """State, timers and clock of one key in place of a stream's."""
+
+    def __init__(self, hold):
+        self.state, self.now, self.timers, self.hold = None, 0, [], hold
+        hold.init(self)
+
+    getValueState = lambda self, name, schema: self
+    exists = lambda self: self.state is not None
+    get = lambda self: self.state
+    update = lambda self, row: setattr(self, "state", row)
+    clear = lambda self: self.update(None)
+    registerTimer = lambda self, at: self.timers.append(at)
+    getCurrentProcessingTimeInMs = getExpiryTimeInMs = lambda self: self.now
+
+    def rows(self, *rows):
+        frame = pd.DataFrame(rows, columns=["seq", "value", "tries", "failed"])
+        return [tuple(r)[1:] for d in self.hold.handleInputRows(("k",), iter([frame]), self) for r in d.itertuples(index=False)]
+
+    def fire(self):
+        self.now = min(self.timers)
+        self.timers.remove(self.now)
+        return [tuple(r)[1:] for d in self.hold.handleExpiredTimer(("k",), self, self) for r in d.itertuples(index=False)]
+
+
+def test_hold_ends_with_the_outcome_or_in_time():
+    def failed_and_out():
+        k = Kept(live.RetryHold(2, 100, 30_000, 600_000))
+        assert k.rows((1, "a", 0, True), (2, "b", 0, False)) == [] and k.timers == [100]
+        assert k.fire() == [(2, "b", 1, "write")] and k.timers == [600_100]
+        assert k.rows((3, "c", 0, False), (4, "d", 0, False)) == []
+        return k
+
+    k = failed_and_out()
+    assert k.fire() == [(4, "d", 0, "write")] and not k.exists()  # no outcome came
+    k = failed_and_out()
+    assert k.rows((2, "b", 1, False)) == [(4, "d", 0, "write")] and k.fire() == [] and k.rows((5, "e", 0, False)) == [(5, "e", 0, "write")]
+    k = failed_and_out()
+    assert k.rows((2, "b", 1, True)) == [] and k.fire() == [(4, "d", 2, "write")]  # the newest is tried, after the longer delay
+    assert k.now == 300 and k.fire() == [] and k.exists()  # a timer of the first hold does nothing
+    assert k.rows((4, "d", 2, True)) == [(4, "d", 3, "gave up")] and not k.exists()
+    k = failed_and_out()
+    assert k.rows((2, "b", 2, True)) == [(2, "b", 3, "gave up"), (4, "d", 0, "write")]
+    k = Kept(live.RetryHold(2, 100, 30_000, 600_000))
+    assert k.rows((1, "a", 0, True)) == [] and k.fire() == [(1, "a", 1, "write")] and k.fire() == [] and not k.exists()
+
+
 def test_delay_repeats(spark):
     df = spark.createDataFrame([("k", n) for n in range(1, 12)], "key string, n int").select(live.retry_delay_ms(F.col("n")).alias("d"))
     d = [r.d for r in df.collect()]
