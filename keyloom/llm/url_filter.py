@@ -53,10 +53,8 @@ def absolute(link: Column, base: Column) -> Column:
 def page_edges(pages: DataFrame) -> DataFrame:
     """(a, b): urls made aliases by canonical links and by redirects (meta refresh) in the html of pages (url, html)."""
     marked = pages.filter(F.col("url").contains("://") & F.col("html").rlike("(?i)canonical|refresh"))
-    targets = F.array(
-        F.regexp_extract(F.regexp_extract("html", LINK, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract("html", REFRESH, 0), REFRESH_URL, 1),
-    )
+    found = lambda tag, url: F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, url, 1))
+    targets = F.concat(found(LINK, HREF), found(REFRESH, REFRESH_URL))
     links = marked.select("url", F.explode(targets).alias("link")).filter("link <> ''")
     edges = links.select(node_of(F.col("url")).alias("a"), node_of(absolute(F.col("link"), F.col("url"))).alias("b"))
     return edges.filter("a <> b").distinct()

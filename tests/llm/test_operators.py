@@ -267,6 +267,14 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(p.limit(0), rules).count() == 0
 
 
+def test_all_links_of_a_page(spark):
+    html = "<link rel=canonical href='/2'><LINK href='//v.net/3' rel='canonical'><meta http-equiv=refresh content='0; url=4'><meta http-equiv=refresh content='9'><link rel=x href=5>"
+    pages = spark.createDataFrame([("http://u.net/1", html), ("http://u.net/6", None), (None, html)], "url string, html string")
+    got = url_filter.page_edges(pages).collect()
+    assert {r.a for r in got} == {"u.net/1"} and sorted(r.b for r in got) == ["u.net/2", "u.net/4", "v.net/3"]  # nodes have no scheme
+
+
+
 # ---- quality
 
 
