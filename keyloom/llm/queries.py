@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import bpe, chat, jaccard, language, oracles, packing, quality, token_counts, topk, toxicity, url_filter
+from keyloom.llm import alignment, bpe, chat, jaccard, language, oracles, packing, quality, token_counts, topk, toxicity, url_filter
 from keyloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL = oracles.ORACLE_SQL
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(f):
@@ -120,3 +121,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.transcript(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     model = chat.fit(turns.filter(~toxicity.held_out("conv_id")))
     return chat.parse(turns, model).withColumn("held_out", toxicity.held_out("conv_id"))
+
+
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of every document under two tokenizers, and what the corpus' pair counts say of them."""
+    aligned = alignment.align(documents(spark, sf_dir), TOKENIZER, PIECES)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
