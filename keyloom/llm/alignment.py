@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import functools
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,6 @@ from keyloom.llm.packing import LONG_SPACE, LONGEST_RUN
 from keyloom.llm.perfect_hash import CountTable, PerfectHash, mixed
 from keyloom.llm.pretokens import PATTERN
 
-PORTION = 1 << 16
 #: No token of either tokenizer goes over a blank between two characters that are not white space.
 SEAM = re.compile(r"(?<=[^\s▁]) (?=\S)")
 FAN_IN = 16  # vectors that one task of the tree sums
@@ -50,7 +49,7 @@ class Tokenizers:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b_path)
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        #: Long texts may be cut at seams: pieces have their blanks in front, and one is put before every text.
+        #: Texts may be cut at seams: pieces have their blanks in front, and one is put before every text.
         self.seams = not any("▁" in p.lstrip("▁") for p in names) and self.pieces.encode("a", out_type=str)[0].startswith("▁")
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = (np.array([[f"{i}," for i in range(len(x))], [f"{i}{end}" for i in range(len(x))]], object) for x, end in ((self.a_bytes, "|"), (self.b_bytes, ";")))
@@ -68,21 +67,36 @@ class Tokenizers:
             at = end
         return out + encode(text[at:])
 
-    def both(self, text: str) -> tuple[array, array]:
-        """Ids of both; none where joined tokens are not the text with a blank before it. Long texts are encoded in portions."""
-        a, b, at = array("i"), array("i"), 0
-        if not text:
-            return a, b
-        whole = " " + text
-        while at < len(whole):
-            cut = SEAM.search(whole, at + PORTION) if self.seams and len(whole) - at > PORTION else None
-            part = whole[at : cut.start()] if cut else whole[at:]
-            a.extend(self.a_ids(part)), b.extend(self.pieces.encode(part[1:]))
-            at += len(part)
-        data = whole.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
-            return array("i"), array("i")
-        return a, b
+    def both(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both for texts that are not empty, and how many each text has; none where joined tokens are not the text with a blank before it.
+
+        Texts with seams between them are encoded as one, up to 256 of them.
+        """
+        joins = list(map(self.joins, texts))
+        cuts = [0, *(i for i in range(1, len(texts)) if i % 256 == 0 or not (joins[i - 1] and joins[i])), len(texts)]
+        runs = [self.run(texts[lo:hi]) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+        a, n_a, b, n_b = (np.concatenate([np.empty(0, np.int64), *(r[i] for r in runs)]) for i in range(4))
+        return a, b, n_a, n_b
+
+    def joins(self, text: str) -> bool:
+        """A seam stands before and after such a text, if its neighbour is such a text, too."""
+        return self.seams and not (text[0].isspace() or text[-1].isspace() or text[-1] == "▁")
+
+    def run(self, texts: list[str]) -> list[np.ndarray]:
+        data, whole = [(" " + x).encode() for x in texts], " " + " ".join(texts)
+        ends, out = np.cumsum(list(map(len, data))), []
+        for ids, size_of, bytes_of in ((self.a_ids(whole), self.a_size, self.a_bytes), (self.pieces.encode(whole[1:]), self.b_size, self.b_bytes)):
+            if b"".join(map(bytes_of.__getitem__, ids)) != b"".join(data):
+                break
+            flat = np.array(ids, np.int64)
+            until = np.searchsorted(np.cumsum(size_of[flat]), ends, side="right")
+            out += [flat, np.diff(until, prepend=0)]
+        else:
+            return out
+        if len(texts) == 1:
+            return [np.empty(0, np.int64), np.zeros(1, np.int64)] * 2
+        half = len(texts) // 2  # look for those that are not given back
+        return [np.concatenate(x) for x in zip(self.run(texts[:half]), self.run(texts[half:]), strict=True)]
 
 
 @functools.cache
@@ -90,6 +104,11 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
+@functools.cache
+def segments(a_path: str, b_path: str) -> Segments:
+    return Segments(tokenizers(a_path, b_path))
+
+
 @dataclass
 class Aligned:
     """Alignment of some texts: ids, where groups end, and the links in order, each with its text's number."""
@@ -103,15 +122,6 @@ class Aligned:
     keys: np.ndarray
     of: np.ndarray
 
-    def per_text(self, of: np.ndarray, number: np.ndarray | None = None) -> np.ndarray:
-        """Sums by text, exact in integers."""
-        total = np.zeros(len(self.n_a), np.int64)
-        np.add.at(total, of, 1 if number is None else number)
-        return total
-
-    def n_groups(self) -> np.ndarray:
-        return self.per_text(np.repeat(np.arange(len(self.n_a)), self.n_a)[self.a_closes])
-
     def groups(self, t: Tokenizers) -> list[str]:
         """Each text's groups as ``a1,a2|b1;a3|b2,b3``."""
         a_group, b_group = np.cumsum(self.a_closes) - self.a_closes, np.cumsum(self.b_closes) - self.b_closes
@@ -125,15 +135,106 @@ class Aligned:
 
 def align_texts(texts: list[str], t: Tokenizers) -> Aligned:
     """Two tokens are linked where their bytes overlap. Between neighbouring ends of tokens of either side lies one link."""
-    ids = [t.both(x) for x in texts]
-    n_a, n_b = (np.array([len(x[i]) for x in ids], np.int64) for i in (0, 1))
-    a, b = (np.concatenate([np.frombuffer(x[i], np.int32) for x in ids if x[i]] or [np.empty(0, np.int32)]).astype(np.int64) for i in (0, 1))
+    a, b, n_a, n_b = t.both(texts)
     a_end, b_end = np.cumsum(t.a_size[a]), np.cumsum(t.b_size[b])
-    ends = np.union1d(a_end, b_end)
-    bytes_of = np.array([int(t.a_size[np.frombuffer(x[0], np.int32)].sum()) if x[0] else 0 for x in ids], np.int64)
+    ends = distinct(np.concatenate([a_end, b_end]))
     within = lambda x, y: y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x if len(y) else np.zeros(len(x), bool)
     keys = a[np.searchsorted(a_end, ends)] << 32 | b[np.searchsorted(b_end, ends)]
-    return Aligned(a, b, n_a, n_b, within(a_end, b_end), within(b_end, a_end), keys, np.searchsorted(np.cumsum(bytes_of), ends))
+    return Aligned(a, b, n_a, n_b, within(a_end, b_end), within(b_end, a_end), keys, np.searchsorted(np.cumsum(sums(t.a_size[a], n_a)), ends))
+
+
+class Segments(dict):
+    """segment -> number, and the alignment of every segment; a text is cut into them at its seams.
+
+    Words between single blanks are segments of their own unless white space or a low line is at one of their
+    ends; a text that holds such a word is cut by ``SEAM``, and its segments have their blank in front.
+    """
+
+    def __init__(self, t: Tokenizers, most: int = 250_000, characters: int = 4_000_000):
+        self.t, self.most, self.characters = t, most, characters
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.fresh: list[str] = []
+        self.groups: list[str] = []
+        self.held = 0
+        self.n_a = self.n_b = self.n_groups = self.keys = np.empty(0, np.int64)
+        self.until = np.zeros(1, np.int64)  # where a segment's links begin; the next one's are its end
+
+    def __missing__(self, segment: str) -> int:
+        edges = segment[:1] + segment[-1:]
+        if segment[:1] != " " and (not segment or edges[0].isspace() or edges[1].isspace() or edges[1] == "▁" or not self.t.seams):
+            self[segment] = -1
+        else:
+            self[segment] = len(self.groups) + len(self.fresh)
+            self.fresh.append(segment)
+        return self[segment]
+
+    def cut(self, text: str) -> list[int]:
+        """Numbers of a text's segments."""
+        if not text:
+            return []
+        numbers = list(map(self.__getitem__, text.split(" ")))
+        if -1 in numbers:
+            whole = " " + text
+            at = [0, *(m.start() for m in SEAM.finditer(whole)), len(whole)] if self.t.seams else [0, len(whole)]
+            numbers = [self[whole[i:j]] for i, j in zip(at, at[1:], strict=False)]
+        return numbers
+
+    def settle(self, printed: bool) -> None:
+        """Align the segments met for the first time; their groups as text only if ``printed``."""
+        if not self.fresh:
+            return
+        x = align_texts([s.removeprefix(" ") for s in self.fresh], self.t)
+        self.groups += x.groups(self.t) if printed else [""] * len(self.fresh)
+        self.held += sum(map(len, self.fresh))
+        self.fresh = []
+        closes = np.bincount(np.repeat(np.arange(len(x.n_a)), x.n_a)[x.a_closes], minlength=len(x.n_a))
+        for name, more in (("n_a", x.n_a), ("n_b", x.n_b), ("n_groups", closes), ("keys", x.keys), ("until", self.until[-1] + np.cumsum(np.bincount(x.of, minlength=len(x.n_a))))):
+            setattr(self, name, np.concatenate([getattr(self, name), more]))
+
+    def read(self, texts: list[str], printed: bool = True) -> Read:
+        """Cut and align; what is known is forgotten before, if it is too much."""
+        if len(self) > self.most or self.held > self.characters:
+            self.forget()
+        cut = list(map(self.cut, texts))
+        self.settle(printed)
+        n = np.array(list(map(len, cut)), np.int64)
+        flat = np.fromiter(chain.from_iterable(cut), np.int64, n.sum())
+        bad = sums(self.n_a[flat] == 0, n) > 0
+        if bad.any():
+            flat, n = flat[np.repeat(~bad, n)], np.where(bad, 0, n)
+            cut = [[] if x else c for x, c in zip(bad, cut, strict=True)]
+        return Read(cut, flat, n)
+
+    def links(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``keys`` of the links of these segments, and which of the numbers each belongs to."""
+        n = self.until[numbers + 1] - self.until[numbers]
+        at = np.repeat(self.until[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return at, np.repeat(np.arange(len(numbers)), n)
+
+
+@dataclass
+class Read:
+    """Segments of some texts: by text, all in order, and how many each text has; texts without an alignment have none."""
+
+    cut: list[list[int]]
+    flat: np.ndarray
+    n: np.ndarray
+
+
+def sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of n values."""
+    total = np.r_[0, np.cumsum(values, dtype=np.int64)]
+    ends = np.cumsum(n)
+    return total[ends] - total[ends - n]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values, ascending."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
 
 
 def portions(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
@@ -162,7 +263,7 @@ def first_pass(docs: DataFrame, paths: tuple[str, str], chunk: int, portion: int
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        t, number, size = tokenizers(*paths), TaskContext.get().partitionId() << 32, 0
+        known, number, size = Segments(tokenizers(*paths)), TaskContext.get().partitionId() << 32, 0
         keys, numbers = [], []
 
         def pairs() -> pd.DataFrame:
@@ -173,10 +274,14 @@ def first_pass(docs: DataFrame, paths: tuple[str, str], chunk: int, portion: int
         for batch in batches:
             texts = string_list(batch["text"])
             for lo, hi in portions(texts, portion):
-                x = align_texts(texts[lo:hi], t)
-                known, at = np.unique(x.keys, return_inverse=True)
-                held = np.unique(x.of * max(1, len(known)) + at) % max(1, len(known))  # a pair once a document
-                keys.append(known), numbers.append(np.bincount(held, minlength=len(known)))
+                x = known.read(texts[lo:hi], printed=False)
+                of = distinct(np.repeat(np.arange(len(x.n)), x.n) * len(known) + x.flat)  # a segment once a document
+                document, segment = np.divmod(of, max(1, len(known)))
+                at, place = known.links(segment)
+                pairs_here, number_of = np.unique(known.keys, return_inverse=True)
+                held = distinct(document[place] * len(pairs_here) + number_of[at]) % max(1, len(pairs_here))  # a pair once a document
+                n = np.bincount(held, minlength=len(pairs_here))
+                keys.append(pairs_here[n > 0]), numbers.append(n[n > 0])
                 if len(keys) > FAN_IN:
                     keys[:], numbers[:] = ([v] for v in summed(keys, numbers))
                 yield batch.iloc[lo:hi].assign(text=texts[lo:hi], chunk=number, kind=1, keys=None, n=None)[["chunk", "kind", "doc_id", "no_doc_id", "text", "keys", "n"]]
@@ -356,17 +461,21 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_000, por
     shared = docs.sparkSession.sparkContext.broadcast(best)  # one number for each id of the vocabulary
 
     def run(g: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        t, top, asked = tokenizers(*paths), shared.value, g[g["kind"] == 0]
+        known, asked = segments(*paths), g[g["kind"] == 0]
         keys, counts = summed(list(map(longs, asked["keys"])), list(map(longs, asked["n"])))
         g = g[g["kind"] == 1]
         texts = string_list(g["text"])
+        known.forget()  # other chunks' pairs are not among these
         for lo, hi in portions(texts, portion):
-            x = align_texts(texts[lo:hi], t)
-            n = counts[np.searchsorted(keys, x.keys)]
-            yield pd.DataFrame({
-                "doc_id": exact_longs(g.iloc[lo:hi]).array, "n_a": x.n_a, "n_b": x.n_b, "n_groups": x.n_groups(), "n_links": x.per_text(x.of),
-                "n_best": x.per_text(x.of, (n == top[x.keys >> 32]).astype(np.int64)), "count_sum": x.per_text(x.of, n), "groups": x.groups(t),
-            })
+            x = known.read(texts[lo:hi])
+            used = distinct(x.flat)
+            at, place = known.links(used)
+            n = np.zeros(len(at), np.int64) if not len(at) else counts[np.searchsorted(keys, known.keys[at])]
+            total, best_of = np.zeros((2, len(known.groups)), np.int64)
+            np.add.at(total, used[place], n), np.add.at(best_of, used[place], n == shared.value[known.keys[at] >> 32])
+            each = {"n_a": known.n_a, "n_b": known.n_b, "n_groups": known.n_groups, "n_links": np.diff(known.until), "n_best": best_of, "count_sum": total}
+            groups = [";".join(map(known.groups.__getitem__, c)) for c in x.cut]
+            yield pd.DataFrame({"doc_id": exact_longs(g.iloc[lo:hi]).array, **{k: sums(v[x.flat], x.n) for k, v in each.items()}, "groups": groups})
 
     answers = replies(tables, requests, salts).withColumns({"kind": F.lit(0), "doc_id": F.lit(0).cast("long"), "no_doc_id": F.lit(True)})
     rows = stage.filter("kind = 1").drop("keys", "n").unionByName(answers, allowMissingColumns=True)

@@ -112,12 +112,20 @@ def test_nothing_to_align(spark):
     assert sorted(map(tuple, alignment.align(docs, A, B).collect())) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
 
 
-def test_portions_of_long_texts():
+def test_segments_of_long_texts():
     t, plain = alignment.tokenizers(A, B), Plain()
-    words = "one two  three\n four five's 66 blah▁ x".split(" ")
-    for text in [" ".join(words * 6000).replace("▁", ""), "a" * 150_000, " " * 200_000 + "x", "ab " * 60_000, "中文" * 40_000]:
-        a, b = t.both(text)
-        assert list(a) == plain.a.encode(" " + text, add_special_tokens=False).ids and list(b) == plain.b.encode(text)
+    words = "one two  three\n four five's 66 blah x".split(" ")
+    texts = [" ".join(words * 6000), "a" * 150_000, " " * 200_000 + "x", "ab " * 60_000, "中文" * 40_000, "x \n y\n z", "q ", "a b c d"]
+    for most in (150_000, 3):
+        known = alignment.Segments(t, most)
+        for text in texts * 2:
+            x = known.read([text, "", "low ▁ line", text])
+            a, b = plain.spans(text)
+            assert list(x.n > 0) == [True, False, False, True]
+            assert list(alignment.sums(known.n_a[x.flat], x.n)) == [len(a), 0, 0, len(a)]
+            groups = ";".join(map(known.groups.__getitem__, x.cut[3])).split(";")
+            for side, ids in enumerate((a, b)):
+                assert [int(i) for g in groups for i in g.split("|")[side].split(",")] == [i for i, _ in ids]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 100_000])
