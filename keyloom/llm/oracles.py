@@ -62,4 +62,13 @@ OP8 = """WITH f AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score FROM f q JOIN f c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
-ORACLE_SQL = {"op1_url_filter": OP1, "op4_quality_rules": OP4, "op7_ngram_jaccard_join": OP7, "op8_exact_top_k": OP8}
+OP13 = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+f AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM e),
+s AS (SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, CAST(sum(a.x * o.x) AS BIGINT) AS score FROM f a JOIN f o ON a.i = o.i AND a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0 GROUP BY 1, 2, 3),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+w AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+ FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM w WHERE rank <= 3"""
+
+ORACLE_SQL = {"op1_url_filter": OP1, "op4_quality_rules": OP4, "op7_ngram_jaccard_join": OP7, "op8_exact_top_k": OP8, "op13_hard_negatives": OP13}
