@@ -62,6 +62,13 @@ OP8 = """WITH f AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score FROM f q JOIN f c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
+_five = " + ".join(f"{16 >> i} * CAST(substr(bits, CAST(5 * j + {i + 1} AS INTEGER), 1) AS INTEGER)" for i in range(5))
+OP12 = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex, coalesce(first <> page_id, first IS NOT NULL) AS again, first FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(strpos('0123456789abcdef', substr(hex, CAST(i AS INTEGER), 1)) - 1), 4, '0')), '') AS bits FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_five}, 1)), '') AS payload_digest,
+ CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to FROM b"""
+
 OP13 = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings
  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 f AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM e),
@@ -71,4 +78,4 @@ w AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id,
  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM w WHERE rank <= 3"""
 
-ORACLE_SQL = {"op1_url_filter": OP1, "op4_quality_rules": OP4, "op7_ngram_jaccard_join": OP7, "op8_exact_top_k": OP8, "op13_hard_negatives": OP13}
+ORACLE_SQL = {"op1_url_filter": OP1, "op4_quality_rules": OP4, "op7_ngram_jaccard_join": OP7, "op8_exact_top_k": OP8, "op12_warc": OP12, "op13_hard_negatives": OP13}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import alignment, bpe, chat, jaccard, language, negatives, oracles, packing, quality, token_counts, topk, toxicity, url_filter
+from keyloom.llm import alignment, bpe, chat, jaccard, language, negatives, oracles, packing, quality, token_counts, topk, toxicity, url_filter, warc
 from keyloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,13 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
 
 
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as read back from the archives that hold all pages."""
+    found = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet")).filter("kind = 'record'")
+    return found.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of("refers_to").alias("refers_to"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector for each of its five nearest vectors of its label, a seventh of the labels moved on by one."""
