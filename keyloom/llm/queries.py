@@ -133,8 +133,8 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
 
 @query
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's record as read back from the archives that hold all pages."""
-    found = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet")).filter("kind = 'record'")
+    """Every page's record as read back from the archives that hold all pages, a gzip member per record, as is customary."""
+    found = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"), compress=True).filter("kind = 'record'")
     return found.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of("refers_to").alias("refers_to"))
 
 
