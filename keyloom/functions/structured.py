@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.functions.values import base64_text, is_text, join_chunks
+from keyloom.functions.values import base64_text, is_text, join_chunks, project_field_ttls
 
 PAIRS = "array<struct<field: binary, value: binary>>"
 SCORED = "array<struct<member: binary, score: double>>"
@@ -55,7 +55,8 @@ def to_typed_envelope(records: DataFrame) -> DataFrame:
 
 
 def from_typed_envelope(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records (key, type, ttl_ms and the columns of ``VALUES``) and bad lines (line, reason); blank lines are skipped."""
+    """Records (key, type, ttl_ms and the columns of ``VALUES``) and bad lines (line, reason, and what other columns lines has); blank lines are skipped."""
+    more = [c for c in lines.columns if c != "line"]
     r, kind, value = F.col("r"), F.lower("r.type"), F.col("r.value")
     raw = lines.filter(F.trim("line") != "").withColumn("r", F.from_json("line", LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     raw = raw.withColumns({
@@ -83,7 +84,28 @@ def from_typed_envelope(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     }
     seen = raw.withColumns({"reason": reason, "k": key})
     good = seen.filter("reason is null").select(F.col("k").alias("key"), "r.type", "r.ttl_ms", *(c.alias(n) for n, c in own.items()))
-    return good, seen.filter("reason is not null").select("line", "reason")
+    return good, seen.filter("reason is not null").select("line", "reason", *more)
+
+
+def field_ttl_commands(records: DataFrame, now_ms: Column, strategy: str = "PRESERVE", chunk: int = 1000) -> DataFrame:
+    """(key, seq, argv) that rebuild hashes (key, ttl_ms, fields (field, value, expire_at_ms)) with the expiry of their fields.
+
+    DEL, HSET in chunks, a HEXPIRE in whole seconds, rounded up, for each deadline that fields share (in chunks, too), then
+    PEXPIRE. Fields whose deadline is past are left out; STRIP keeps every field and drops the deadlines.
+    """
+    none = F.array().cast("array<array<string>>")
+    key, live = F.col("key"), project_field_ttls(F.col("fields"), now_ms, strategy)
+    rows = records.select("key", "ttl_ms", live.alias("_f"))
+    cut = lambda items: F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / chunk).cast("int")), lambda i: F.slice(items, i * chunk + 1, chunk))).otherwise(F.array().cast("array<array<struct<field:string,value:string,seconds:bigint>>>"))
+    text = F.transform("_f", lambda f: F.struct(f["field"].cast("string").alias("field"), F.coalesce(f["value"].cast("string"), F.lit("null")).alias("value"), f["seconds"].cast("long").alias("seconds")))
+    rows = rows.withColumn("_f", text)
+    sets = F.transform(cut(F.col("_f")), lambda part: F.concat(F.array(F.lit("HSET"), key), F.flatten(F.transform(part, lambda f: F.array(f["field"], f["value"])))))
+    times = F.array_sort(F.array_distinct(F.filter(F.transform("_f", lambda f: f["seconds"]), lambda s: s.isNotNull())))
+    of = lambda s: cut(F.filter("_f", lambda f: f["seconds"] == s))
+    one = lambda s, part: F.concat(F.array(F.lit("HEXPIRE"), key, s.cast("string"), F.lit("FIELDS"), F.size(part).cast("string")), F.transform(part, lambda f: f["field"]))
+    expire = F.flatten(F.transform(times, lambda s: F.transform(of(s), lambda part: one(s, part))))
+    commands = F.concat(F.array(F.array(F.lit("DEL"), key)), F.when(F.size("_f") > 0, F.concat(sets, expire, expiry(key))).otherwise(none))
+    return rows.select("key", F.posexplode(commands).alias("seq", "argv"))
 
 
 def expiry(key: Column) -> Column:

@@ -38,7 +38,8 @@ ENVELOPE = "key string, key_base64 string, type string, ttl_ms long, value strin
 
 
 def from_envelope(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records and bad lines (line, reason) of a frame with a string column ``line``; blank lines are skipped."""
+    """Records and bad lines (line, reason, and what other columns lines has) of a frame with a string column ``line``; blank lines are skipped."""
+    more = [c for c in lines.columns if c != "line"]
     parsed = lines.filter(F.trim("line") != "").withColumn(
         "r", F.from_json("line", ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     )
@@ -47,7 +48,7 @@ def from_envelope(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     seen = parsed.withColumns({"reason": reason, "k": key})
     value = F.when(F.col("r.base64"), F.unbase64("r.value")).otherwise(F.encode("r.value", "UTF-8"))
     good = seen.filter("reason is null").select(F.col("k").alias("key"), "r.type", "r.ttl_ms", value.alias("value"))
-    return good, seen.filter("reason is not null").select("line", "reason")
+    return good, seen.filter("reason is not null").select("line", "reason", *more)
 
 
 def digest(kind: Column, elements: Column) -> Column:

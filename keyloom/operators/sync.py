@@ -26,22 +26,39 @@ def mapped(records: DataFrame, names: K.KeyNames) -> tuple[DataFrame, DataFrame]
     return good, named.filter("_target is null").select("key", F.lit(COLLIDES).alias("reason"))
 
 
-def upsert(records: DataFrame, target: DataFrame, conflict: str = "OVERWRITE", order: list[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """The new target and an outcome (key, outcome, reason) per key; ``deleted`` records remove it.
+def newest(records: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """One record a key, with these columns: the newest by ``order``; without one, the largest by its columns, which tells repeated rows apart."""
+    if order:
+        return latest_per_key(records, order)[0].select(*columns)
+    rest = [c for c in columns if c != "key"]
+    return records.groupBy("key").agg(F.max(F.struct(*rest)).alias("_r")).select("key", "_r.*").select(*columns)
 
-    Of several records of a key the newest by ``order`` is applied (without an order, one of them).
-    OVERWRITE replaces whole values, SKIP leaves what is there, FAIL reports it. Both sides have the same columns.
-    """
+
+def decided(records: DataFrame, target: DataFrame, conflict: str) -> tuple[DataFrame, DataFrame]:
+    """Which records (one a key) are written, and the outcome (key, outcome, reason) of each."""
     there = target.select("key", F.lit(True).alias("_there")).distinct()
-    newest = latest_per_key(records, list(order) or [*target.columns])[0]
-    met = newest.join(there, "key", "left")
+    met = records.join(there, "key", "left")
     taken = F.col("_there").isNotNull() & (F.col("type") != "deleted")
     outcome = F.lit("success") if conflict == "OVERWRITE" else F.when(taken, "skipped" if conflict == "SKIP" else "failure").otherwise("success")
     met = met.withColumn("outcome", outcome)
-    done = met.filter("outcome = 'success'").drop("_there", "outcome")
-    kept = target.join(done.select("key"), "key", "left_anti")
     reason = F.when(F.col("outcome") == "failure", EXISTS)
-    return kept.unionByName(done.filter("type <> 'deleted'").select(*target.columns)), met.select("key", "outcome", reason.alias("reason"))
+    return met.filter("outcome = 'success'").drop("_there", "outcome"), met.select("key", "outcome", reason.alias("reason"))
+
+
+def upsert(records: DataFrame, target: DataFrame, conflict: str = "OVERWRITE", order: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The new target and an outcome (key, outcome, reason) per key; ``deleted`` records remove it.
+
+    Of several records of a key the newest by ``order`` is applied; without an order they should be equal, and the largest by
+    its columns is. OVERWRITE replaces whole values, SKIP leaves what is there, FAIL reports it. Both sides have the
+    same columns. This computes a whole target; ``buckets.BucketedTarget`` changes the buckets of the records alone.
+    """
+    if order or not any(f.dataType.typeName() in ("map", "variant") for f in target.schema.fields):
+        records = newest(records, list(order), target.columns)
+    else:
+        raise ValueError("records that cannot be compared need an order")
+    done, outcomes = decided(records, target, conflict)
+    kept = target.join(done.select("key"), "key", "left_anti")
+    return kept.unionByName(done.filter("type <> 'deleted'").select(*target.columns)), outcomes
 
 
 def apply_deletes(events: DataFrame, target: DataFrame, names: K.KeyNames = K.KeyNames()) -> tuple[DataFrame, DataFrame]:

@@ -228,7 +228,7 @@ def records_json(spark, sf):
 @query("incremental_cursor", "SELECT CAST(max(o_orderkey) AS VARCHAR) AS cursor FROM orders WHERE o_orderkey > 1000")
 def incremental_cursor(spark, sf):
     _t(spark, sf, "orders").createOrReplaceTempView("_keyloom_orders")
-    return readers.read_incremental(spark, "select * from _keyloom_orders where o_orderkey > ${cursor}", "o_orderkey", "1000")[1]
+    return readers.read_incremental(spark, "select * from _keyloom_orders where o_orderkey > ${cursor} order by o_orderkey", "o_orderkey", "1000")[1]
 
 
 @query("jsonl_roundtrip", """SELECT 'doc:' || CAST(doc_id AS VARCHAR) AS key, 'string' AS type, -1 AS ttl_ms, text AS value FROM documents WHERE text IS NOT NULL""")

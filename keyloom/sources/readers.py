@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyloom.functions import keys as K
+from keyloom.functions.structured import from_typed_envelope
 from keyloom.functions.values import from_envelope
 from keyloom.session import checkpointed
+from keyloom.sources import lines
 
 
 def scan_keys(
@@ -37,22 +41,36 @@ def fetch_values(entries: DataFrame, values: DataFrame) -> tuple[DataFrame, Data
     return records, met.filter("_there is null").select("key", "type"), entries.filter(~core), met.filter("error is not null").select("key", F.col("error").alias("reason"))
 
 
-def read_key_records(spark: SparkSession, path: str, stream: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Records and bad lines of JSON-lines files."""
-    reader = spark.readStream if stream else spark.read
-    return from_envelope(reader.text(path).withColumnRenamed("value", "line"))
+def read_key_records(spark: SparkSession, path: str, stream: bool = False, typed: bool = False, positions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records and bad lines (line, reason, position) of JSON-lines files; with ``typed`` in the columns of ``structured.VALUES``.
+
+    ``position`` is ``file@byte`` of the line. ``positions`` (file, next, see ``lines.read_up_to``) leaves out what was read
+    before. A stream has no positions, as its micro-batches get theirs from ``key_records`` in a foreachBatch.
+    """
+    if stream:
+        return (from_typed_envelope if typed else from_envelope)(lines.raw_lines(spark, path, True).select("line"))
+    return key_records(lines.after(lines.with_positions(lines.raw_lines(spark, path)), positions), typed)
+
+
+def key_records(placed: DataFrame, typed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records and bad lines (line, reason, position) of lines with positions."""
+    named = placed.select("line", F.concat("file", F.lit("@"), F.col("byte").cast("string")).alias("position"))
+    return (from_typed_envelope if typed else from_envelope)(named)
 
 
 def read_incremental(spark: SparkSession, sql: str, cursor_col: str | None, cursor: str = "") -> tuple[DataFrame, DataFrame]:
     """Rows of a query with a ``${cursor}`` token, and the next cursor as one row.
 
-    No rows keep the cursor; without a cursor column the whole query runs each time. The caller stores the
-    cursor after its sink has committed, so a failed run repeats its rows.
+    The token is a parameter of the query, a string, whether it stands in quotes or not. The next cursor is that of the last row
+    in the query's own order, so a query should order by it. No rows keep the cursor; without a cursor column the
+    whole query runs each time. The caller stores the cursor after its sink has committed, so a failed run repeats
+    its rows.
     """
-    rows = checkpointed(spark.sql(sql.replace("${cursor}", cursor.replace("'", "''"))))  # rows and cursor are of one reading
+    asked = spark.sql(re.sub(r"'?\$\{cursor\}'?", ":cursor", sql), args={"cursor": cursor})
+    rows = checkpointed(asked.withColumn("_row", F.monotonically_increasing_id()))  # rows and cursor are of one reading
     if cursor_col is None:
-        return rows, spark.range(1).select(F.lit(cursor).alias("cursor"))
-    return rows, rows.agg(F.coalesce(F.max(cursor_col).cast("string"), F.lit(cursor)).alias("cursor"))
+        return rows.drop("_row"), spark.range(1).select(F.lit(cursor).alias("cursor"))
+    return rows.drop("_row"), rows.agg(F.coalesce(F.max_by(F.col(cursor_col), "_row").cast("string"), F.lit(cursor)).alias("cursor"))
 
 
 def ingest_delimited(spark: SparkSession, path: str, file_type: str = "csv", delimiter: str | None = None, file_filter: str | None = None) -> DataFrame:
@@ -132,10 +150,12 @@ def read_command_log(spark: SparkSession, path: str, positions: DataFrame | None
 def bootstrap_then_follow(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     """Snapshot keys (shard, generation, offset, key) and then changed keys behind the snapshot's offset.
 
-    Only the newest generation of a shard counts; snapshot rows have the lowest sequence.
+    Only the newest generation of a shard counts, of its listing and, if changes have a generation, of its changes, whose
+    offsets begin anew with each; snapshot rows have the lowest sequence. ``streaming.follow`` is the form for streams.
     """
     newest = snapshot.groupBy("shard").agg(F.max_by(F.struct("generation", "offset"), "generation").alias("at"))
     newest = newest.select("shard", F.col("at.generation").alias("_g"), F.col("at.offset").alias("_o"))
     listed = snapshot.join(newest, "shard").filter("generation = _g").select("shard", "key", F.lit(-1).cast("long").alias("seq"))
-    follow = changes.join(newest, "shard", "left").filter("_o is null or offset > _o").select("shard", "key", F.col("offset").alias("seq"))
+    behind = (F.col("offset") > F.col("_o")) & (F.coalesce("generation", "_g") == F.col("_g") if "generation" in changes.columns else F.lit(True))
+    follow = changes.join(newest, "shard", "left").filter(F.col("_o").isNull() | behind).select("shard", "key", F.col("offset").alias("seq"))
     return listed.unionByName(follow)

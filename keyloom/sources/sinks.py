@@ -6,14 +6,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.keys import CORE_TYPES
-from keyloom.functions.values import to_envelope
+from keyloom.functions.structured import VALUES, join_hash_chunks, to_typed_envelope
+from keyloom.functions.values import join_chunks, to_envelope
 
 
-def write_key_records(records: DataFrame, path: str) -> DataFrame:
-    """Write core-typed records as JSON lines, all or nothing; returns the rejected keys with a reason."""
-    core = F.lower("type").isin(*CORE_TYPES, "json")
-    to_envelope(records.filter(core)).write.text(path)
-    return records.filter(~core).select("key", F.concat(F.lit("a backup cannot hold "), F.col("type")).alias("reason"))
+def write_key_records(records: DataFrame, path: str, chunks: DataFrame | None = None) -> DataFrame:
+    """Write core-typed records as JSON lines, all or nothing; returns the rejected keys with a reason.
+
+    records: key, type, ttl_ms and either ``value`` (bytes) or columns of ``structured.VALUES``. ``chunks`` (key, type,
+    ttl_ms, chunk, chunks, and ``fields`` or ``members``) are joined first; keys whose chunks are not all there are rejected.
+    """
+    typed = any(c in VALUES for c in records.columns)
+    rejected = None
+    if chunks is not None:
+        records, rejected = joined(records, chunks)
+    core = F.lower("type").isin(*CORE_TYPES, "json", *(["rejson-rl"] if typed else []))
+    good = records.filter(core)
+    (to_typed_envelope(with_values(good)) if typed else to_envelope(good)).write.text(path)
+    other = records.filter(~core).select("key", F.concat(F.lit("a backup cannot hold "), F.col("type")).alias("reason"))
+    return other if rejected is None else other.unionByName(rejected)
+
+
+def with_values(records: DataFrame) -> DataFrame:
+    """Typed records with every column of ``VALUES``; those they do not have are null."""
+    return records.select("key", "type", "ttl_ms", *(F.col(n) if n in records.columns else F.lit(None).cast(t).alias(n) for n, t in VALUES.items()))
+
+
+def joined(records: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records and what complete chunks make; keys of the others with a reason. Of a repeated chunk the first by its content counts."""
+    parts, failed = [], []
+    for kind, column in (("hash", "fields"), ("list", "members")):
+        if column in chunks.columns:
+            own = chunks.filter(F.lower("type") == kind)
+            done, _, bad = (join_hash_chunks if kind == "hash" else lambda c, *a: join_chunks(c, "members", *a))(own, 10, 10)
+            ttl = own.groupBy("key").agg(F.max("ttl_ms").alias("ttl_ms"))
+            parts.append(with_values(done.join(ttl, "key")))
+            failed.append(bad)
+    out, bad = with_values(records), failed[0]
+    for p in parts:
+        out = out.unionByName(p)
+    for f in failed[1:]:
+        bad = bad.unionByName(f)
+    return out, bad
 
 
 def report(diffs: DataFrame, checked: int, mode: str, trigger: str, examples: int = 100) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from keyloom.functions.keys import KeyNames
 from keyloom.operators import sync
+from keyloom.operators.buckets import BucketedTarget
+from keyloom.operators.flow import Flow
 
 
 def coalesce_changes(changes: DataFrame, delay: str | None = None) -> DataFrame:
@@ -19,71 +21,103 @@ def coalesce_changes(changes: DataFrame, delay: str | None = None) -> DataFrame:
     return changes.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["key"]) if delay else changes.dropDuplicates(["key"])
 
 
-def apply_batch(changed: DataFrame, source: DataFrame, target: DataFrame, names: KeyNames = KeyNames(), types: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+def apply_batch(changed: DataFrame, source: DataFrame, target: DataFrame, names: KeyNames = KeyNames(), types: list[str] = (), hook=None) -> tuple[DataFrame, DataFrame]:
     """One micro-batch: current values of the changed keys go to the target under their target names. (target, failures)."""
-    records, failed = sync.mapped(sync.current_values(changed, source, types), names)
-    return sync.upsert(records, target)[0], failed
+    ready, failed = Flow(hook, names, tuple(types)).prepared(sync.current_values(changed, source, types))
+    return sync.upsert(ready, target)[0], failed
 
 
 def apply_changes(
-    changes: DataFrame, source: Callable[[], DataFrame], read_target: Callable[[], DataFrame], write_target: Callable[[DataFrame, int], None],
-    checkpoint: str, names: KeyNames = KeyNames(), types: list[str] = (), dead: Callable[[DataFrame, int], None] | None = None,
+    changes: DataFrame, source: Callable[[], DataFrame], target: BucketedTarget, checkpoint: str, flow: Flow = Flow(),
+    dead: Callable[[DataFrame, int], None] | None = None, compact: int = 8, **trigger,
 ):
-    """Start the live apply of a stream of changed keys (key).
+    """Start the live apply of a stream of changed keys (key) to a table of buckets; each micro-batch is one commit.
 
-    Whole values are written, so a batch that is replayed after a failure does no harm; the checkpoint
-    moves on only when a batch is written. The caller starts other triggers by its own writer.
+    A batch writes into the buckets of its keys alone. One that is replayed after a failure changes nothing, as its
+    number is in the manifest; the checkpoint moves on only when a batch is written. Buckets with more than
+    ``compact`` deltas are folded. ``trigger`` is that of the stream, all that is there by default.
     """
 
     def batch(df: DataFrame, number: int) -> None:
-        keys = coalesce_changes(df.select("key"))
-        new, failed = apply_batch(keys, source(), read_target(), names, types)
-        write_target(new, number)
-        if dead:
-            dead(failed, number)
+        df = df.persist()
+        try:
+            _, failed = flow.apply_batch(coalesce_changes(df.select("key")), source(), target, number)
+            if dead:
+                dead(failed, number)
+            target.compact(compact)
+        finally:
+            df.unpersist()
 
-    return changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger or {"availableNow": True}).start()
 
 
 class ChunkWait(StatefulProcessor):
-    """Holds the chunks of a key until all are there; gives up when the time to wait is over."""
+    """Holds the chunks of a key until all are there; gives up after so many waits. A later set of the key begins anew.
 
-    def __init__(self, wait_ms: int):
-        self.wait_ms = wait_ms
+    Of the timers of a key the one that ``due`` names counts; others belong to sets that are finished.
+    """
+
+    def __init__(self, wait_ms: int, most: int):
+        self.wait_ms, self.most = wait_ms, most
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.parts = handle.getMapState("parts", "chunk int", "items string, chunks int, type string")
+        self.parts = handle.getMapState("parts", "chunk int", "content string, chunks int, type string")
+        self.waits = handle.getValueState("waits", "n int, due long")
+
+    def wait(self, n: int, now: int) -> None:
+        self.waits.update((n, now + self.wait_ms))
+        self.handle.registerTimer(now + self.wait_ms)
+
+    def clear(self) -> None:
+        self.parts.clear()
+        self.waits.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for b in rows:
             for r in b.itertuples(index=False):
-                if not self.parts.containsKey((int(r.chunk),)):
-                    self.parts.updateValue((int(r.chunk),), (json.dumps(list(r.items)), int(r.chunks), r.type))
+                if not self.parts.containsKey((int(r.chunk),)):  # the first of a repeated chunk counts
+                    content = [[f["field"], f["value"]] for f in r.fields] if r.type == "hash" else list(r.items)
+                    self.parts.updateValue((int(r.chunk),), (json.dumps(content), int(r.chunks), r.type))
         held = {k[0]: v for k, v in self.parts.iterator()}
-        kind, chunks = next(iter(held.values()))[2], next(iter(held.values()))[1]
+        _, chunks, kind = held[min(held)]
         if len(held) == chunks:
-            self.parts.clear()
-            items = [x for i in sorted(held) for x in json.loads(held[i][0])]
-            yield pd.DataFrame({"key": [key[0]], "type": [kind], "items": [items], "reason": [None]})
-        else:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
+            self.clear()
+            content = [x for i in sorted(held) for x in json.loads(held[i][0])]
+            items, fields = (None, [{"field": f, "value": v} for f, v in dict(content).items()]) if kind == "hash" else (content, None)
+            yield pd.DataFrame({"key": [key[0]], "type": [kind], "items": [items], "fields": [fields], "reason": [None]})
+        elif not self.waits.exists():
+            self.wait(0, timerValues.getCurrentProcessingTimeInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = {k[0]: v for k, v in self.parts.iterator()}
-        if held:
-            self.parts.clear()
-            chunks = next(iter(held.values()))[1]
-            yield pd.DataFrame({"key": [key[0]], "type": [None], "items": [None], "reason": [f"only {len(held)} of the key's {chunks} chunks arrived"]})
+        if not self.waits.exists():
+            return
+        n, due = self.waits.get()
+        if expiredTimerInfo.getExpiryTimeInMs() != due:
+            return
+        if n + 1 < self.most:
+            self.wait(n + 1, due)
+            return
+        held = [v for _, v in self.parts.iterator()]
+        self.clear()
+        reason = f"only {len(held)} of the key's {held[0][1]} chunks arrived"
+        yield pd.DataFrame({"key": [key[0]], "type": [None], "items": [None], "fields": [None], "reason": [reason]})
 
     def close(self) -> None:
         pass
 
 
-def await_chunks(chunks: DataFrame, wait_ms: int = 60_000) -> DataFrame:
-    """Whole records, or a reason, of a stream of chunks (key, type, chunk, chunks, items array<string>). Needs the RocksDB state store."""
-    return chunks.groupBy("key").transformWithStateInPandas(
-        ChunkWait(wait_ms), outputStructType="key string, type string, items array<string>, reason string", outputMode="Append", timeMode="ProcessingTime"
+PAIRS = "array<struct<field: string, value: string>>"
+
+
+def await_chunks(chunks: DataFrame, wait_ms: int = 60_000, most: int = 10) -> DataFrame:
+    """Whole records (key, type, items, fields), or a reason, of a stream of chunks (key, type, chunk, chunks, and items array<string> or,
+    of a hash, fields). A set is given up after ``most`` waits of ``wait_ms``. Of a hash's repeated field the last value
+    counts, at its first place. Needs the RocksDB state store."""
+    have = {"items": "array<string>", "fields": PAIRS}
+    rows = chunks.select("key", "type", "chunk", "chunks", *(F.col(n) if n in chunks.columns else F.lit(None).cast(t).alias(n) for n, t in have.items()))
+    return rows.groupBy("key").transformWithStateInPandas(
+        ChunkWait(wait_ms, most), outputStructType=f"key string, type string, items array<string>, fields {PAIRS}, reason string", outputMode="Append", timeMode="ProcessingTime"
     )
 
 
