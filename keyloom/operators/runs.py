@@ -75,3 +75,48 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
     """(run_id, n per outcome) of outcomes (run_id, outcome)."""
     n = lambda k: F.count_if(F.col("outcome") == k).alias(k)
     return outcomes.groupBy("run_id").agg(F.count("*").alias("scanned"), *(n(k) for k in ("success", "skipped", "failure", "dead_letter")))
+
+
+def live_totals(counts: DataFrame, outages: DataFrame, drift: DataFrame, letters: DataFrame, times: DataFrame) -> DataFrame:
+    """One row a run of ``times`` (run_id, started_at, finished_at, in seconds): what its live phase did and met.
+
+    counts (run_id, name, total): counters such as written, skipped, dropped, as columns of one map. outages as ``outages``
+    gives them: disconnects and downtime of those that are over. drift (run_id, severity): critical and advisory ones.
+    letters (run_id, key, reviewed): dead letters that nobody has looked at.
+    """
+    n = lambda test, name: F.count_if(F.coalesce(test, F.lit(False))).alias(name)
+    named = counts.groupBy("run_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "total")))).alias("counters"))
+    down = outages.groupBy("run_id").agg(F.count("*").alias("disconnects"), F.coalesce(F.sum("seconds"), F.lit(0)).alias("downtime"))
+    moved = drift.groupBy("run_id").agg(n(F.col("severity") == "CRITICAL", "critical"), n(F.col("severity") == "ADVISORY", "advisory"))
+    left = letters.groupBy("run_id").agg(n(~F.col("reviewed"), "orphans"))
+    out = times.select("run_id", (F.col("finished_at") - F.col("started_at")).alias("elapsed"))
+    for more in (named, down, moved, left):
+        out = out.join(more, "run_id", "left")
+    return out.fillna(0, ["disconnects", "downtime", "critical", "advisory", "orphans"])
+
+
+def rates(samples: DataFrame, max_quiet: int = 3, timeout: int = 600) -> DataFrame:
+    """``progress`` with rate (target keys gained a second since the sample before), and state ``timed_out`` when nothing was gained for ``timeout`` seconds."""
+    w = Window.partitionBy("run_id").orderBy("ts")
+    seconds = F.unix_timestamp("ts")
+    s = progress(samples, max_quiet).withColumn("_s", seconds - F.lag(seconds).over(w))
+    s = s.withColumn("rate", F.when(F.col("_s") > 0, F.col("gained") / F.col("_s")))
+    moved = F.coalesce(F.last(F.when(F.coalesce(F.col("gained"), F.lit(1)) != 0, seconds), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), seconds)
+    late = (seconds - moved >= timeout) & (F.col("state") != "caught_up")
+    return s.withColumn("state", F.when(late, "timed_out").otherwise(F.col("state"))).drop("_s")
+
+
+def item_sketches(items: DataFrame, most: int = 10_000) -> DataFrame:
+    """run_id, sketch of items (run_id, item): frequent items of each run in at most ``most`` counters, to be kept and merged later."""
+    return items.groupBy("run_id").agg(F.expr(f"approx_top_k_accumulate(item, {int(most)})").alias("sketch"))
+
+
+def frequent_items(sketches: DataFrame, k: int, most: int = 10_000) -> DataFrame:
+    """item, n: the k most frequent items over all runs of ``item_sketches``, by estimates.
+
+    An item's estimate is not below its count nor above it by more than N * 3.5 / most for N items in all (the bound of
+    the frequent-items sketch); as long as all sketches together hold fewer different items than three quarters of
+    ``most``, estimates are exact. Of equal estimates any may come.
+    """
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {int(most)})").alias("sketch"))
+    return merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {int(k)})")).alias("f")).select("f.item", F.col("f.count").alias("n"))

@@ -11,7 +11,7 @@ from keyloom.functions import structured
 from keyloom.functions.keys import KeyNames
 from keyloom.operators.buckets import BucketedTarget
 from keyloom.operators.flow import Flow, record_hook
-from keyloom.plans.queries import SOURCE_KV, TARGET_KV, keyspaces
+from keyloom.plans.queries import DIFFS, SOURCE_KV, TARGET_KV, keyspaces
 from keyloom.plans.registry import query
 from keyloom.session import ensure_checkpoint_dir, ship_package, table
 from keyloom.sources import lines, readers, sinks
@@ -222,3 +222,161 @@ def field_expiry_commands(spark, sf):
     commands = structured.field_ttl_commands(hashes.withColumn("ttl_ms", F.lit(-1).cast("long")), F.lit(10000))
     words = F.concat(F.slice("argv", 1, 1), F.slice("argv", 3, 1 << 20))
     return commands.select("key", "seq", F.array_join(words, " ").alias("line"))
+
+
+# ---- advice from facts to a way to copy, in one job
+
+FACTS_SQL = """f AS (SELECT s_suppkey AS k, CASE s_suppkey % 2 WHEN 0 THEN 'redis' ELSE 'valkey' END AS family, 5 + s_suppkey % 5 AS major, s_suppkey % 3 * 2 AS minor, s_suppkey % 5 = 0 AS clustered, s_suppkey % 6 = 0 AS managed,
+ s_suppkey % 11 <> 0 AS known, s_suppkey % 4 <> 0 AS new_target, s_suppkey % 4 AS target_keys, s_suppkey % 10 AS used, CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE 8 END AS target_max, s_suppkey * 100000 AS keys,
+ CASE WHEN s_suppkey % 7 = 0 THEN 2 ELSE 0 END AS functions, CASE s_suppkey % 8 WHEN 0 THEN 'graph' WHEN 1 THEN 'search' WHEN 2 THEN 'rejson' WHEN 3 THEN 'bf' WHEN 4 THEN 'custom' WHEN 5 THEN 'vectorset' END AS module,
+ CASE WHEN s_suppkey % 23 = 0 THEN 2 ELSE 0 END AS indexes, s_suppkey % 9 = 0 AS aof, s_suppkey % 3 = 0 AS events, s_suppkey % 13 = 0 AS blocked, s_suppkey % 17 = 0 AS cerr, s_suppkey % 19 = 0 AS aerr, s_suppkey % 2 = 0 AS cache, s_suppkey % 29 = 0 AS same,
+ s_suppkey % 7 IN (1, 2) AS limited FROM supplier),
+cmd AS (SELECT l_suppkey AS k, ['eval', 'ts.add', 'client|tracking', 'hello', 'hexpire', 'get', 'other', 'config|set'][l_suppkey % 7 + l_partkey % 2 + 1] AS c FROM lineitem GROUP BY 1, 2),
+typ AS (SELECT l_suppkey AS k, ['string', 'hash', 'rejson-rl', 'mbbloom--', 'topk-type', 'strange'][l_suppkey % 5 + l_linenumber % 2 + 1] AS t FROM lineitem GROUP BY 1, 2),
+c AS (SELECT f.*, family = 'redis' AND major < 8 OR family = 'valkey' AND major < 8 AS known_format, family = 'redis' AND (major, minor) >= (7, 4) AS field_ttl,
+ family = 'redis' AND (major, minor) >= (7, 2) AND (major, minor) < (7, 4) OR FALSE AS fmt11, family = 'redis' AND (major, minor) >= (7, 4) AND major < 8 AS fmt12,
+ EXISTS (SELECT 1 FROM cmd WHERE cmd.k = f.k AND c = 'client|tracking') AS tracking, EXISTS (SELECT 1 FROM cmd WHERE cmd.k = f.k AND c = 'hello') AS hello, EXISTS (SELECT 1 FROM cmd WHERE cmd.k = f.k AND c = 'hexpire') AS hexpire,
+ EXISTS (SELECT 1 FROM typ WHERE typ.k = f.k AND t = 'rejson-rl') AS json, EXISTS (SELECT 1 FROM typ WHERE typ.k = f.k AND t = 'topk-type') AS topk, EXISTS (SELECT 1 FROM typ WHERE typ.k = f.k AND t = 'mbbloom--') AS bloom, managed OR blocked AS closed FROM f)"""
+FINDINGS_SQL = """g AS (SELECT k, 'action' AS s, [1, 2, 3] AS p FROM c WHERE NOT known UNION ALL SELECT k, 'check', [1, 2, 3] FROM c WHERE known AND NOT new_target UNION ALL SELECT k, 'check', [2, 3] FROM c WHERE target_keys > 0
+UNION ALL SELECT k, CASE WHEN family = 'valkey' AND major >= 9 AND NOT new_target THEN 'action' ELSE 'check' END, [2] FROM c WHERE NOT known_format UNION ALL SELECT k, 'info', [2] FROM c WHERE known_format
+UNION ALL SELECT k, 'info', [2] FROM c WHERE fmt12 AND clustered UNION ALL SELECT k, 'info', [1, 2, 3] FROM c WHERE family = 'valkey' AND major < 8 UNION ALL SELECT k, 'check', [1, 2, 3] FROM c WHERE cerr UNION ALL SELECT k, 'action', [1, 2, 3] FROM c WHERE functions > 0
+UNION ALL SELECT k, CASE module WHEN 'graph' THEN 'stop' WHEN 'rejson' THEN 'info' WHEN 'custom' THEN 'action' ELSE 'check' END, [1, 2, 3] FROM c WHERE module <> 'vectorset'
+UNION ALL SELECT k, 'action', [1, 2, 3] FROM c WHERE limited UNION ALL SELECT k, 'check', [1, 2, 3] FROM c WHERE NOT limited AND aerr UNION ALL SELECT k, CASE WHEN hello THEN 'check' ELSE 'action' END, [1, 2, 3] FROM c WHERE tracking
+UNION ALL SELECT k, 'action', [1, 2, 3] FROM c WHERE tracking AND known AND NOT new_target UNION ALL SELECT k, 'check', [1, 2, 3] FROM c WHERE clustered UNION ALL SELECT k, 'check', [3] FROM c WHERE clustered UNION ALL SELECT k, 'check', [1, 2, 3] FROM c WHERE aof
+UNION ALL SELECT k, 'check', [3] FROM c WHERE managed UNION ALL SELECT k, 'check', [3] FROM c WHERE blocked UNION ALL SELECT k, 'action', [3] FROM c WHERE NOT blocked AND NOT events UNION ALL SELECT k, 'info', [3] FROM c UNION ALL SELECT k, 'stop', [2, 3] FROM c WHERE target_max > 0 AND used > target_max
+UNION ALL SELECT k, CASE t WHEN 'rejson-rl' THEN 'info' WHEN 'strange' THEN 'action' ELSE 'check' END, CASE WHEN t IN ('rejson-rl', 'strange') THEN [1, 2, 3] ELSE [2, 3] END FROM typ WHERE t NOT IN ('string', 'hash')
+UNION ALL SELECT k, CASE c WHEN 'ts.add' THEN 'stop' ELSE 'check' END, [1, 2, 3] FROM cmd WHERE c IN ('eval', 'ts.add') UNION ALL SELECT k, 'action', [1, 2, 3] FROM cmd WHERE c IN ('hexpire', 'hello', 'other') GROUP BY k)"""
+ADVICE_SQL = f"""WITH {FACTS_SQL}, {FINDINGS_SQL}, n AS (SELECT k, count(*) FILTER (s = 'stop') AS stop, count(*) FILTER (s = 'action') AS action, count(*) FILTER (s = 'check') AS "check", count(*) FILTER (s = 'info') AS info FROM g GROUP BY k),
+w AS (SELECT k, p, max(CASE s WHEN 'stop' THEN 3 WHEN 'action' THEN 2 WHEN 'check' THEN 1 ELSE 0 END) AS r FROM (SELECT k, s, unnest(p) AS p FROM g) GROUP BY 1, 2),
+e AS (SELECT c.k, cache, x.p, coalesce(r, 0) AS r, CASE WHEN cache THEN x.p ELSE (x.p + 1) % 3 END AS o FROM c, (VALUES (1), (2), (3)) x(p) LEFT JOIN w ON w.k = c.k AND w.p = x.p),
+b AS (SELECT k, coalesce(min_by(p, o) FILTER (r = 0), min_by(p, o) FILTER (r < 3)) AS pattern, bool_or(r = 0) AS ready, string_agg(r, '' ORDER BY p) AS statuses FROM e GROUP BY k),
+t AS (SELECT k, cache, clustered, closed, same, keys, bloom, CAST(same AS INT) + CAST(family = 'redis' AND major >= 8 OR major >= 9 AS INT) + CAST(hexpire AND field_ttl AS INT) + CAST(json OR coalesce(module, '') = 'rejson' AS INT) + CAST(topk AS INT)
+ + CAST(indexes > 0 AS INT) + CAST(NOT cache AS INT) + CAST(clustered AS INT) + CAST(keys >= 5000000 AS INT) + CAST(bloom AND NOT same AS INT) AS typed,
+ CAST(topk AS INT) + CAST(NOT same AS INT) AS limits, CAST(bloom AND NOT same AS INT) + CAST(target_keys > 0 AS INT) + CAST(closed AND NOT same AS INT) AS checks FROM c)
+SELECT t.k AS source, stop, action, "check", info, statuses, pattern, ready, CASE WHEN typed > 0 THEN 'typed' WHEN cache AND NOT (bloom AND NOT same) THEN 'payload' ELSE 'any' END AS tool,
+ CASE WHEN typed > 0 THEN CASE WHEN cache THEN 'once' WHEN same THEN 'passes' WHEN clustered AND NOT closed THEN 'log' ELSE 'events' END END AS way, typed,
+ limits + CAST(NOT (cache AND typed = 0 AND NOT (bloom AND NOT same)) AND keys >= 1000000 AS INT) AS limits, checks FROM t JOIN n ON n.k = t.k JOIN b ON b.k = t.k"""
+
+
+def fleet(spark, sf):
+    """Measures of suppliers that stand for sources, and the commands and rules that findings need."""
+    from keyloom.operators import advice
+
+    s, k = table(spark, sf, "supplier"), F.col("s_suppkey")
+    pick = lambda names, n: F.element_at(F.array(*(F.lit(x) for x in names)), (n + 1).cast("int"))
+    facts = s.select(
+        k.alias("source"), pick(("redis", "valkey"), k % 2).alias("family"), F.concat_ws(".", (5 + k % 5).cast("string"), (k % 3 * 2).cast("string"), F.lit("0")).alias("version"),
+        F.when(k % 5 == 0, "cluster").otherwise("single").alias("mode"), F.when(k % 6 == 0, "c1.cache.amazonaws.com").otherwise("10.0.0.1").alias("host"), (k % 11 != 0).alias("target_known"),
+        F.when(k % 4 != 0, "2.1.0").otherwise("1.13.0").alias("target_version"), (k % 4).alias("target_keys"), (k % 10).alias("used"), F.when(k % 3 == 0, 0).otherwise(8).alias("target_max"), (k * 100000).alias("keys"),
+        F.when(k % 7 == 0, 2).otherwise(0).alias("functions"), F.array_compact(F.array(pick(("graph", "search", "rejson", "bf", "custom", "vectorset", None, None), k % 8))).alias("modules"),
+        F.when(k % 23 == 0, 2).otherwise(0).alias("indexes"), (k % 9 == 0).alias("aof"), pick(("AE", "KEg$", None), k % 3).alias("notify"), (k % 13 == 0).alias("config_blocked"), (k % 17 == 0).alias("command_error"),
+        (k % 19 == 0).alias("acl_error"), F.when(k % 2 == 0, "allkeys-lru").otherwise("noeviction").alias("policy"), (k % 29 == 0).alias("same_engine"),
+    )
+    item, sup = table(spark, sf, "lineitem"), F.col("l_suppkey")
+    counts = lambda name, c: item.groupBy(sup.alias("source"), c.alias(name)).agg(F.count("*").alias("n"))
+    commands = counts("command", pick(("eval", "ts.add", "client|tracking", "hello", "hexpire", "get", "other", "config|set"), sup % 7 + F.col("l_partkey") % 2))
+    types = counts("type", pick(("string", "hash", "ReJSON-RL", "MBbloom--", "TopK-TYPE", "strange"), sup % 5 + F.col("l_linenumber") % 2))
+    acls = s.select(k.alias("source"), F.lit("u").alias("user"), pick(("on ~* &* +@all", "on ~app:* +@all", "on ~* (+get ~x)", "on ~* +@all", "on ~* +@all", "off", "on ~* &* +get"), k % 7).alias("rule"))
+    formats = [(f, v, n) for f, v, n in (("redis", "3.2.0", "7"), ("redis", "4.0.0", "8"), ("redis", "5.0.0", "9"), ("redis", "7.0.0", "10"), ("redis", "7.2.0", "11"), ("redis", "7.4.0", "12"), ("redis", "8.0.0", None), ("valkey", "0.0.0", "11"), ("valkey", "8.0.0", None))]
+    ranges = spark.createDataFrame(formats, "family string, from_version string, format string")
+    rules = spark.createDataFrame([("exact", 1, "eval", "lua", "check"), ("prefix", 2, "ts.", "series", "stop")], "kind string, position int, pattern string, title string, severity string")
+    wide = advice.measures(facts, commands, types, acls, ranges)
+    found = advice.findings(wide, commands, rules, spark.createDataFrame([("get",), ("eval",)], "command string"), ["client", "config"])
+    return wide, found
+
+
+@query("advice", ADVICE_SQL)
+def advice_of_sources(spark, sf):
+    """From facts to findings, statuses, a pattern and a way to copy, for every source."""
+    from keyloom.operators import advice, assess
+
+    got = advice.advise(*fleet(spark, sf))
+    rank = {s: n for n, s in assess.STATUS.items()}
+    number = F.create_map(*(F.lit(x) for s, n in rank.items() for x in (s, str(n))))
+    statuses = F.array_join(F.transform(F.array(*map(F.lit, (1, 2, 3))), lambda p: number[F.col("statuses")[p]]), "").alias("statuses")
+    return got.select("source", "stop", "action", "check", "info", statuses, "pattern", "ready", "tool", "way", F.size("typed").alias("typed"), F.size("limits").alias("limits"), F.size("checks").alias("checks"))
+
+
+@query("advice_titles", f"""WITH {FACTS_SQL} SELECT k AS source, 'the target already holds ' || target_keys || ' keys' AS title FROM c WHERE target_keys > 0 UNION ALL SELECT k, used || ' bytes do not fit into ' || target_max FROM c WHERE target_max > 0 AND used > target_max
+UNION ALL SELECT k, 'key events are ''' || CASE k % 3 WHEN 1 THEN 'KEg$' ELSE 'none' END || '''' FROM c WHERE NOT blocked AND NOT events UNION ALL SELECT k, 'snapshots have format ' || CASE WHEN family = 'valkey' THEN '11' WHEN major < 7 THEN '9' WHEN minor < 2 THEN '10' WHEN minor < 4 THEN '11' ELSE '12' END FROM c WHERE known_format
+UNION ALL SELECT k, 'the type strange is not known' FROM typ WHERE t = 'strange' UNION ALL SELECT k, 'the target lacks ' || string_agg(c, ', ' ORDER BY c) FROM cmd WHERE c IN ('hexpire', 'hello', 'other') GROUP BY k""")
+def advice_titles(spark, sf):
+    """Findings whose text has measures in it."""
+    found = fleet(spark, sf)[1]
+    return found.filter(F.col("title").rlike("holds|do not fit|key events are|have format|is not known$|target lacks") & ~F.col("title").rlike("^the snapshot")).select("source", "title")
+
+
+# ---- passes, totals, frequent items
+
+
+@query("differential_pass", DIFFS + " SELECT key, reason FROM d WHERE reason IS NOT NULL")
+def differential_pass(spark, sf):
+    """The differences of a full pass, from the buckets of keys that do not agree."""
+    from keyloom.operators import passes
+
+    return passes.differential_pass(*keyspaces(spark, sf), buckets=8192)[0]
+
+
+PASSES = "p AS (SELECT user_id AS run_id, event_id AS started_at, CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN NULL ELSE event_id + 5 END AS finished_at, CASE WHEN event_id % 2 = 0 THEN 'FULL' ELSE 'SAMPLE' END AS mode FROM events WHERE event_type IN ('click', 'error'))"
+
+
+@query("passes_due", f"""WITH {PASSES}, n AS (SELECT DISTINCT user_id AS run_id, (SELECT max(event_id) FROM events) + 100 AS now FROM events),
+l AS (SELECT run_id, max(started_at) FILTER (mode = 'FULL') AS f, max(finished_at) AS e, max(mode) FILTER (finished_at IS NULL) AS running FROM p GROUP BY run_id),
+a AS (SELECT user_id AS run_id, max(event_id) AS at FROM events LEFT JOIN l ON l.run_id = user_id WHERE event_type = 'signup' AND (f IS NULL OR event_id >= f) GROUP BY 1),
+m AS (SELECT n.run_id, a.run_id IS NOT NULL AND coalesce(running, '') <> 'FULL' AS wanted, a.run_id IS NULL AND running IS NULL AND (e IS NULL OR now - e >= 200) AS idle, a.at FROM n LEFT JOIN l USING (run_id) LEFT JOIN a USING (run_id))
+SELECT run_id, CASE WHEN wanted THEN 'FULL' ELSE 'SAMPLE' END AS mode, CASE WHEN wanted THEN 'a size drop at ' || CAST(at AS VARCHAR) ELSE 'schedule' END AS trigger FROM m WHERE wanted OR idle""")
+def passes_due(spark, sf):
+    """Which runs begin a pass: signups stand for size drops, clicks and errors for passes."""
+    from keyloom.operators import passes
+
+    e, at = table(spark, sf, "events"), F.col("event_id")
+    past = e.filter("event_type in ('click', 'error')").select(
+        F.col("user_id").alias("run_id"), at.alias("started_at"), F.when((F.col("event_type") == "error") & (at % 3 == 0), None).otherwise(at + 5).alias("finished_at"), F.when(at % 2 == 0, "FULL").otherwise("SAMPLE").alias("mode"),
+    )
+    asked = e.filter("event_type = 'signup'").select(F.col("user_id").alias("run_id"), at.alias("at"), F.concat(F.lit("a size drop at "), at.cast("string")).alias("trigger"))
+    now = e.agg(F.max("event_id").alias("m")).first()["m"] + 100
+    return passes.pass_due(past, asked, e.select(F.col("user_id").alias("run_id")).distinct().withColumn("now", F.lit(now)), 200)
+
+
+@query("live_totals", """WITH e AS (SELECT user_id % 7 AS run_id, * FROM events), c AS (SELECT run_id, event_type AS name, count(*) AS total FROM e GROUP BY 1, 2),
+s AS (SELECT run_id, ts, event_id, CASE event_type WHEN 'error' THEN 'down' ELSE 'up' END AS state FROM e WHERE event_type IN ('error', 'click')), x AS (SELECT *, lag(state) OVER (PARTITION BY run_id ORDER BY ts, event_id) AS was FROM s),
+y AS (SELECT *, lead(ts) OVER (PARTITION BY run_id ORDER BY ts, event_id) AS up_at FROM x WHERE was IS NULL OR was <> state), o AS (SELECT run_id, count(*) AS disconnects, coalesce(sum(CAST(floor(epoch(up_at)) - floor(epoch(ts)) AS BIGINT)), 0) AS downtime FROM y WHERE state = 'down' GROUP BY 1)
+SELECT r.run_id, CAST(r.last - r.first AS BIGINT) AS elapsed, k.written, o.disconnects, CAST(o.downtime AS BIGINT) AS downtime, k.critical, k.advisory, k.orphans FROM (SELECT run_id, min(event_id) AS first, max(event_id) AS last FROM e GROUP BY 1) r
+JOIN o USING (run_id) JOIN (SELECT run_id, count(*) FILTER (event_type = 'view') AS written, count(*) FILTER (event_type = 'purchase') AS critical, count(*) FILTER (event_type = 'signup') AS advisory, count(*) FILTER (event_type = 'error' AND event_id % 2 = 1) AS orphans FROM e GROUP BY 1) k USING (run_id)""")
+def live_totals(spark, sf):
+    """What the live phase of each run did and met, from its logs."""
+    from keyloom.operators import runs
+
+    e, kind = table(spark, sf, "events").withColumn("run_id", F.col("user_id") % 7), F.col("event_type")
+    counts = e.groupBy("run_id", kind.alias("name")).agg(F.count("*").alias("total"))
+    log = e.filter("event_type in ('error', 'click')").select("run_id", "ts", F.col("event_id").alias("seq"), F.when(kind == "error", "down").otherwise("up").alias("state"))
+    moved = e.select("run_id", F.when(kind == "purchase", "CRITICAL").when(kind == "signup", "ADVISORY").otherwise("NONE").alias("severity"))
+    letters = e.filter("event_type = 'error'").select("run_id", F.col("event_id").alias("key"), (F.col("event_id") % 2 == 0).alias("reviewed"))
+    times = e.groupBy("run_id").agg(F.min("event_id").alias("started_at"), F.max("event_id").alias("finished_at"))
+    got = runs.live_totals(counts, runs.outages(log), moved, letters, times)
+    return got.select("run_id", "elapsed", F.col("counters")["view"].alias("written"), "disconnects", "downtime", "critical", "advisory", "orphans")
+
+
+@query("frequent_items", "SELECT l_returnflag || l_linestatus || '/' || CAST(l_linenumber AS VARCHAR) AS item, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC LIMIT 12")
+def frequent_items(spark, sf):
+    """The most frequent items over ten runs, from a sketch of each; with fewer different items than counters estimates are exact."""
+    from keyloom.operators import runs
+
+    item = F.concat("l_returnflag", "l_linestatus", F.lit("/"), F.col("l_linenumber").cast("string"))
+    return runs.frequent_items(runs.item_sketches(table(spark, sf, "lineitem").select((F.col("l_orderkey") % 10).alias("run_id"), item.alias("item")), 1000), 12, 1000)
+
+
+@query("copy_rates", """WITH h AS (SELECT date_trunc('hour', ts) AS ts, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1), s AS (SELECT ts, sum(n) OVER (ORDER BY ts) AS target, (SELECT count(*) FROM events) AS source FROM h),
+g AS (SELECT *, target - lag(target) OVER (ORDER BY ts) AS gained, CAST(epoch(ts) - epoch(lag(ts) OVER (ORDER BY ts)) AS BIGINT) AS s FROM s)
+SELECT ts, CAST(target AS BIGINT) AS target, CASE WHEN s > 0 THEN gained / CAST(s AS DOUBLE) END AS rate, CASE WHEN target >= source THEN 'caught_up' ELSE 'copying' END AS state FROM g""")
+def copy_rates(spark, sf):
+    """Keys a second of a copy that is sampled by the hour."""
+    from pyspark.sql import Window
+
+    from keyloom.operators import runs
+
+    e = table(spark, sf, "events")
+    total = e.agg(F.count("*").alias("n")).first()["n"]
+    hourly = e.filter("event_type <> 'error'").groupBy(F.date_trunc("hour", "ts").alias("ts")).agg(F.count("*").alias("n"))  # a row an hour
+    samples = hourly.select(F.lit(1).alias("run_id"), "ts", F.sum("n").over(Window.orderBy("ts")).alias("target"), F.lit(total).alias("source"))
+    return runs.rates(samples, 3, 10**9).select("ts", "target", "rate", "state")
