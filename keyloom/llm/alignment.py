@@ -150,7 +150,7 @@ class Segments(dict):
     ends; a text that holds such a word is cut by ``SEAM``, and its segments have their blank in front.
     """
 
-    def __init__(self, t: Tokenizers, most: int = 250_000, characters: int = 4_000_000):
+    def __init__(self, t: Tokenizers, most: int = 150_000, characters: int = 4_000_000):
         self.t, self.most, self.characters = t, most, characters
         self.forget()
 
@@ -431,7 +431,7 @@ def counted(docs: DataFrame, paths: tuple[str, str], chunk: int, portion: int, p
     return stage, requests, count_tables(requests, shards, salts), salts
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_000, portion: int = 1_000_000, per_shard: int = 1 << 18) -> DataFrame:
+def pair_counts(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_000, portion: int = 500_000, per_shard: int = 1 << 18) -> DataFrame:
     """a, b, n_docs: every linked pair of ids and the number of documents that hold it. Cases as in ``align``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -442,7 +442,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_00
     return counted(docs, (a_path, b_path), chunk, portion, per_shard)[2].select("keys", "counts").mapInPandas(run, "a long, b long, n_docs long")
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_000, portion: int = 1_000_000, per_shard: int = 1 << 18) -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_000, portion: int = 500_000, per_shard: int = 1 << 18) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups: a row for every row of docs (doc_id, text).
 
     A is the byte-level vocabulary of ``a_path``, B the piece model of ``b_path``; both encode a blank and the
@@ -465,7 +465,6 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_000, por
         keys, counts = summed(list(map(longs, asked["keys"])), list(map(longs, asked["n"])))
         g = g[g["kind"] == 1]
         texts = string_list(g["text"])
-        known.forget()  # other chunks' pairs are not among these
         for lo, hi in portions(texts, portion):
             x = known.read(texts[lo:hi])
             used = distinct(x.flat)

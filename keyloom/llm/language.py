@@ -25,6 +25,7 @@ from keyloom.llm.common import exact, exact_longs, few, row_key, string_list, wr
 
 BUCKETS = 1 << 15
 UNIFORM = -float(np.log(BUCKETS))
+CODE = r"^[A-Za-z]{2,3}([-_][A-Za-z0-9]{2,8})*$"
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -150,18 +151,22 @@ def judged(
 ) -> DataFrame:
     """row, doc_id, language, posterior, text_language, kept: a row for every row of docs.
 
-    ``languages`` defaults to those that at least ``share`` of the declaring rows declare, of which there can
-    be 1 / share at most; texts in any other are "none of these". The text model is fitted on at most ``most``
+    ``languages``, which get a text model, default to those that at least ``share`` of the declaring rows declare, of which there
+    can be 1 / share at most; if none is declared so often, to the 1 / share most declared ones. A row that declares
+    another language, by something that looks like a language's code, is of that language if its text is "none of these":
+    no language is rejected because it is rare. Where ``languages`` are given, all others are "none of these". The text model is fitted on at most ``most``
     rows, the first by a hash of doc_id. Kept are rows with a letter
     whose best language has a posterior of ``least`` or more; a text without letters, or whose best
-    hypothesis is "none of these", is "und" and not kept. Null declarations and hosts are no evidence;
+    hypothesis is "none of these" and that declares no other language, is "und" and not kept. Null declarations and hosts are no evidence;
     unknown declarations count as one other value. Ties go to the first language by name. Repeated rows are
     judged alike, an empty table gives no rows, and other columns of docs do not matter.
     """
-    if languages is None:
+    given = languages is not None
+    if not given:
         named = docs.filter(f"trim({declared}) <> ''").groupBy(declared).count()
-        enough = share * (named.agg(F.sum("count")).first()[0] or 0)
-        languages = sorted(r[0] for r in named.filter(F.col("count") >= enough).collect())  # 1 / share rows at most
+        enough, most_named = share * (named.agg(F.sum("count")).first()[0] or 0), int(1 / share)
+        often = named.filter(F.col("count") >= enough).collect() or named.orderBy(F.desc("count"), declared).limit(most_named).collect()
+        languages = sorted(r[0] for r in often)  # 1 / share rows at most
     if not languages:
         return docs.select(row_key("doc_id", "text", declared, host).alias("row"), F.col("doc_id").cast("long"), F.lit("und").alias("language"), F.lit(0.0).alias("posterior"), F.lit("und").alias("text_language"), F.lit(False).alias("kept"))
     names, k = F.array(*map(F.lit, languages), F.lit("und")), len(languages) + 1  # the last one is "none of these"
@@ -185,15 +190,15 @@ def judged(
             trust[r["said"], r["best"] - 1] += r["apart"]
     trust, root = np.log(trust / trust.sum(axis=0)), root / root.sum()
 
-    vector = lambda name: [F.sum(F.when(F.col("best") == i + 1, F.col("n")).otherwise(0)).alias(f"{name}{i}") for i in range(k)]
-    smooth = lambda own, parent: F.array(*((F.col(f"{own}{i}") + strength * parent[i]) / (sum((F.col(f"{own}{j}") for j in range(k)), F.lit(0.0)) + strength) for i in range(k)))
-    by_suffix = counts.groupBy("suffix").agg(*vector("s")).select("suffix", smooth("s", [F.lit(float(x)) for x in root]).alias("of_suffix"))
-    by_host = counts.filter("host is not null").groupBy("suffix", "host").agg(*vector("h")).join(by_suffix, "suffix")
-    by_host = by_host.select("host", smooth("h", [F.col("of_suffix")[i] for i in range(k)]).alias("prior"))
+    of_language = [F.sum(F.when(F.col("best") == i + 1, F.col("n")).otherwise(0)).alias(f"_{i}") for i in range(k)]
+    counted = lambda by: counts.filter(F.col(by[-1]).isNotNull()).groupBy(*by).agg(F.sum("n").alias("_n"), *of_language).select(*by, "_n", F.array(*(F.col(f"_{i}") for i in range(k))).alias("_own"))
+    smooth = lambda parent: F.zip_with("_own", parent, lambda x, p: (x + strength * p) / (F.col("_n") + strength))
+    base = F.array(*(F.lit(float(x)) for x in root))
+    by_suffix = counted(["suffix"]).select("suffix", smooth(base).alias("of_suffix"))
+    by_host = counted(["suffix", "host"]).join(by_suffix, "suffix").select("host", smooth(F.col("of_suffix")).alias("prior"))
 
     logs = F.array(*(F.array(*map(F.lit, map(float, row))) for row in trust))
     said = F.element_at(logs, F.col("said") + 1)
-    base = F.array(*(F.lit(float(x)) for x in root))
     joined = seen.join(by_host, "host", "left")
     total = F.transform(
         F.col("loglik"),
@@ -201,11 +206,13 @@ def judged(
     )
     top = F.array_max("total")
     scored = joined.withColumn("total", total).select(
-        "row", "doc_id", "grams", F.element_at(names, F.array_position("total", top).cast("int")).alias("language"),
+        "row", "doc_id", "grams", "declared", F.element_at(names, F.array_position("total", top).cast("int")).alias("language"),
         (1 / F.aggregate(F.transform("total", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)).alias("posterior"),
         F.element_at(names, F.col("best")).alias("text_language"),
     )
     some = F.col("grams") > 0
+    rare = F.lit(False) if given else F.coalesce(~F.col("declared").isin(languages) & (F.lower("declared") != "und") & F.col("declared").rlike(CODE), F.lit(False))
+    scored = scored.withColumn("language", F.when((F.col("language") == "und") & rare, F.col("declared")).otherwise(F.col("language")))
     return scored.select(
         "row", "doc_id", F.when(some, F.col("language")).otherwise("und").alias("language"), F.when(some, F.col("posterior")).otherwise(0.0).alias("posterior"),
         F.coalesce("text_language", F.lit("und")).alias("text_language"), (some & (F.col("language") != "und") & (F.col("posterior") >= least)).alias("kept"),

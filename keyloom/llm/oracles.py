@@ -11,8 +11,9 @@ OP1 = r"""WITH RECURSIVE p AS (SELECT page_id, url, html,
   CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
   CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) END AS rest FROM pages),
 n AS (SELECT *, CASE WHEN rest IS NOT NULL THEN host || rest END AS node FROM p),
-t AS (SELECT *, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS link FROM n WHERE node IS NOT NULL
- UNION ALL SELECT *, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM n WHERE node IS NOT NULL),
+g AS (SELECT *, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')) AS tag, 'href' AS name FROM n WHERE node IS NOT NULL
+ UNION ALL SELECT *, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')), 'url' FROM n WHERE node IS NOT NULL),
+t AS (SELECT *, regexp_extract(tag, CASE name WHEN 'href' THEN '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)' ELSE '(?is)\burl\s*=\s*["'']?([^"''\s>]+)' END, 1) AS link FROM g),
 a AS (SELECT node, replace(link, '&amp;', '&') AS link, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS origin, regexp_extract(url, '(?s)^(.*?:)//', 1) AS scheme, regexp_replace(path, '[^/]*$', '') AS folder FROM t WHERE link <> ''),
 b AS (SELECT node, CASE WHEN strpos(link, '://') > 0 THEN link WHEN starts_with(link, '//') THEN scheme || link WHEN starts_with(link, '/') THEN origin || link
   ELSE origin || CASE folder WHEN '' THEN '/' ELSE folder END || link END AS link FROM a),

@@ -36,6 +36,48 @@ def grams_of(word: str, sizes: tuple[int, int]) -> set[str]:
     return {w[i : i + n] for n in range(sizes[0], sizes[1] + 1) for i in range(len(w) - n + 1)}
 
 
+LONG = 1000  # characters: longer words are not remembered, nor all their n-grams held at once
+AT_ONCE = 200_000  # n-grams of a text that are told apart at once
+
+
+def slid(word: str, sizes: tuple[int, int]) -> Iterator[str]:
+    """All n-grams of a word, one by one."""
+    w = f"\x02{word}\x03"
+    return (w[i : i + n] for n in range(sizes[0], sizes[1] + 1) for i in range(len(w) - n + 1))
+
+
+def distinct_grams(words: set[str], sizes: tuple[int, int]) -> Iterator[set[str]]:
+    """The n-grams of a text's words, each once, in parts of a bounded size: by classes of a hash if there are many."""
+    if sum(map(len, words)) <= AT_ONCE:
+        yield {g for w in words for g in grams_of(w, sizes)}
+        return
+    long = [f"\x02{w}\x03" for w in words if len(w) > LONG]
+    letters = [np.frombuffer(w.encode("utf-32-le", "surrogatepass"), np.uint32) for w in long]
+    short = [w for w in words if len(w) <= LONG]
+    classes = -(-(sizes[1] - sizes[0] + 1) * sum(map(len, words)) // AT_ONCE)
+    for part in range(classes):
+        found: set[str] = set()
+        for w in short:
+            found.update(g for g in slid(w, sizes) if mixed_letters(np.frombuffer(g.encode("utf-32-le", "surrogatepass"), np.uint32), len(g))[0] % classes == part)
+        for w, a in zip(long, letters, strict=True):
+            for n in range(sizes[0], sizes[1] + 1):
+                for lo in range(0, max(0, len(a) - n + 1), 1 << 20):
+                    h = mixed_letters(a[lo : lo + (1 << 20) + n - 1], n)
+                    at = np.flatnonzero(h % np.uint64(classes) == part)
+                    _, first = np.unique(h[at], return_index=True)
+                    found.update(w[lo + i : lo + i + n] for i in at[first].tolist())
+        yield found
+
+
+def mixed_letters(a: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of every n neighbouring letters."""
+    h = np.full(len(a) - n + 1, 14695981039346656037, np.uint64)
+    for i in range(n):
+        h = (h ^ a[i : len(a) - n + 1 + i]) * np.uint64(1099511628211)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 class WordFeatures(dict):
     """Numbers of a word's kept n-grams; forgets when full."""
 
@@ -46,6 +88,8 @@ class WordFeatures(dict):
         if len(self) > 200_000:
             self.clear()
         kept = self.grams
+        if len(word) > LONG:
+            return tuple({kept[g] for g in slid(word, self.sizes) if g in kept})
         found = self[word] = tuple(kept[g] for g in grams_of(word, self.sizes) if g in kept)
         return found
 
@@ -69,9 +113,10 @@ def gram_counts(sample: DataFrame, sizes: tuple[int, int], held: int = 150_000)
 
         for b in batches:
             for text, label in zip(string_list(b["text"]), b["label"], strict=True):
-                total[int(label)].update({g for w in set(text.lower().split()) for g in grams_of(w, sizes)})
-                if len(total[0]) + len(total[1]) > held:
-                    yield flush()
+                for grams in distinct_grams(set(text.lower().split()), sizes):
+                    total[int(label)].update(grams)
+                    if len(total[0]) + len(total[1]) > held:
+                        yield flush()
         yield flush()
 
     counted = sample.mapInPandas(run, "gram string, pos long, neg long")
