@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -150,8 +151,8 @@ class Segments(dict):
     ends; a text that holds such a word is cut by ``SEAM``, and its segments have their blank in front.
     """
 
-    def __init__(self, t: Tokenizers, most: int = 150_000, characters: int = 4_000_000):
-        self.t, self.most, self.characters = t, most, characters
+    def __init__(self, t: Tokenizers, most: int = 200_000, characters: int = 4_000_000):
+        self.t, self.most, self.characters, self.corpus = t, most, characters, ""
         self.forget()
 
     def forget(self) -> None:
@@ -161,6 +162,7 @@ class Segments(dict):
         self.held = 0
         self.n_a = self.n_b = self.n_groups = self.keys = np.empty(0, np.int64)
         self.until = np.zeros(1, np.int64)  # where a segment's links begin; the next one's are its end
+        self.weights = np.zeros((2, 0), np.int64)  # what the corpus' counts say of segments, once that is known: best links and the sum; -1 before
 
     def __missing__(self, segment: str) -> int:
         edges = segment[:1] + segment[-1:]
@@ -208,6 +210,23 @@ class Segments(dict):
             cut = [[] if x else c for x, c in zip(bad, cut, strict=True)]
         return Read(cut, flat, n)
 
+    def of_corpus(self, name: str) -> Segments:
+        """Self, without what another corpus' counts say."""
+        if self.corpus != name:
+            self.corpus, self.weights = name, np.zeros((2, 0), np.int64)
+        return self
+
+    def weigh(self, x: Read, keys: np.ndarray, counts: np.ndarray, top: np.ndarray) -> None:
+        """Best links and sum of counts of the segments of x that have none yet. keys, ascending, and counts: of all pairs in these texts; they are the corpus'."""
+        self.weights = np.pad(self.weights, ((0, 0), (0, len(self.groups) - self.weights.shape[1])), constant_values=-1)
+        new = distinct(x.flat[self.weights[1, x.flat] < 0])
+        at, place = self.links(new)
+        pairs, n = self.keys[at], counts[:0]
+        if len(at):
+            n = counts[np.searchsorted(keys, pairs)]
+        size = self.until[new + 1] - self.until[new]
+        self.weights[:, new] = sums(n == top[pairs >> 32], size), sums(n, size)
+
     def links(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``keys`` of the links of these segments, and which of the numbers each belongs to."""
         n = self.until[numbers + 1] - self.until[numbers]
@@ -278,7 +297,9 @@ def first_pass(docs: DataFrame, paths: tuple[str, str], chunk: int, portion: int
                 of = distinct(np.repeat(np.arange(len(x.n)), x.n) * len(known) + x.flat)  # a segment once a document
                 document, segment = np.divmod(of, max(1, len(known)))
                 at, place = known.links(segment)
-                pairs_here, number_of = np.unique(known.keys, return_inverse=True)
+                used, _ = known.links(distinct(segment))
+                number_of = np.zeros(len(known.keys), np.int64)
+                pairs_here, number_of[used] = np.unique(known.keys[used], return_inverse=True)
                 held = distinct(document[place] * len(pairs_here) + number_of[at]) % max(1, len(pairs_here))  # a pair once a document
                 n = np.bincount(held, minlength=len(pairs_here))
                 keys.append(pairs_here[n > 0]), numbers.append(n[n > 0])
@@ -458,21 +479,18 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = 8_000_000, por
     best = np.zeros(len(tokenizers(*paths).a_bytes), np.int64)
     for a, n in best_counts(tables).items():
         best[a] = n
+    corpus = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(best)  # one number for each id of the vocabulary
 
     def run(g: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        known, asked = segments(*paths), g[g["kind"] == 0]
+        known, asked = segments(*paths).of_corpus(corpus), g[g["kind"] == 0]
         keys, counts = summed(list(map(longs, asked["keys"])), list(map(longs, asked["n"])))
         g = g[g["kind"] == 1]
         texts = string_list(g["text"])
         for lo, hi in portions(texts, portion):
             x = known.read(texts[lo:hi])
-            used = distinct(x.flat)
-            at, place = known.links(used)
-            n = np.zeros(len(at), np.int64) if not len(at) else counts[np.searchsorted(keys, known.keys[at])]
-            total, best_of = np.zeros((2, len(known.groups)), np.int64)
-            np.add.at(total, used[place], n), np.add.at(best_of, used[place], n == shared.value[known.keys[at] >> 32])
-            each = {"n_a": known.n_a, "n_b": known.n_b, "n_groups": known.n_groups, "n_links": np.diff(known.until), "n_best": best_of, "count_sum": total}
+            known.weigh(x, keys, counts, shared.value)
+            each = {"n_a": known.n_a, "n_b": known.n_b, "n_groups": known.n_groups, "n_links": np.diff(known.until), "n_best": known.weights[0], "count_sum": known.weights[1]}
             groups = [";".join(map(known.groups.__getitem__, c)) for c in x.cut]
             yield pd.DataFrame({"doc_id": exact_longs(g.iloc[lo:hi]).array, **{k: sums(v[x.flat], x.n) for k, v in each.items()}, "groups": groups})
 

@@ -105,6 +105,14 @@ def test_alignment_equals_plain_one(spark, how):
     assert pairs == dict(count)
 
 
+def test_corpora_one_after_another(spark):
+    """Python workers outlive a query: what they keep of segments must not speak of another corpus."""
+    for n in (3, 1, 7):
+        docs = [(i, "the same words") for i in range(n)]
+        got = alignment.align(spark.createDataFrame(docs, "doc_id long, text string"), A, B).select(COLUMNS).collect()
+        assert sorted(map(tuple, got)) == sorted(brute(docs)[0])
+
+
 def test_nothing_to_align(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.align(docs, A, B).collect() == []
