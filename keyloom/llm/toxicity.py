@@ -85,7 +85,7 @@ class WordFeatures(dict):
         self.grams, self.sizes = grams, sizes
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 200_000:
+        if len(self) > 50_000:
             self.clear()
         kept = self.grams
         if len(word) > LONG:
