@@ -322,9 +322,9 @@ PASSES = "p AS (SELECT user_id AS run_id, event_id AS started_at, CASE WHEN even
 
 @query("passes_to_begin", f"""WITH {PASSES}, n AS (SELECT DISTINCT user_id AS run_id, (SELECT max(event_id) FROM events) + 100 AS now FROM events),
 l AS (SELECT run_id, max(started_at) FILTER (mode = 'FULL') AS f, max(finished_at) AS e, max(mode) FILTER (finished_at IS NULL) AS running FROM p GROUP BY run_id),
-a AS (SELECT user_id AS run_id, max(event_id) AS at FROM events LEFT JOIN l ON l.run_id = user_id WHERE event_type = 'signup' AND (f IS NULL OR event_id >= f) GROUP BY 1),
-m AS (SELECT n.run_id, a.run_id IS NOT NULL AND coalesce(running, '') <> 'FULL' AS wanted, a.run_id IS NULL AND running IS NULL AND (e IS NULL OR now - e >= 200) AS idle, a.at FROM n LEFT JOIN l USING (run_id) LEFT JOIN a USING (run_id))
-SELECT run_id, CASE WHEN wanted THEN 'FULL' ELSE 'SAMPLE' END AS mode, CASE WHEN wanted THEN 'a size drop at ' || CAST(at AS VARCHAR) ELSE 'schedule' END AS trigger FROM m WHERE wanted OR idle""")
+a AS (SELECT user_id AS run_id, max(event_id) AS asked FROM events LEFT JOIN l ON l.run_id = user_id WHERE event_type = 'signup' AND (f IS NULL OR event_id >= f) GROUP BY 1),
+m AS (SELECT n.run_id, a.run_id IS NOT NULL AND coalesce(running, '') <> 'FULL' AS wanted, a.run_id IS NULL AND running IS NULL AND (e IS NULL OR now - e >= 200) AS idle, a.asked FROM n LEFT JOIN l USING (run_id) LEFT JOIN a USING (run_id))
+SELECT run_id, CASE WHEN wanted THEN 'FULL' ELSE 'SAMPLE' END AS mode, CASE WHEN wanted THEN 'a size drop at ' || CAST(asked AS VARCHAR) ELSE 'schedule' END AS trigger FROM m WHERE wanted OR idle""")
 def passes_to_begin(spark, sf):
     """Which runs begin a pass: signups stand for size drops, clicks and errors for passes."""
     from keyloom.operators import passes
