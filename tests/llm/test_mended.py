@@ -5,7 +5,7 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
-from keyloom.llm import language, queries, toxicity, url_filter
+from keyloom.llm import jaccard, language, queries, toxicity, url_filter
 
 ENGLISH = "the quick brown fox jumps over the lazy dog and then it sleeps under a tree while rain falls on the old house by the river".split()
 GERMAN = "der schnelle braune fuchs springt über den faulen hund und schläft dann unter einem baum während regen auf das alte haus am fluss fällt".split()
@@ -91,3 +91,12 @@ def test_alias_sql_on_pages_with_links(spark):
     plain = lambda rows: sorted(tuple(str(x) for x in r) for r in rows)
     assert plain(got.select(names).collect()) == plain(cur.fetchall())
     assert {r["page_id"]: r["verdict"] for r in got.collect()}[4] == "block"
+
+
+def test_repeated_values_are_counted_in_place():
+    rng = np.random.default_rng(5)
+    for size, kinds in ((0, 1), (1, 1), (2, 1), (7, 3), (500, 90), (500, 10**9)):
+        a = rng.integers(0, kinds, size).astype(np.uint64)
+        u, n = np.unique(a, return_counts=True)
+        values, counts = jaccard.repeated(a)
+        assert values.tolist() == u[n > 1].tolist() and counts.tolist() == n[n > 1].tolist()
