@@ -1,13 +1,15 @@
 """Token counts without ids: pieces once per distinct pre-token, joined to per-document frequencies.
 
 The corpus's distinct pre-tokens are counted first and each is given its number of pieces once. The
-most frequent of them (``head`` short ones, a fixed bound) travel to the tasks as a lookup; frequencies of all the
-others join the table of pieces by a shuffle on the pre-token. So hot pre-tokens never meet in one
-task, and what is shuffled is the tail alone.
+``head`` most frequent of them, whatever their length, travel to the tasks as a lookup, in which long ones
+stand as digests so that its bytes are bounded too; frequencies of all the others join the table of pieces
+by a shuffle on the pre-token. So hot pre-tokens never meet in one task: one of the tail makes up at most
+1 / ``head`` of all occurrences.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections import Counter
 from collections.abc import Iterator
@@ -68,16 +70,24 @@ def pretoken_table(docs: DataFrame, tokenizer_path: str, held: int = 200_000) ->
     return distinct.mapInPandas(split, "pretoken string, n long, pieces long")
 
 
+def most_frequent(table: DataFrame, head: int, longest: int) -> dict[str | bytes, int]:
+    """Pieces of the ``head`` most frequent pre-tokens, by the pre-token, or its SHA-256 if it has more than ``longest`` characters."""
+    short = F.length("pretoken") <= longest
+    keys = table.select("n", "pieces", F.when(short, F.col("pretoken")).alias("short"), F.when(~short, F.unhex(F.sha2(F.col("pretoken").cast("binary"), 256))).alias("digest"))
+    top = keys.orderBy(F.desc("n"), "short", "digest").limit(head).toArrow()
+    return {s if s is not None else d: p for s, d, p in zip(*(top[c].to_pylist() for c in ("short", "digest", "pieces")), strict=True)}
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, head: int = 131_072, longest: int = 32) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row of docs (doc_id, text; other columns do not matter).
 
     Null counts as the empty text: 0 bytes, 0 tokens. Repeated rows give a row each. Special strings in
     a text count as one token, the tokenizers library's default. An empty table gives no rows. The lookup
-    holds ``head`` pre-tokens of at most ``longest`` characters, which bounds its bytes too.
+    holds the ``head`` most frequent pre-tokens; those of more than ``longest`` characters are known there by
+    their SHA-256.
     """
     table = written(pretoken_table(docs, tokenizer_path))
-    top = table.filter(F.length("pretoken") <= longest).orderBy(F.desc("n"), "pretoken").limit(head).select("pretoken", "pieces").toArrow()
-    lookup = docs.sparkSession.sparkContext.broadcast(dict(zip(top["pretoken"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
+    lookup = docs.sparkSession.sparkContext.broadcast(most_frequent(table, head, longest))
 
     def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, get, ids = frequencies(tokenizer_path), lookup.value.get, row_ids()
@@ -87,7 +97,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, head: int = 131_072, long
                 total, words = of(text)
                 r = next(ids)
                 for w, k in words.items():
-                    pieces = get(w)
+                    pieces = get(w if len(w) <= longest else hashlib.sha256(w.encode()).digest())
                     if pieces is not None:
                         total += k * pieces
                     else:

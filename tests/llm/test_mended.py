@@ -1,11 +1,14 @@
 """Rare languages, words of any length, and the alias SQL on pages that hold links."""
 
+import hashlib
 import random
 import tracemalloc
 from collections import Counter
 
 import numpy as np
-from keyloom.llm import jaccard, language, queries, toxicity, url_filter
+import public_tokenizers
+from keyloom.llm import jaccard, language, queries, token_counts, toxicity, url_filter
+from tokenizers import Tokenizer
 
 ENGLISH = "the quick brown fox jumps over the lazy dog and then it sleeps under a tree while rain falls on the old house by the river".split()
 GERMAN = "der schnelle braune fuchs springt über den faulen hund und schläft dann unter einem baum während regen auf das alte haus am fluss fällt".split()
@@ -100,3 +103,19 @@ def test_repeated_values_are_counted_in_place():
         u, n = np.unique(a, return_counts=True)
         values, counts = jaccard.repeated(a)
         assert values.tolist() == u[n > 1].tolist() and counts.tolist() == n[n > 1].tolist()
+
+
+def test_frequent_long_pretokens_are_looked_up(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    divider, once = "-" * 40, "=" * 50
+    rows = [(i, f"part {i}\n{divider}\nmore") for i in range(60)] + [(100, f"{once} x"), (101, None), (102, "é" * 33), (103, "é" * 33)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = token_counts.pretoken_table(docs, path)
+    lookup = token_counts.most_frequent(table, head=8, longest=32)
+    digest = hashlib.sha256(divider.encode()).digest()
+    assert len(lookup) == 8 and digest in lookup and divider not in lookup
+    assert all(len(k) <= 32 for k in lookup)
+    tokenizer = Tokenizer.from_file(path)
+    expected = {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in rows}
+    for head in (1, 8, 131_072):
+        assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, path, head=head).collect()} == expected
