@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from keyloom.session import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["checkpointed", "exact", "exact_longs", "few", "row_ids", "row_key", "written"]
+__all__ = ["checkpointed", "exact", "exact_longs", "few", "row_ids", "row_key", "small_batches", "written"]
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -24,6 +24,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Python tasks of this session get at most so many bytes of rows at a time, unless the application names a limit itself.
+
+    A batch is held several times over, by the JVM, as Arrow and as Python strings; results do not depend on its size.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, most)
+
+
 def few(df: DataFrame, most: int) -> DataFrame:
     """df marked for broadcast if it has at most ``most`` rows, which is counted first; as it is beyond that, and joins shuffle."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
