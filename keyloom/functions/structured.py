@@ -11,7 +11,9 @@ PAIRS = "array<struct<field: binary, value: binary>>"
 SCORED = "array<struct<member: binary, score: double>>"
 ENTRIES = f"array<struct<id: string, fields: {PAIRS}>>"
 VALUES = {"text": "binary", "members": "array<binary>", "fields": PAIRS, "scored": SCORED, "entries": ENTRIES}
-LINE = "key string, key_base64 string, type string, ttl_ms long, value string, base64 boolean, _bad string"
+PENDING = "array<struct<id: string, consumer: binary, delivered_at_ms: long, deliveries: long>>"
+GROUPS = f"array<struct<name: binary, last_delivered_id: string, entries_read: long, consumers: array<binary>, pending: {PENDING}>>"
+LINE = "key string, key_base64 string, type string, ttl_ms long, value string, base64 boolean, last_id string, groups string, _bad string"
 
 
 def quoted(text: Column) -> Column:
@@ -26,6 +28,7 @@ def to_typed_envelope(records: DataFrame) -> DataFrame:
     ``text`` holds a string or a JSON document, ``members`` a list or set, ``fields`` a hash, ``scored`` a sorted set,
     ``entries`` a stream. All byte strings of a value travel as text if every one is valid UTF-8, else all as base64;
     the key is decided on its own. A null field becomes the text ``null``, a null value an empty one of its type.
+    A stream may have columns ``last_id`` and ``groups`` (as ``GROUPS``), whose names count among its byte strings.
     """
     empty = lambda name: F.coalesce(F.col(name), F.array().cast(VALUES[name]))
     pairs = F.concat(empty("fields"), F.flatten(F.transform(empty("entries"), lambda e: e["fields"])))
@@ -33,6 +36,12 @@ def to_typed_envelope(records: DataFrame) -> DataFrame:
         F.array("text"), empty("members"), F.transform(pairs, lambda f: f["field"]), F.transform(pairs, lambda f: f["value"]),
         F.transform(empty("scored"), lambda m: m["member"]),
     )
+    grouped = "groups" in records.columns
+    if grouped:
+        group_names = F.flatten(F.transform("groups", lambda g: F.concat(
+            F.array(g["name"]), F.coalesce(g["consumers"], F.array().cast("array<binary>")), F.coalesce(F.transform(g["pending"], lambda p: p["consumer"]), F.array().cast("array<binary>")),
+        )))
+        strings = F.concat(strings, F.coalesce(group_names, F.array().cast("array<binary>")))
     with_mark = records.withColumn("_base64", F.exists(strings, lambda b: b.isNotNull() & ~is_text(b)))
     null = F.when(F.col("_base64"), F.lit("bnVsbA==")).otherwise(F.lit("null"))
     text = lambda b: F.coalesce(F.when(F.col("_base64"), base64_text(b)).otherwise(b.cast("string")), null)
@@ -49,13 +58,26 @@ def to_typed_envelope(records: DataFrame) -> DataFrame:
     key = F.col("key")
     head = F.to_json(F.struct(
         F.when(is_text(key), key.cast("string")).alias("key"), F.when(~is_text(key), base64_text(key)).alias("key_base64"),
-        "type", "ttl_ms", F.when(F.col("_base64"), F.lit(True)).alias("base64"),
+        "type", "ttl_ms", F.when(F.col("_base64"), F.lit(True)).alias("base64"), *([F.col("last_id")] if "last_id" in records.columns else []),
+        *([F.to_json(group_texts(F.col("groups"), lambda b: F.when(F.col("_base64"), base64_text(b)).otherwise(b.cast("string")))).alias("groups")] if grouped else []),
     ))
     return with_mark.select(F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"value":'), body, F.lit("}")).alias("line"))
 
 
-def from_typed_envelope(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records (key, type, ttl_ms and the columns of ``VALUES``) and bad lines (line, reason, and what other columns lines has); blank lines are skipped."""
+def group_texts(groups: Column, change) -> Column:
+    """Groups in the fields of ``GROUPS`` with ``change`` applied to every name."""
+    return F.transform(groups, lambda g: F.struct(
+        change(g["name"]).alias("name"), g["last_delivered_id"].alias("last_delivered_id"), g["entries_read"].cast("long").alias("entries_read"),
+        F.transform(g["consumers"], change).alias("consumers"),
+        F.transform(g["pending"], lambda p: F.struct(p["id"].alias("id"), change(p["consumer"]).alias("consumer"), p["delivered_at_ms"].alias("delivered_at_ms"), p["deliveries"].alias("deliveries"))).alias("pending"),
+    ))
+
+
+def from_typed_envelope(lines: DataFrame, groups: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records (key, type, ttl_ms and the columns of ``VALUES``) and bad lines (line, reason, and what other columns lines has); blank lines are skipped.
+
+    With ``groups`` records have ``last_id`` and ``groups``, too; a line whose groups cannot be read is a bad one.
+    """
     more = [c for c in lines.columns if c != "line"]
     r, kind, value = F.col("r"), F.lower("r.type"), F.col("r.value")
     raw = lines.filter(F.trim("line") != "").withColumn("r", F.from_json("line", LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
@@ -82,6 +104,10 @@ def from_typed_envelope(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         "scored": F.transform("_scored", lambda m: F.struct(bytes_of(m["member"]).alias("member"), m["score"].alias("score"))),
         "entries": F.transform("_entries", lambda e: F.struct(e["id"].alias("id"), pairs(e["fields"]).alias("fields"))),
     }
+    if groups:
+        told = F.from_json("r.groups", GROUPS.replace("binary", "string"))
+        reason = F.coalesce(reason, F.when(F.col("r.groups").isNotNull() & told.isNull(), "not the groups of a stream"))
+        own |= {"last_id": F.col("r.last_id"), "groups": group_texts(told, bytes_of)}
     seen = raw.withColumns({"reason": reason, "k": key})
     good = seen.filter("reason is null").select(F.col("k").alias("key"), "r.type", "r.ttl_ms", *(c.alias(n) for n, c in own.items()))
     return good, seen.filter("reason is not null").select("line", "reason", *more)

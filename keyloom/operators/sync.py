@@ -96,14 +96,27 @@ def reconcile_until_clean(source: DataFrame, target: DataFrame, rounds: int = 3,
     return target, rounds, left
 
 
-def existence(target_keys: DataFrame, source: DataFrame, names: K.KeyNames = K.KeyNames(), deny: list[str] = (), only: list[str] = ()) -> DataFrame:
-    """(key, source_key, route): exists, missing or filtered for every target key; scope is decided before the lookup."""
+def existence_routes(target_keys: DataFrame, source: DataFrame, names: K.KeyNames = K.KeyNames(), deny: list[str] = (), only: list[str] = ()) -> DataFrame:
+    """(key, source_key, route, reason): exists, missing, filtered or failure for every target key.
+
+    Scope is decided before the lookup, so a key out of scope is filtered whatever the source says of it. A null or
+    empty key fails, as does one that ``source`` (key, and perhaps error) could not be asked about; of several
+    answers for a key one that says it is there counts, then the smallest error. Repeated target keys stay.
+    """
     named = target_keys.select("key").withColumn("source_key", names.to_source(F.col("key")))
     named = named.withColumn("_scope", F.col("source_key").isNotNull() & K.allows_key(F.col("source_key"), deny, only))
-    there = source.select(F.col("key").alias("source_key"), F.lit(True).alias("_there")).distinct()
-    met = named.join(there, "source_key", "left")
-    route = F.when(~F.col("_scope"), "filtered").when(F.col("_there"), "exists").otherwise("missing")
-    return met.select("key", "source_key", route.alias("route"))
+    error = F.col("error") if "error" in source.columns else F.lit(None).cast("string")
+    answers = source.groupBy(F.col("key").alias("source_key")).agg(F.bool_or(error.isNull()).alias("_there"), F.min(error).alias("_error"))
+    met = named.join(answers, "source_key", "left")
+    none = F.length("key") == 0
+    reason = F.when(F.col("key").isNull() | none, "no key").when(F.col("_scope") & ~F.col("_there"), F.concat(F.lit("the source could not be asked: "), "_error"))
+    route = F.when(reason.isNotNull(), "failure").when(~F.col("_scope"), "filtered").when(F.col("_there"), "exists").otherwise("missing")
+    return met.select("key", "source_key", route.alias("route"), reason.alias("reason"))
+
+
+def existence(target_keys: DataFrame, source: DataFrame, names: K.KeyNames = K.KeyNames(), deny: list[str] = (), only: list[str] = ()) -> DataFrame:
+    """(key, source_key, route) of ``existence_routes``."""
+    return existence_routes(target_keys, source, names, deny, only).select("key", "source_key", "route")
 
 
 def assign_batches(records: DataFrame, order: list[str], default: int = 50, per_type: dict[str, int] | None = None) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from keyloom.functions import structured
 from keyloom.functions.keys import KeyNames
 from keyloom.operators.buckets import BucketedTarget
+from keyloom.operators import sync
 from keyloom.operators.flow import Flow, record_hook
-from keyloom.plans.queries import DIFFS, SOURCE_KV, TARGET_KV, keyspaces
+from keyloom.plans.queries import DIFFS, SOURCE_KV, TARGET_KV, event_stream, keyspaces
 from keyloom.plans.registry import query
 from keyloom.session import ensure_checkpoint_dir, ship_package, table
 from keyloom.sources import lines, readers, sinks
@@ -380,3 +381,60 @@ def copy_rates(spark, sf):
     hourly = e.filter("event_type <> 'error'").groupBy(F.date_trunc("hour", "ts").alias("ts")).agg(F.count("*").alias("n"))  # a row an hour
     samples = hourly.select(F.lit(1).alias("run_id"), "ts", F.sum("n").over(Window.orderBy("ts")).alias("target"), F.lit(total).alias("source"))
     return runs.rates(samples, 3, 10**9).select("ts", "target", "rate", "state")
+
+
+# ---- files of records and events, lookups that fail, streams with groups
+
+
+@query("records_of_files", """SELECT 'part:' || CAST(p_partkey AS VARCHAR) AS key, 'json' AS type, CAST(86400000 AS BIGINT) AS ttl_ms, CAST(p_partkey AS VARCHAR) || '|' || p_name AS flat FROM part""")
+def records_of_files(spark, sf):
+    """Parts as files with a delimiter of their own, read as documents under a prefix and their primary key."""
+    path = shared(spark, "delimited")
+    table(spark, sf, "part").select("p_partkey", "p_name").write.option("header", True).option("sep", "|").csv(path)
+    good, _ = readers.ingest_records(spark, path, "p_partkey", "json", "part", "custom", "|", r"part-.*\.csv", 86400000)
+    return good.select("key", "type", "ttl_ms", F.concat_ws("|", F.get_json_object("value", "$.p_partkey"), F.get_json_object("value", "$.p_name")).alias("flat"))
+
+
+@query("event_files", """SELECT CASE event_type WHEN 'error' THEN 'deleted' WHEN 'signup' THEN 'deleted' WHEN 'purchase' THEN 'expired' ELSE 'changed' END AS route, count(*) AS n, count(DISTINCT user_id) AS keys FROM events GROUP BY 1
+UNION ALL SELECT 'failure', count(*), 0 FROM region""")
+def event_files(spark, sf):
+    """Events followed as a stream over files of JSON lines, some of which are no JSON, and counted by route."""
+    path, out = shared(spark, "events"), shared(spark, "routed")
+    event_stream(spark, sf).select("channel", "message", "ts").write.json(path)
+    table(spark, sf, "region").select(F.concat(F.lit("no JSON: "), "r_name")).write.mode("append").text(path)
+    routed = sync.route_events(readers.read_events(spark, path, file_format="json")).select("route", "key")
+    routed.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("route string, key string").parquet(out).groupBy("route").agg(F.count("*").alias("n"), F.count_distinct("key").alias("keys"))
+
+
+@query("existence_failures", """WITH k AS (SELECT 'cust:' || CAST(c_custkey AS VARCHAR) AS key, c_custkey AS n FROM customer),
+a AS (SELECT n % 5 = 0 AS failed, * FROM k WHERE n % 3 <> 0)
+SELECT k.key, CASE WHEN k.key LIKE 'cust:1%' THEN 'filtered' WHEN a.failed THEN 'failure' WHEN a.key IS NOT NULL THEN 'exists' ELSE 'missing' END AS route,
+ CASE WHEN k.key NOT LIKE 'cust:1%' AND a.failed THEN 'the source could not be asked: timeout' END AS reason FROM k LEFT JOIN a ON a.key = k.key""")
+def existence_failures(spark, sf):
+    """Customers looked up in a source that does not have every third and does not answer for every fifth."""
+    n = F.col("c_custkey")
+    keys = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("cust:"), n.cast("string")).alias("key"))
+    answers = keys.filter(n % 3 != 0).select("key", F.when(n % 5 == 0, "timeout").alias("error"))
+    return sync.existence_routes(keys, answers, deny=["cust:1"]).select("key", "route", "reason")
+
+
+@query("grouped_streams", """SELECT 's:' || CAST(user_id AS VARCHAR) AS key, count(*) AS entries, CAST(max(event_id) AS VARCHAR) || '-0' AS last_id,
+CASE WHEN user_id % 2 = 0 THEN CASE WHEN user_id % 4 = 0 THEN 'FF' ELSE '67' END || ':63:' || CAST(min(event_id) AS VARCHAR) || '-0' END AS groups FROM events GROUP BY user_id""")
+def grouped_streams(spark, sf):
+    """Each user's events as a stream, some with a consumer group whose name may be no text, to JSON lines and back."""
+    u, path, text = F.col("user_id"), shared(spark, "streams"), lambda c: F.concat(c.cast("string"), F.lit("-0"))
+    s = table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list("event_id")).alias("e"), F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
+    consumer = F.encode(F.lit("c"), "UTF-8")
+    pending = F.struct(text(F.col("lo")).alias("id"), consumer.alias("consumer"), F.lit(1000).cast("long").alias("delivered_at_ms"), F.lit(2).cast("long").alias("deliveries"))
+    name = F.when(u % 4 == 0, F.unhex(F.lit("FF"))).otherwise(F.encode(F.lit("g"), "UTF-8"))
+    group = F.struct(name.alias("name"), F.lit("0").alias("last_delivered_id"), u.cast("long").alias("entries_read"), F.array(consumer).alias("consumers"), F.array(pending).alias("pending"))
+    records = s.select(
+        F.encode(F.concat(F.lit("s:"), u.cast("string")), "UTF-8").alias("key"), F.lit("stream").alias("type"), F.lit(-1).cast("long").alias("ttl_ms"),
+        F.transform("e", lambda e: F.struct(text(e).alias("id"), F.array().cast(structured.PAIRS).alias("fields"))).alias("entries"),
+        text(F.col("hi")).alias("last_id"), F.when(u % 2 == 0, F.array(group)).alias("groups"),
+    )
+    sinks.write_key_records(records, path)
+    good, _ = structured.from_typed_envelope(lines.raw_lines(spark, path).select("line"), groups=True)
+    flat = F.transform("groups", lambda g: F.concat_ws(":", F.hex(g["name"]), F.hex(g["consumers"][0]), g["pending"][0]["id"]))
+    return good.select(F.col("key").cast("string").alias("key"), F.size("entries").cast("long").alias("entries"), "last_id", F.array_join(flat, ",").alias("groups"))

@@ -92,17 +92,17 @@ def template(text: str, tokens: dict[str, Column]) -> Column:
         if not found:
             break
         name, _, text = rest.partition("}")
-        parts.append(tokens.get(name, F.col(name)).cast("string"))
+        parts.append((tokens[name] if name in tokens else F.col(name)).cast("string"))
     return F.concat(*parts)
 
 
-def to_key_records(df: DataFrame, key_format: str, target_type: str = "hash", ttl_ms: int = -1, file: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def to_key_records(df: DataFrame, key_format: str, target_type: str = "hash", ttl_ms: int = -1, file: Column | None = None, tokens: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """Key records of any rows, and rows that failed with a reason.
 
     hash: one field per column, nested ones as JSON, nulls as the text null; json: the row as a document.
     A row whose key has a null part fails, and with it all rows of its ``file``.
     """
-    key = template(key_format, {})
+    key = template(key_format, tokens or {})
     if target_type == "hash":
         text = lambda f: F.to_json(f.name) if f.dataType.typeName() in ("struct", "array", "map") else F.col(f.name).cast("string")
         value = F.array(*(F.struct(F.lit(f.name).alias("field"), F.coalesce(text(f), F.lit("null")).alias("value")) for f in df.schema.fields))
@@ -118,6 +118,23 @@ def to_key_records(df: DataFrame, key_format: str, target_type: str = "hash", tt
     return good, rows.filter(bad).select("key", F.lit("a record of the input has no key").alias("reason"))
 
 
+def ingest_records(
+    spark: SparkSession, path: str, primary_key: str, target_type: str = "hash", key_prefix: str = "", file_type: str = "csv",
+    delimiter: str | None = None, file_filter: str | None = None, ttl_ms: int = -1,
+) -> tuple[DataFrame, DataFrame]:
+    """Key records of delimited files, and rows that failed: the key is ``key_prefix:`` and the field ``primary_key``, or that field alone.
+
+    A row without its primary key fails with all rows of its file. Fields are text, as files have no types.
+    """
+    if target_type not in ("hash", "json"):
+        raise ValueError(f"records of files become hash or json, not {target_type}")
+    rows = ingest_delimited(spark, path, file_type, delimiter, file_filter)
+    if primary_key not in rows.columns:
+        raise ValueError(f"the files have no field {primary_key}: {', '.join(rows.columns)}")
+    key = ("${prefix}:" if key_prefix else "") + "${id}"
+    return to_key_records(rows, key, target_type, ttl_ms, F.col("_metadata.file_path"), {"prefix": F.lit(key_prefix), "id": F.col(f"`{primary_key}`")})
+
+
 def sample_keys(df: DataFrame, n: int, seed: str = "") -> DataFrame:
     """n keys by a seeded hash: random, and the same each time."""
     return df.orderBy(F.md5(F.concat(F.lit(seed), F.col("key"))), "key").limit(n)
@@ -131,9 +148,20 @@ EVENTS = "channel string, message string, ts timestamp"
 COMMANDS = "shard string, generation long, offset_after long, argv array<string>"
 
 
-def read_events(spark: SparkSession, path: str, stream: bool = True, max_files: int = 100) -> DataFrame:
-    """Keyspace notifications from Parquet files; as a stream, so many files a trigger."""
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", max_files).parquet(path) if stream else spark.read.schema(EVENTS).parquet(path)
+def read_events(spark: SparkSession, path: str, stream: bool = True, max_files: int = 100, file_format: str = "parquet") -> DataFrame:
+    """Keyspace notifications (channel, message, ts) from files; as a stream, so many files a trigger.
+
+    Of a file's columns these three are read, absent ones are null. A line of JSON or CSV files that cannot be read has
+    a null channel, which ``sync.route_events`` routes to failure.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if stream else spark.read
+    return reader.format(file_format).schema(EVENTS).load(path)
+
+
+def events_of_messages(messages: DataFrame) -> DataFrame:
+    """Notifications of a message log's rows (key, value, timestamp), as Spark's Kafka source has them: the channel is the key."""
+    text = lambda name: F.col(name).cast("string")
+    return messages.select(text("key").alias("channel"), text("value").alias("message"), F.col("timestamp").alias("ts"))
 
 
 def read_command_log(spark: SparkSession, path: str, positions: DataFrame | None = None, stream: bool = False) -> DataFrame:

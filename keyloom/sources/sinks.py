@@ -29,7 +29,8 @@ def write_key_records(records: DataFrame, path: str, chunks: DataFrame | None =
 
 def with_values(records: DataFrame) -> DataFrame:
     """Typed records with every column of ``VALUES``; those they do not have are null."""
-    return records.select("key", "type", "ttl_ms", *(F.col(n) if n in records.columns else F.lit(None).cast(t).alias(n) for n, t in VALUES.items()))
+    more = [n for n in ("last_id", "groups") if n in records.columns]  # of streams
+    return records.select("key", "type", "ttl_ms", *(F.col(n) if n in records.columns else F.lit(None).cast(t).alias(n) for n, t in VALUES.items()), *more)
 
 
 def joined(records: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -44,7 +45,7 @@ def joined(records: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]
             failed.append(bad)
     out, bad = with_values(records), failed[0]
     for p in parts:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)
     for f in failed[1:]:
         bad = bad.unionByName(f)
     return out, bad
