@@ -35,12 +35,13 @@ def newest(records: DataFrame, order: list[str], columns: list[str]) -> DataFram
 
 
 def decided(records: DataFrame, target: DataFrame, conflict: str) -> tuple[DataFrame, DataFrame]:
-    """Which records (one a key) are written, and the outcome (key, outcome, reason) of each."""
-    there = target.select("key", F.lit(True).alias("_there")).distinct()
+    """Which records (one a key) are written, and the outcome (key, outcome, reason) of each. OVERWRITE need not look at the target."""
+    if conflict == "OVERWRITE":
+        return records, records.select("key", F.lit("success").alias("outcome"), F.lit(None).cast("string").alias("reason"))
+    there = target.select("key").distinct().withColumn("_there", F.lit(True))
     met = records.join(there, "key", "left")
     taken = F.col("_there").isNotNull() & (F.col("type") != "deleted")
-    outcome = F.lit("success") if conflict == "OVERWRITE" else F.when(taken, "skipped" if conflict == "SKIP" else "failure").otherwise("success")
-    met = met.withColumn("outcome", outcome)
+    met = met.withColumn("outcome", F.when(taken, "skipped" if conflict == "SKIP" else "failure").otherwise("success"))
     reason = F.when(F.col("outcome") == "failure", EXISTS)
     return met.filter("outcome = 'success'").drop("_there", "outcome"), met.select("key", "outcome", reason.alias("reason"))
 
@@ -52,12 +53,14 @@ def upsert(records: DataFrame, target: DataFrame, conflict: str = "OVERWRITE", o
     its columns is. OVERWRITE replaces whole values, SKIP leaves what is there, FAIL reports it. Both sides have the
     same columns. This computes a whole target; ``buckets.BucketedTarget`` changes the buckets of the records alone.
     """
-    if order or not any(f.dataType.typeName() in ("map", "variant") for f in target.schema.fields):
-        records = newest(records, list(order), target.columns)
-    else:
+    if not order and any(f.dataType.typeName() in ("map", "variant") for f in target.schema.fields):
         raise ValueError("records that cannot be compared need an order")
-    done, outcomes = decided(records, target, conflict)
-    kept = target.join(done.select("key"), "key", "left_anti")
+    last = newest(records, list(order), target.columns)
+    done, outcomes = decided(last, target, conflict)
+    # where the target has the key, only OVERWRITE and deletions are applied; an anti join would be made anew for each part of a target that is a union
+    applied = records if conflict == "OVERWRITE" else last.filter("coalesce(type = 'deleted', true)")
+    met = target.join(applied.select("key").distinct().withColumn("_applied", F.lit(True)), "key", "left")
+    kept = met.filter("_applied is null").select(*target.columns)
     return kept.unionByName(done.filter("type <> 'deleted'").select(*target.columns)), outcomes
 
 

@@ -172,6 +172,24 @@ def test_conflicts(spark):
     assert [r.key for r in left.collect()] == ["gone"] and sorted(r.outcome for r in done.collect()) == ["failure", "success", "success"]
 
 
+def test_a_target_of_parts_meets_the_records_in_one_join(spark):
+    tgt = [("a", "hash", -1, 1, "old"), ("a", "hash", -1, 2, "twice"), ("b", "set", -1, 1, "old"), ("c", None, -1, 1, "old"), (None, "hash", -1, 1, "no key"), ("x", "list", -1, 1, "old"), ("y", "list", -1, 1, "old")]
+    new = [("a", "hash", -1, 1, "new"), ("a", "hash", -1, 1, "newer"), ("b", "deleted", -1, 0, None), ("c", "hash", -1, 1, "new"), (None, "hash", -1, 1, "new"), ("free", "set", -1, 1, None), ("free", "set", -1, 1, "v"), ("x", None, -1, 1, "v"), ("none", None, -1, 1, "v"), ("lost", "deleted", -1, 0, None)]
+    ranked = {r[0]: r for r in sorted(new, key=lambda r: [(v is not None, v) for v in r])}  # the largest of a key, nulls first
+    target = spark.createDataFrame(tgt[:4], KV).unionByName(spark.createDataFrame(tgt[4:], KV)).filter("size > 0")
+    records = spark.createDataFrame(new, KV)
+    for how, lost in (("OVERWRITE", "success"), ("SKIP", "skipped"), ("FAIL", "failure")):
+        there = {t[0] for t in tgt} - {None}
+        outcome = {k: lost if k in there and r[1] not in (None, "deleted") else "success" for k, r in ranked.items()}
+        done = {k for k, v in outcome.items() if v == "success"}
+        want = [t for t in tgt if t[0] is None or t[0] not in done] + [ranked[k] for k in done if ranked[k][1] not in (None, "deleted")]
+        got, out = sync.upsert(records, target, how)
+        assert got.columns == target.columns and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+        assert {r.key: r.outcome for r in out.collect()} == outcome
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == (1 if how == "OVERWRITE" else 2)  # the records' kept part asks what is there
+
+
 def test_dead_letters(spark):
     rows = [("k", 0, None if i == 29 else f"r{i}", i, i) for i in range(30)] + [("k", 1, "other", 1, 1)]
     d = {(r.key, r.chunk): r for r in sync.dead_letters(spark.createDataFrame(rows, "key string, chunk int, reason string, failed_at long, seq long")).collect()}
